@@ -35,7 +35,7 @@ def jnum(x: str) -> str:
 
 
 def jlist(x: str) -> str:
-    return f"('[' || array_to_string(list_transform({x}, w -> to_json(w)::VARCHAR), ', ') || ']')"
+    return f"('[' || array_to_string(list_transform({x}, lambda w: to_json(w)::VARCHAR), ', ') || ']')"
 
 
 GOLD = f"""
@@ -44,7 +44,7 @@ words AS (
          CASE l.quality WHEN 1 THEN 'good' WHEN 0 THEN 'poor' END AS band,
          list_transform(list_sort(list_transform(
              list_distinct(regexp_extract_all(d.text, '{WORD}')),
-             w -> {{'n': -length(w), 'w': w}})), t -> t.w) AS terms
+             lambda w: {{'n': -length(w), 'w': w}})), lambda t: t.w) AS terms
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
 gold AS (
   SELECT row_id, posting, lang, source, n_chars, quality, toxic, band,
@@ -87,7 +87,7 @@ bodies AS (
     '"toxic": ' || j_toxic,
     '"band": ' || j_band,
     '"long_terms": ' || CASE kind
-        WHEN 'recased' THEN {jlist('list_transform(long_terms, w -> upper(w))')}
+        WHEN 'recased' THEN {jlist('list_transform(long_terms, lambda w: upper(w))')}
         WHEN 'dropped_item' THEN {jlist('long_terms[2:]')}
         WHEN 'list_as_text' THEN to_json(array_to_string(long_terms, ' '))::VARCHAR
         ELSE j_long_terms END,
@@ -143,7 +143,7 @@ def ok_number(f: str) -> str:
 
 
 def lower_set(x: str) -> str:
-    return f"list_distinct(list_transform({x}, w -> lower(w)))"
+    return f"list_distinct(list_transform({x}, lambda w: lower(w)))"
 
 
 def predicted_set(f: str) -> str:
@@ -152,7 +152,7 @@ def predicted_set(f: str) -> str:
 
 
 COMPARED = f"""
-both AS (
+paired AS (
   SELECT p.run, p.row_id, p.json_valid, p.obj,
     {", ".join(ok_string(f) for f in STRINGS)},
     {", ".join(ok_number(f) for f in NUMBERS)},
@@ -167,7 +167,7 @@ compared AS (
             WHEN len(s_{f}) = 0 OR len(gs_{f}) = 0 THEN 0.0::DOUBLE
             ELSE 2.0::DOUBLE * len(list_intersect(s_{f}, gs_{f})) / (len(s_{f}) + len(gs_{f})) END AS f1_{f}'''
       for f in LISTS)}
-  FROM both)"""
+  FROM paired)"""
 
 SCORED = f"""
 scored AS (
@@ -473,7 +473,7 @@ shaped AS (
   SELECT *, {numbers(d('low'), P.salary_low)} AS low, {numbers(d('gap'), P.salary_gap)} AS gap,
          {prefix} AS prefix, {years} AS years,
          list_transform(list_sort(list_transform({pools}[role],
-             s -> {{'d': md5('{SEED}:' || row_id || ':order:' || s), 's': s}})), t -> t.s) AS skills
+             lambda s: {{'d': md5('{SEED}:' || row_id || ':order:' || s), 's': s}})), lambda t: t.s) AS skills
   FROM drawn),
 sampled AS (
   SELECT row_id,
