@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.testbed import ERROR_KINDS, ERROR_RATES, RUNS, WORD, DOC_SPEC
+from checks.testbed import DOC_SPEC, ERROR_KINDS, ERROR_RATES, RUNS
 from gleanframe.operators.synth import JOB_POOLS as P
 
 SEED = 42
@@ -20,8 +20,14 @@ def lits(values) -> str:
     return "[" + ", ".join(lit(v) for v in values) + "]"
 
 
-def u(seed: int, key: str, draw: str) -> str:
-    return f"(('0x' || substr(md5('{seed}:' || ({key}) || ':{draw}'), 1, 8))::BIGINT / 4294967296.0::DOUBLE)"
+def u(seed: int, key: str, draw: str | int, start: int = 1) -> str:
+    return (f"(('0x' || substr(md5('{seed}:' || ({key}) || ':{draw}'), {start}, 8))::BIGINT"
+            " / 4294967296.0::DOUBLE)")
+
+
+def nth(seed: int, key: str, i: int) -> str:
+    """The i-th of several draws of one row: four to a digest."""
+    return u(seed, key, i // 4, 1 + 8 * (i % 4))
 
 
 # --- stand-in gold records and answers ----------------------------------------------------
@@ -42,23 +48,21 @@ GOLD = f"""
 words AS (
   SELECT d.doc_id AS row_id, d.text AS posting, d.lang, d.source, d.n_chars, l.quality, l.toxic,
          CASE l.quality WHEN 1 THEN 'good' WHEN 0 THEN 'poor' END AS band,
-         list_transform(list_sort(list_transform(
-             list_distinct(regexp_extract_all(d.text, '{WORD}')),
-             lambda w: {{'n': -length(w), 'w': w}})), lambda t: t.w) AS terms
+         list_reverse_sort(list_distinct(string_split(d.text, ' '))) AS terms
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
 gold AS (
   SELECT row_id, posting, lang, source, n_chars, quality, toxic, band,
-         terms[1:4] AS long_terms, terms[5:4 + (n_chars % 3)] AS next_terms
+         terms[1:4] AS last_terms, terms[5:4 + (n_chars % 3)] AS more_terms
   FROM words),
 gold_text AS (
   SELECT *, {jstr('lang')} AS j_lang, {jstr('source')} AS j_source, {jnum('n_chars')} AS j_n_chars,
          {jnum('quality')} AS j_quality, {jnum('toxic')} AS j_toxic, {jstr('band')} AS j_band,
-         {jlist('long_terms')} AS j_long_terms, {jlist('next_terms')} AS j_next_terms
+         {jlist('last_terms')} AS j_last_terms, {jlist('more_terms')} AS j_more_terms
   FROM gold),
 answers AS (
   SELECT *, '{{"lang": ' || j_lang || ', "source": ' || j_source || ', "n_chars": ' || j_n_chars
          || ', "quality": ' || j_quality || ', "toxic": ' || j_toxic || ', "band": ' || j_band
-         || ', "long_terms": ' || j_long_terms || ', "next_terms": ' || j_next_terms || '}}' AS answer
+         || ', "last_terms": ' || j_last_terms || ', "more_terms": ' || j_more_terms || '}}' AS answer
   FROM gold_text)"""
 
 RUN_ROWS = ", ".join("(" + ", ".join(lit(v) for v in (*r, ERROR_RATES[r[0]])) + ")" for r in RUNS)
@@ -70,9 +74,9 @@ KEY = "run || ':' || row_id"
 PREDS = f"""
 asked AS (
   SELECT g.*, r.run,
-         CASE WHEN {u(7, KEY, 'err')} < r.rate
-              THEN {lits(ERROR_KINDS)}[1 + floor({u(7, KEY, 'kind')} * {len(ERROR_KINDS)})::INT]
-              WHEN {u(7, KEY, 'fence')} < 0.3 THEN 'fenced' ELSE 'plain' END AS kind
+         CASE WHEN {nth(7, KEY, 0)} < r.rate
+              THEN {lits(ERROR_KINDS)}[1 + floor({nth(7, KEY, 1)} * {len(ERROR_KINDS)})::INT]
+              WHEN {nth(7, KEY, 2)} < 0.3 THEN 'fenced' ELSE 'plain' END AS kind
   FROM gold_text g, (SELECT run, rate FROM runs) r
   WHERE r.run <> 'src_hand' OR g.quality IS NOT NULL),
 bodies AS (
@@ -86,12 +90,12 @@ bodies AS (
                           THEN CASE WHEN quality = 0 THEN 'false' ELSE 'true' END ELSE j_quality END,
     '"toxic": ' || j_toxic,
     '"band": ' || j_band,
-    '"long_terms": ' || CASE kind
-        WHEN 'recased' THEN {jlist('list_transform(long_terms, lambda w: upper(w))')}
-        WHEN 'dropped_item' THEN {jlist('long_terms[2:]')}
-        WHEN 'list_as_text' THEN to_json(array_to_string(long_terms, ' '))::VARCHAR
-        ELSE j_long_terms END,
-    '"next_terms": ' || j_next_terms,
+    '"last_terms": ' || CASE kind
+        WHEN 'recased' THEN {jlist('list_transform(last_terms, lambda w: lower(w))')}
+        WHEN 'dropped_item' THEN {jlist('last_terms[2:]')}
+        WHEN 'list_as_text' THEN to_json(array_to_string(last_terms, ' '))::VARCHAR
+        ELSE j_last_terms END,
+    '"more_terms": ' || j_more_terms,
     CASE WHEN kind = 'extra' THEN '"note": "x"' END) || '}}' AS body
   FROM asked),
 preds AS (
@@ -208,7 +212,7 @@ ORACLE: dict[str, str] = {}
 ORACLE["a1_read_records"] = "WITH" + GOLD + """
 SELECT md5(posting) AS posting_md5, lang, source, n_chars::DOUBLE AS n_chars,
        quality::DOUBLE AS quality, toxic::DOUBLE AS toxic, band,
-       array_to_string(long_terms, '|') AS long_terms, array_to_string(next_terms, '|') AS next_terms
+       array_to_string(last_terms, '|') AS last_terms, array_to_string(more_terms, '|') AS more_terms
 FROM gold"""
 
 ORACLE["a2_write_records"] = "WITH" + GOLD + """,
@@ -446,8 +450,12 @@ def numbers(x: str, cases) -> str:
 
 
 def sampler(ids: str) -> str:
+    order = ("role", "seniority", "employment", "workplace", "location", "city", "company",
+             "education", "years", "salary", "currency", "period", "low", "gap", "no_max", "no_min",
+             "required", "preferred")
+
     def d(name):
-        return u(SEED, "row_id", name)
+        return nth(SEED, "row_id", order.index(name))
 
     titles = list(P.roles)
     pools = "[" + ", ".join(lits(s) for s in P.roles.values()) + "]"
@@ -472,8 +480,9 @@ drawn AS (
 shaped AS (
   SELECT *, {numbers(d('low'), P.salary_low)} AS low, {numbers(d('gap'), P.salary_gap)} AS gap,
          {prefix} AS prefix, {years} AS years,
+         md5('{SEED}:' || row_id || ':order:0') || md5('{SEED}:' || row_id || ':order:1') AS hex,
          list_transform(list_sort(list_transform({pools}[role],
-             lambda s: {{'d': md5('{SEED}:' || row_id || ':order:' || s), 's': s}})), lambda t: t.s) AS skills
+             lambda s, i: {{'d': substr(hex, 1 + 6 * (i - 1), 6), 's': s}})), lambda t: t.s) AS skills
   FROM drawn),
 sampled AS (
   SELECT row_id,
@@ -497,9 +506,9 @@ _SAMPLED = "WITH" + sampler("SELECT doc_id AS row_id FROM documents")
 
 ORACLE["f1_uniform"] = f"SELECT doc_id, round({u(SEED, 'doc_id', 'x')}, 9) AS u FROM documents"
 ORACLE["f2_choose"] = f"""
-SELECT doc_id, {pick(u(SEED, 'doc_id', 'education'), P.education)} AS education FROM documents"""
+SELECT doc_id, {pick(nth(SEED, 'doc_id', 0), P.education)} AS education FROM documents"""
 ORACLE["f3_choose_weighted"] = f"""
-SELECT doc_id, {pick_weighted(u(SEED, 'doc_id', 'seniority'), P.seniority_weights.items())} AS seniority
+SELECT doc_id, {pick_weighted(nth(SEED, 'doc_id', 0), P.seniority_weights.items())} AS seniority
 FROM documents"""
 ORACLE["f4_conditional_fields"] = _SAMPLED + """
 SELECT row_id, seniority, title, employment_type, min_years_experience FROM sampled"""

@@ -13,7 +13,7 @@ from gleanframe.operators import chat, mix, parse, score, split, synth
 from gleanframe.plans import reports
 from gleanframe.session import shared_path
 from gleanframe.sources import predictions, records
-from gleanframe.spec import LIST, RecordSpec
+from gleanframe.spec import LIST, STRING, RecordSpec
 
 SPEC = B.DOC_SPEC
 SEED = 42
@@ -197,9 +197,8 @@ def d1_slice_pages(spark, sf_dir):
 @query
 def d2_parse_object(spark, sf_dir):
     parsed = parse.parse_object(B.doc_preds(spark, sf_dir))
-    value = {f.name: F.try_variant_get("object", X.path(f.name), "string").alias(f.name)
-             for f in SPEC.scalars}
-    return parsed.select("run", "row_id", "json_valid", *value.values())
+    values = [f"{X.member_value('object', f.name, STRING)} AS {f.name}" for f in SPEC.scalars]
+    return parsed.selectExpr("run", "row_id", "json_valid", *values)
 
 
 @query
@@ -323,21 +322,20 @@ def _sampled(spark, sf_dir):
 @query
 def f1_uniform(spark, sf_dir):
     return _documents(spark, sf_dir).select(
-        "doc_id", F.round(D.uniform(SEED, F.col("doc_id"), "x"), 9).alias("u"))
+        "doc_id", F.round(F.expr(D.uniform(SEED, "doc_id", "x")), 9).alias("u"))
 
 
 @query
 def f2_choose(spark, sf_dir):
-    u = D.uniform(SEED, F.col("doc_id"), "education")
-    return _documents(spark, sf_dir).select(
-        "doc_id", D.choose(u, synth.JOB_POOLS.education).alias("education"))
+    drawn = D.with_draws(_documents(spark, sf_dir), SEED, "doc_id", ["education"])
+    return drawn.selectExpr("doc_id", f"{D.choose('u_education', synth.JOB_POOLS.education)} AS education")
 
 
 @query
 def f3_choose_weighted(spark, sf_dir):
-    u = D.uniform(SEED, F.col("doc_id"), "seniority")
+    drawn = D.with_draws(_documents(spark, sf_dir), SEED, "doc_id", ["seniority"])
     weights = list(synth.JOB_POOLS.seniority_weights.items())
-    return _documents(spark, sf_dir).select("doc_id", D.choose_weighted(u, weights).alias("seniority"))
+    return drawn.selectExpr("doc_id", f"{D.choose_weighted('u_seniority', weights)} AS seniority")
 
 
 @query
@@ -369,7 +367,7 @@ def f7_shuffled_prefix(spark, sf_dir):
 
 @query
 def f8_sample_labels(spark, sf_dir):
-    orders = B.table(spark, sf_dir, "orders")
+    orders = B.table(spark, sf_dir, "orders", "o_orderkey")
     sampled = synth.sample_labels(orders, "o_orderkey", SEED)
     return sampled.select("row_id", *_flat_labels(synth.JOB_POSTING))
 

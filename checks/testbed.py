@@ -6,10 +6,10 @@ is a record to extract, and ten runs answer it with known kinds of errors.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gleanframe.functions import json_text as J
-from gleanframe.functions.draws import uniform
+from gleanframe.functions.draws import choose, with_draws
 from gleanframe.spec import LIST, NUMBER, Field, RecordSpec
 
 DOC_SPEC = RecordSpec(
@@ -20,8 +20,8 @@ DOC_SPEC = RecordSpec(
         Field("quality", NUMBER),
         Field("toxic", NUMBER),
         Field("band", domain=("good", "poor")),
-        Field("long_terms", LIST, nullable=False),
-        Field("next_terms", LIST, nullable=False),
+        Field("last_terms", LIST, nullable=False),
+        Field("more_terms", LIST, nullable=False),
     ),
     prompt_head="Describe the document as one JSON object of this shape:",
     prompt_tail="Use null for what is unknown.",
@@ -51,7 +51,6 @@ ERROR_KINDS = (
     "prose", "missing", "number_text", "truncated", "single_quotes", "trailing", "changed",
     "recased", "dropped_item", "no_text", "list_as_text", "bool_number", "extra", "null_required",
 )
-WORD = "[A-Za-zÀ-ÖØ-Þà-öø-ÿ]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
@@ -74,53 +73,37 @@ def run_config(spark: SparkSession) -> DataFrame:
 
 
 def doc_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(row_id, posting, labels). The list fields are the longest distinct words of the text."""
+    """(row_id, posting, labels). The list fields are the last distinct words in text order."""
     docs = table(spark, sf_dir, "documents", "doc_id").join(
         table(spark, sf_dir, "labels"), "doc_id", "left")
-    words = F.array_distinct(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
-    ranked = F.array_sort(F.transform(words, lambda w: F.struct((-F.length(w)).alias("n"),
-                                                               w.alias("w"))))
-    docs = docs.withColumn("_terms", F.transform(ranked, lambda t: t["w"]))
-    band = F.when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor")
-    labels = F.struct(
-        F.col("lang"), F.col("source"),
-        F.col("n_chars").cast("double").alias("n_chars"),
-        F.col("quality").cast("double").alias("quality"),
-        F.col("toxic").cast("double").alias("toxic"),
-        band.alias("band"),
-        F.slice("_terms", F.lit(1), F.lit(4)).alias("long_terms"),
-        F.slice("_terms", F.lit(5), (F.col("n_chars") % 3).cast("int")).alias("next_terms"),
-    )
-    return docs.select(F.col("doc_id").alias("row_id"), F.col("text").alias("posting"),
-                       labels.alias("labels"))
-
-
-def _answer(kind: Column) -> Column:
-    """The raw text of one answer: the gold object with one kind of error."""
-    g = {f.name: F.col(f"labels.{f.name}") for f in DOC_SPEC.fields}
-    normal = {f.name: J.json_value(f.kind, g[f.name]) for f in DOC_SPEC.fields}
-
-    def is_(name: str) -> Column:
-        return kind == name
-
+    terms = "sort_array(array_distinct(split(text, ' ')), false)"
+    return docs.selectExpr("*", f"{terms} AS _terms").selectExpr(
+        "doc_id AS row_id", "text AS posting",
+        "struct(lang, source, cast(n_chars AS double) AS n_chars, "
+        "cast(quality AS double) AS quality, cast(toxic AS double) AS toxic, "
+        "CASE quality WHEN 1 THEN 'good' WHEN 0 THEN 'poor' END AS band, "
+        "slice(_terms, 1, 4) AS last_terms, "
+        "slice(_terms, 5, cast(n_chars % 3 AS int)) AS more_terms) AS labels")
+
+
+def _answer() -> str:
+    """The raw object of one answer: the gold object with the error named by `kind`."""
+    normal = {f.name: J.json_value(f.kind, f"labels.{f.name}") for f in DOC_SPEC.fields}
     value = dict(normal)
-    value["lang"] = (F.when(is_("changed"), F.lit('"xx"')).when(is_("null_required"), F.lit("null"))
-                     .otherwise(normal["lang"]))
-    value["n_chars"] = F.when(is_("number_text"), J.json_string(J.json_number(g["n_chars"]))
-                              ).otherwise(normal["n_chars"])
-    value["quality"] = F.when(
-        is_("bool_number"), F.when(g["quality"] == 0, F.lit("false")).otherwise(F.lit("true"))
-    ).otherwise(normal["quality"])
-    value["long_terms"] = (
-        F.when(is_("recased"), J.json_list(F.transform(g["long_terms"], F.upper)))
-        .when(is_("dropped_item"), J.json_list(F.slice(g["long_terms"], F.lit(2), F.lit(9))))
-        .when(is_("list_as_text"), J.json_string(F.array_join(g["long_terms"], " ")))
-        .otherwise(normal["long_terms"]))
-    members = [F.concat(F.lit(f'"{name}": '), text) for name, text in value.items()]
-    names = list(value)
-    members[names.index("n_chars")] = F.when(~is_("missing"), members[names.index("n_chars")])
-    members.append(F.when(is_("extra"), F.lit('"note": "x"')))
-    return F.concat(F.lit("{"), F.concat_ws(", ", *members), F.lit("}"))
+    value["lang"] = (f"CASE kind WHEN 'changed' THEN '\"xx\"' WHEN 'null_required' THEN 'null' "
+                     f"ELSE {normal['lang']} END")
+    value["n_chars"] = (f"CASE kind WHEN 'missing' THEN NULL "
+                        f"WHEN 'number_text' THEN concat('\"', {normal['n_chars']}, '\"') "
+                        f"ELSE {normal['n_chars']} END")
+    value["quality"] = (f"CASE WHEN kind != 'bool_number' THEN {normal['quality']} "
+                        "WHEN labels.quality = 0 THEN 'false' ELSE 'true' END")
+    value["last_terms"] = (
+        f"CASE kind WHEN 'recased' THEN {J.json_list('transform(labels.last_terms, x -> lower(x))')} "
+        f"WHEN 'dropped_item' THEN {J.json_list('slice(labels.last_terms, 2, 9)')} "
+        f"WHEN 'list_as_text' THEN {J.json_string('array_join(labels.last_terms, chr(32))')} "
+        f"ELSE {normal['last_terms']} END")
+    value["note"] = "CASE kind WHEN 'extra' THEN '\"x\"' END"
+    return J.json_object(list(value.items()))
 
 
 def doc_preds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,27 +111,23 @@ def doc_preds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The run `src_hand` answered the documents of `labels` only, so it lacks answers.
     """
-    rates = F.array(*[F.struct(F.lit(r).alias("run"), F.lit(ERROR_RATES[r]).alias("rate"))
-                      for r, *_ in RUNS])
-    asked = (doc_gold(spark, sf_dir).select("row_id", "labels", F.explode(rates).alias("_r"))
-             .select("row_id", "labels", "_r.run", "_r.rate")
-             .where((F.col("run") != "src_hand") | F.col("labels.quality").isNotNull()))
-    key = F.concat_ws(":", "run", F.col("row_id").cast("string"))
-    kinds = F.array(*[F.lit(k) for k in ERROR_KINDS])
-    kind = F.when(uniform(7, key, "err") < F.col("rate"), F.element_at(
-        kinds, 1 + F.floor(uniform(7, key, "kind") * len(ERROR_KINDS)).cast("int"))
-    ).when(uniform(7, key, "fence") < 0.3, F.lit("fenced")).otherwise(F.lit("plain"))
-    body = (asked.withColumn("kind", kind).withColumn("body", _answer(F.col("kind")))
-            .select("run", "row_id", "kind", "body"))
-    b = F.col("body")
-    raw = (F.when(F.col("kind") == "fenced", F.concat(F.lit("```json\n"), b, F.lit("\n```")))
-           .when(F.col("kind") == "prose", F.concat(F.lit("Here it is: "), b, F.lit(" Done.")))
-           .when(F.col("kind") == "truncated", F.substring(b, F.lit(1), F.length(b) - 5))
-           .when(F.col("kind") == "single_quotes", F.replace(b, F.lit('"'), F.lit("'")))
-           .when(F.col("kind") == "trailing", F.concat(b, F.lit(' {"lang": "en"}')))
-           .when(F.col("kind") == "no_text", F.lit(None).cast("string"))
-           .otherwise(b))
-    return body.select("run", "row_id", raw.alias("raw_text"))
+    rates = "array(" + ", ".join(f"struct('{r}' AS run, {ERROR_RATES[r]}D AS rate)"
+                                 for r, *_ in RUNS) + ")"
+    asked = (doc_gold(spark, sf_dir).selectExpr("row_id", "labels", f"inline({rates})")
+             .where("run != 'src_hand' OR labels.quality IS NOT NULL"))
+    drawn = with_draws(asked, 7, "concat_ws(':', run, row_id)", ["err", "kind", "fence"])
+    return drawn.selectExpr(
+        "run", "row_id", "labels",
+        f"CASE WHEN u_err < rate THEN {choose('u_kind', ERROR_KINDS)} "
+        "WHEN u_fence < 0.3D THEN 'fenced' ELSE 'plain' END AS kind",
+    ).selectExpr("run", "row_id", "kind", f"{_answer()} AS body").selectExpr(
+        "run", "row_id",
+        "CASE kind WHEN 'fenced' THEN concat('```json\n', body, '\n```') "
+        "WHEN 'prose' THEN concat('Here it is: ', body, ' Done.') "
+        "WHEN 'truncated' THEN substring(body, 1, length(body) - 5) "
+        "WHEN 'single_quotes' THEN replace(body, '\"', \"'\") "
+        "WHEN 'trailing' THEN concat(body, ' {\"lang\": \"en\"}') "
+        "WHEN 'no_text' THEN NULL ELSE body END AS raw_text")
 
 
 def origin_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

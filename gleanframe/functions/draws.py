@@ -1,67 +1,94 @@
-"""Seeded draws as pure functions of a row's key.
+"""Seeded draws as pure functions of a row's key, written as Spark SQL expressions.
 
 A value depends only on (seed, key, draw name), so it is the same on any
 partitioning, after a retry on another executor, and in any other SQL engine.
+Expressions for the key are passed as SQL text.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import DataFrame
 
-_TWO_POW_32 = float(2**32)
+from gleanframe.functions.sql import array, literal
 
+_HEX_PER_DRAW = 8                # 32 bits
+_DRAWS_PER_DIGEST = 32 // _HEX_PER_DRAW
+_HEX_PER_ITEM = 6                # 24 bits order the items of a short list
 
-def digest(*parts: Any) -> Column:
-    """md5 of the parts joined by ':' (columns, or plain values taken as literals)."""
-    columns = [p if isinstance(p, Column) else F.lit(str(p)) for p in parts]
-    return F.md5(F.concat_ws(":", *[c.cast("string") for c in columns]))
 
+def digest(seed: int, key: str, *parts: Any) -> str:
+    """md5 of seed, key and parts joined by ':'."""
+    tail = "".join(f", {literal(str(p))}" for p in parts)
+    return f"md5(concat_ws(':', '{seed}', {key}{tail}))"
 
-def order_key(seed: int, key: Column) -> Column:
+
+def order_key(seed: int, key: str) -> str:
     """Sort key of a seeded shuffle: 128 bits, so distinct keys do not tie."""
     return digest(seed, key)
 
 
-def uniform(seed: int, key: Column, draw: str) -> Column:
+def _fraction(digest_sql: str, start: int) -> str:
+    bits = f"conv(substring({digest_sql}, {start}, {_HEX_PER_DRAW}), 16, 10)"
+    return f"(cast({bits} AS double) / 4294967296D)"
+
+
+def uniform(seed: int, key: str, draw: str) -> str:
     """A number in [0, 1) for this row and draw name."""
-    bits = F.conv(F.substring(digest(seed, key, draw), 1, 8), 16, 10)
-    return bits.cast("double") / F.lit(_TWO_POW_32)
+    return _fraction(digest(seed, key, draw), 1)
+
+
+def with_draws(df: DataFrame, seed: int, key: str, names: Sequence[str]) -> DataFrame:
+    """Adds `u_<name>` in [0, 1) for each name; one digest feeds four draws.
 
+    The draws are columns of their own, so a later CASE over one does not hash again.
+    """
+    blocks = range(math.ceil(len(names) / _DRAWS_PER_DIGEST))
+    hashed = df.selectExpr("*", *[f"{digest(seed, key, b)} AS _d{b}" for b in blocks])
+    draws = [
+        f"{_fraction(f'_d{i // _DRAWS_PER_DIGEST}', 1 + _HEX_PER_DRAW * (i % _DRAWS_PER_DIGEST))}"
+        f" AS u_{n}"
+        for i, n in enumerate(names)]
+    return hashed.selectExpr(*[f"`{c}`" for c in df.columns], *draws)
 
-def choose(u: Column, values: Sequence[Any]) -> Column:
+
+def index_below(u: str, n: int) -> str:
+    return f"cast(floor({u} * {n}) AS int)"
+
+
+def choose(u: str, values: Sequence[Any]) -> str:
     """Uniform choice; a value listed twice weighs double, None is a value."""
-    options = F.array(*[F.lit(v) for v in values])
-    return F.element_at(options, 1 + index_below(u, len(values)))
+    return f"element_at({array(values)}, 1 + {index_below(u, len(values))})"
 
 
-def choose_weighted(u: Column, weighted: Sequence[tuple[Any, float]]) -> Column:
+def choose_weighted(u: str, weighted: Sequence[tuple[Any, float]]) -> str:
     """Choice in proportion to the weights; a value of weight 0 never comes."""
     total = float(sum(w for _, w in weighted))
     drawn = [(v, w) for v, w in weighted if w > 0]
-    upto, branches = 0.0, None
+    upto, branches = 0.0, []
     for value, weight in drawn[:-1]:
         upto += weight
-        below = u < F.lit(upto / total)
-        branches = (F.when(below, F.lit(value)) if branches is None
-                    else branches.when(below, F.lit(value)))
-    last = F.lit(drawn[-1][0])
-    return last if branches is None else branches.otherwise(last)
+        branches.append(f"WHEN {u} < {literal(upto / total)} THEN {literal(value)}")
+    last = literal(drawn[-1][0])
+    return f"CASE {' '.join(branches)} ELSE {last} END" if branches else last
 
 
-def index_below(u: Column, n: int) -> Column:
-    return F.floor(u * F.lit(n)).cast("int")
+def grid(u: str, low: int, step: int, n: int) -> str:
+    """One of the n numbers low, low + step, ..."""
+    return f"cast({low} + {step} * {index_below(u, n)} AS double)"
 
 
-def grid(u: Column, low: int, step: int, n: int) -> Column:
-    """One of the n numbers low, low + step, ..."""
-    return (F.lit(low) + F.lit(step) * index_below(u, n)).cast("double")
+def shuffle_digest(seed: int, key: str, longest: int) -> str:
+    """Hex digits enough to order a list of up to `longest` items."""
+    blocks = math.ceil(longest * _HEX_PER_ITEM / 32)
+    return "concat(" + ", ".join(digest(seed, key, "order", b) for b in range(blocks)) + ")"
 
 
-def shuffled(seed: int, key: Column, values: Column) -> Column:
-    """The row's own order of a list of distinct strings."""
-    tagged = F.transform(values, lambda v: F.struct(digest(seed, key, "order", v).alias("d"),
-                                                    v.alias("v")))
-    return F.transform(F.array_sort(tagged), lambda t: t["v"])
+def shuffled(digest_sql: str, values: str) -> str:
+    """The list in the order of its items' shares of the digest."""
+    tagged = (f"transform({values}, (s, i) -> struct("
+              f"substring({digest_sql}, 1 + {_HEX_PER_ITEM} * i, {_HEX_PER_ITEM}) AS d, s AS s))")
+    return f"transform(array_sort({tagged}), t -> t.s)"

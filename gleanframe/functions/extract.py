@@ -1,75 +1,78 @@
-"""Pulling one JSON object out of free model text, and typed access to its fields."""
+"""Pulling one JSON object out of free model text, and typed access to its fields.
 
-from __future__ import annotations
+All arguments and results are Spark SQL text.
+"""
 
-from pyspark.sql import Column, functions as F
+from __future__ import annotations
 
+from gleanframe.functions.sql import literal
 from gleanframe.spec import NUMBER, STRING
 
 
-def slice_json(text: Column) -> Column:
+def slice_json(text: str) -> str:
     """From the first '{' to the last '}'; NULL if either is missing, '' if they cross.
 
     Two searches and one substring: linear in the text, unlike a backtracking regex.
     """
-    first = F.instr(text, "{")
-    last = F.length(text) - F.instr(F.reverse(text), "}") + 1
-    length = F.greatest(F.lit(0), last - first + 1)
-    return F.when(F.contains(text, F.lit("{")) & F.contains(text, F.lit("}")),
-                  F.substring(text, first, length))
+    first = f"instr({text}, '{{')"
+    last = f"length({text}) - instr(reverse({text}), '}}') + 1"
+    return (f"CASE WHEN contains({text}, '{{') AND contains({text}, '}}') "
+            f"THEN substring({text}, {first}, greatest(0, {last} - {first} + 1)) END")
 
 
-def sealed_array(piece: Column, seal: Column) -> Column:
+def sealed_array(piece: str, seal: str) -> str:
     """`[piece, seal]` parsed as one JSON array.
 
     The parser ignores text after the value it has read. The seal, a hash of the
     piece, sits at the very end: it is element 1 only if the parser read the whole
     piece as exactly one value.
     """
-    return F.try_parse_json(
-        F.concat(F.lit("["), piece, F.lit(","), seal.cast("string"), F.lit("]")))
+    return f"try_parse_json(concat('[', {piece}, ',', {seal}, ']'))"
+
+
+def is_sealed(array: str, seal: str) -> str:
+    return f"coalesce(try_variant_get({array}, '$[1]', 'bigint') = {seal}, false)"
 
 
-def is_sealed(array: Column, seal: Column) -> Column:
-    return F.coalesce(F.try_variant_get(array, "$[1]", "bigint") == seal, F.lit(False))
+def path(member: str) -> str:
+    return literal(f"$['{member}']")
 
 
-def path(name: str) -> str:
-    return f"$['{name}']"
+def member(obj: str, field: str) -> str:
+    return f"try_variant_get({obj}, {path(field)}, 'variant')"
 
 
-def field_type(obj: Column, name: str) -> Column:
+def member_type(obj: str, field: str) -> str:
     """Type name of a member; NULL when it is missing, VOID when it is null."""
-    return F.schema_of_variant(F.try_variant_get(obj, path(name), "variant"))
+    return f"schema_of_variant({member(obj, field)})"
 
 
-def has_kind(type_name: Column, kind: str) -> Column:
+def has_kind(type_name: str, kind: str) -> str:
     """Whether a member of that type can equal a gold value of the kind.
 
     Truth values count as the numbers 1 and 0; text never equals a number.
     """
     if kind == STRING:
-        return type_name == "STRING"
+        return f"{type_name} = 'STRING'"
     if kind == NUMBER:
-        return (type_name.isin("BIGINT", "DOUBLE", "BOOLEAN")
-                | type_name.startswith("DECIMAL"))
-    return type_name.startswith("ARRAY")
+        return (f"({type_name} IN ('BIGINT', 'DOUBLE', 'BOOLEAN') "
+                f"OR startswith({type_name}, 'DECIMAL'))")
+    return f"startswith({type_name}, 'ARRAY')"
 
 
-def field_value(obj: Column, name: str, kind: str) -> Column:
+def member_value(obj: str, field: str, kind: str) -> str:
     spark_type = {STRING: "string", NUMBER: "double"}.get(kind, "array<string>")
-    return F.try_variant_get(obj, path(name), spark_type)
+    return f"try_variant_get({obj}, {path(field)}, '{spark_type}')"
 
 
-def lower_set(values: Column) -> Column:
+def lower_set(values: str) -> str:
     """Distinct lower-cased items without nulls; a NULL list is the empty set."""
-    lowered = F.transform(values, F.lower)
-    nothing = F.array(F.lit(None).cast("string"))
-    return F.coalesce(F.array_except(lowered, nothing), F.array().cast("array<string>"))
+    return (f"coalesce(array_except(transform({values}, x -> lower(x)), "
+            f"array(cast(NULL AS string))), cast(array() AS array<string>))")
 
 
-def set_f1(left: Column, right: Column) -> Column:
+def set_f1(left: str, right: str) -> str:
     """Harmonic mean of precision and recall of two sets; 1 when both are empty."""
-    total = F.size(left) + F.size(right)
-    common = F.size(F.array_intersect(left, right))
-    return F.when(total == 0, F.lit(1.0)).otherwise(2.0 * common / total)
+    total = f"(size({left}) + size({right}))"
+    return (f"CASE WHEN {total} = 0 THEN 1D "
+            f"ELSE 2D * size(array_intersect({left}, {right})) / {total} END")

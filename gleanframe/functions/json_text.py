@@ -1,53 +1,54 @@
 """JSON text with ", " and ": " separators, raw non-ASCII, nulls kept, whole numbers without a point.
 
 `to_json` would write 160000.0 for a double and no spaces. The text is a training
-target, so its bytes matter, not only its value.
+target, so its bytes matter, not only its value. All arguments are SQL text.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, functions as F
-
+from gleanframe.functions.sql import literal, name
 from gleanframe.spec import LIST, NUMBER, RecordSpec
 
-_EXACT_IN_DOUBLE = float(2**53)
 
+def json_string(x: str) -> str:
+    """A quoted string or null: the only item of a JSON array, without its brackets.
 
-def json_string(value: Column) -> Column:
-    quoted = F.to_json(F.array(value))
-    return F.when(value.isNull(), F.lit("null")).otherwise(
-        F.substring(quoted, F.lit(2), F.length(quoted) - 2))
+    The item starts and ends with a quote, so no bracket of its own is trimmed.
+    """
+    return f"trim(BOTH '[]' FROM to_json(array({x})))"
 
 
-def json_number(value: Column) -> Column:
-    whole = (value == F.floor(value)) & (F.abs(value) <= F.lit(_EXACT_IN_DOUBLE))
-    return F.coalesce(
-        F.when(whole, value.cast("bigint").cast("string")).otherwise(value.cast("string")),
-        F.lit("null"))
+def json_number(x: str) -> str:
+    return (f"CASE WHEN abs({x}) <= 9007199254740992D AND {x} = floor({x}) "
+            f"THEN cast(cast({x} AS bigint) AS string) "
+            f"ELSE coalesce(cast({x} AS string), 'null') END")
 
 
-def json_list(values: Column) -> Column:
-    items = F.array_join(F.transform(values, json_string), ", ")
-    return F.when(values.isNull(), F.lit("null")).otherwise(
-        F.concat(F.lit("["), items, F.lit("]")))
+def json_list(x: str) -> str:
+    items = f"array_join(transform({x}, s -> {json_string('s')}), ', ')"
+    return f"coalesce(concat('[', {items}, ']'), 'null')"
 
 
-def json_value(kind: str, value: Column) -> Column:
-    return {LIST: json_list, NUMBER: json_number}.get(kind, json_string)(value)
+def json_value(kind: str, x: str) -> str:
+    return {LIST: json_list, NUMBER: json_number}.get(kind, json_string)(x)
 
 
-def json_object(pairs: Sequence[tuple[str, Column]]) -> Column:
-    """An object from names and values that are JSON text already."""
-    members = [F.concat(F.lit(f'"{name}": '), text) for name, text in pairs]
-    return F.concat(F.lit("{"), F.concat_ws(", ", *members), F.lit("}"))
+def json_object(pairs: Sequence[tuple[str, str]]) -> str:
+    """An object from names and expressions of JSON text; a NULL text leaves its name out."""
+    members = []
+    for key, text in pairs:
+        head = literal(f'"{key}": ')
+        members.append(f"concat({head}, {text})")
+    return "concat('{', concat_ws(', ', " + ", ".join(members) + "), '}')"
 
 
-def labels_json(spec: RecordSpec, labels: Column) -> Column:
-    return json_object([(f.name, json_value(f.kind, labels[f.name])) for f in spec.fields])
+def labels_json(spec: RecordSpec, labels: str = "labels") -> str:
+    return json_object([(f.name, json_value(f.kind, name(f"{labels}.{f.name}")))
+                        for f in spec.fields])
 
 
-def record_json(spec: RecordSpec, text: Column, labels: Column) -> Column:
-    return json_object([(spec.text_column, json_string(text)),
-                        ("labels", labels_json(spec, labels))])
+def record_json(spec: RecordSpec) -> str:
+    return json_object([(spec.text_column, json_string(name(spec.text_column))),
+                        ("labels", labels_json(spec))])

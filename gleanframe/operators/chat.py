@@ -2,25 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from gleanframe.functions.json_text import labels_json
+from gleanframe.functions.sql import literal, name
 from gleanframe.spec import RecordSpec
 
 _TURNS = "array<struct<role:string,content:string>>"
 
 
-def turn(role: str, content: Column) -> Column:
-    return F.struct(F.lit(role).alias("role"), content.alias("content"))
+def turns(*pairs: tuple[str, str]) -> str:
+    """A message array from roles and content expressions."""
+    items = ", ".join(f"struct({literal(role)} AS role, {content} AS content)"
+                      for role, content in pairs)
+    return f"cast(array({items}) AS {_TURNS})"
+
+
+def _system(spec: RecordSpec, system: str | None) -> str:
+    return literal(spec.system_prompt() if system is None else system)
 
 
 def to_chat(df: DataFrame, spec: RecordSpec, system: str | None = None) -> DataFrame:
     """Adds `messages`: system, the posting as user, the gold JSON as assistant."""
-    return df.withColumn("messages", F.array(
-        turn("system", F.lit(spec.system_prompt() if system is None else system)),
-        turn("user", F.col(spec.text_column)),
-        turn("assistant", labels_json(spec, F.col("labels"))),
-    ).cast(_TURNS))
+    messages = turns(("system", _system(spec, system)), ("user", name(spec.text_column)),
+                     ("assistant", labels_json(spec)))
+    return df.selectExpr("*", f"{messages} AS messages")
 
 
 def demo_block(demos: DataFrame, spec: RecordSpec) -> DataFrame:
@@ -28,13 +34,10 @@ def demo_block(demos: DataFrame, spec: RecordSpec) -> DataFrame:
 
     Gives an empty list for no demos. `demos` are the few examples of one prompt.
     """
-    ranked = demos.select(
-        "rank", F.col(spec.text_column).alias("text"),
-        labels_json(spec, F.col("labels")).alias("answer"))
-    in_order = F.array_sort(F.collect_list(F.struct("rank", "text", "answer")))
-    pairs = F.transform(in_order, lambda d: F.array(
-        turn("user", d["text"]), turn("assistant", d["answer"])))
-    return ranked.agg(F.flatten(pairs).cast(_TURNS).alias("messages"))
+    pair = turns(("user", name(spec.text_column)), ("assistant", labels_json(spec)))
+    in_order = "array_sort(collect_list(struct(rank, pair)))"
+    return (demos.selectExpr("rank", f"{pair} AS pair")
+            .groupBy().agg(F.expr(f"flatten(transform({in_order}, d -> d.pair))").alias("messages")))
 
 
 def prompts(df: DataFrame, spec: RecordSpec, block: DataFrame | None = None,
@@ -44,19 +47,17 @@ def prompts(df: DataFrame, spec: RecordSpec, block: DataFrame | None = None,
     The demo block is one value read once, not a join. Without a block the prompt
     is zero-shot.
     """
-    head = turn("system", F.lit(spec.system_prompt() if system is None else system))
-    question = turn("user", F.col(spec.text_column))
+    head, question = ("system", _system(spec, system)), ("user", name(spec.text_column))
     if block is None:
-        return df.withColumn("messages", F.array(head, question).cast(_TURNS))
+        return df.selectExpr("*", f"{turns(head, question)} AS messages")
     examples = block.select("messages").scalar()
     return df.withColumn("messages", F.concat(
-        F.array(head).cast(_TURNS), examples, F.array(question).cast(_TURNS)))
+        F.expr(turns(head)), examples, F.expr(turns(question))))
 
 
 def loss_targets(chat: DataFrame) -> DataFrame:
     """C4: one row per turn with `is_target`: only assistant turns are trained on."""
-    others = [c for c in chat.columns if c != "messages"]
-    turns = chat.select(*others, F.posexplode("messages").alias("turn", "_m"))
-    return turns.select(*others, "turn", F.col("_m.role").alias("role"),
-                        F.col("_m.content").alias("content"),
-                        (F.col("_m.role") == "assistant").alias("is_target"))
+    others = [name(c) for c in chat.columns if c != "messages"]
+    return (chat.selectExpr(*others, "posexplode(messages) AS (turn, _m)")
+            .selectExpr(*others, "turn", "_m.role AS role", "_m.content AS content",
+                        "_m.role = 'assistant' AS is_target"))

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from gleanframe.functions import extract as X
+from gleanframe.functions.sql import array, literal, name
 from gleanframe.session import allow_duplicate_keys
-from gleanframe.spec import LIST, RecordSpec
+from gleanframe.spec import LIST, Field, RecordSpec
 
 
 def slice_text(df: DataFrame, text: str = "raw_text", into: str = "json_text") -> DataFrame:
     """The span that could hold the object."""
-    return df.withColumn(into, X.slice_json(F.col(text)))
+    return df.selectExpr("*", f"{X.slice_json(name(text))} AS {name(into)}")
 
 
 def parse_object(df: DataFrame, text: str = "raw_text") -> DataFrame:
@@ -21,59 +22,61 @@ def parse_object(df: DataFrame, text: str = "raw_text") -> DataFrame:
     projections so that each row is parsed once whatever is read from it later.
     """
     allow_duplicate_keys(df.sparkSession)
+    kept = [name(c) for c in df.columns]
     return (
         slice_text(df, text, "_piece")
-        .withColumn("_seal", F.xxhash64("_piece"))
-        .withColumn("_array", X.sealed_array(F.col("_piece"), F.col("_seal")))
-        .withColumn("json_valid", X.is_sealed(F.col("_array"), F.col("_seal")))
-        .withColumn("object", F.when(F.col("json_valid"),
-                                     F.try_variant_get("_array", "$[0]", "variant")))
-        .drop("_piece", "_seal", "_array")
+        .selectExpr("*", "xxhash64(_piece) AS _seal")
+        .selectExpr(*kept, "_seal", f"{X.sealed_array('_piece', '_seal')} AS _array")
+        .selectExpr(*kept, "_array", f"{X.is_sealed('_array', '_seal')} AS json_valid")
+        .selectExpr(*kept, "json_valid",
+                    "CASE WHEN json_valid THEN try_variant_get(_array, '$[0]', 'variant') END"
+                    " AS object")
     )
 
 
+def _breach(field: str, violation: str) -> str:
+    return f"struct({field} AS field, {literal(violation)} AS violation)"
+
+
+def _check(f: Field) -> str:
+    """The first breach of one field, else NULL."""
+    seen, named = name(f"_t_{f.name}"), literal(f.name)
+    fits = X.has_kind(seen, f.kind)
+    if f.kind == LIST:
+        odd = (f"exists(try_variant_get(object, {X.path(f.name)}, 'array<variant>'), "
+               "v -> coalesce(schema_of_variant(v), 'VOID') != 'STRING')")
+        fits = f"({fits} AND NOT {odd})"
+    else:
+        fits = f"({fits} AND {seen} != 'BOOLEAN')"
+    branches = [f"WHEN {seen} IS NULL THEN {_breach(named, 'missing')}"]
+    if not f.nullable:
+        branches.append(f"WHEN {seen} = 'VOID' THEN {_breach(named, 'null')}")
+    branches.append(f"WHEN {seen} != 'VOID' AND NOT {fits} THEN {_breach(named, 'type')}")
+    if f.domain:
+        allowed = ", ".join(literal(v) for v in f.domain)
+        value = X.member_value("object", f.name, f.kind)
+        branches.append(f"WHEN {seen} != 'VOID' AND {value} NOT IN ({allowed}) "
+                        f"THEN {_breach(named, 'enum')}")
+    return "CASE " + " ".join(branches) + " END"
+
+
 def validate_schema(preds: DataFrame, spec: RecordSpec) -> DataFrame:
     """D3: one row per breach of the schema: (run, row_id, field, violation).
 
     not_json, missing, null (where null is not allowed), type, enum, extra.
     Narrow: every breach comes from its own row.
     """
-    keys = preds.select("run", "row_id", "raw_text")
-    parsed = parse_object(keys)
-    parsed = parsed.select(
+    parsed = parse_object(preds.select("run", "row_id", "raw_text")).selectExpr(
         "run", "row_id", "json_valid", "object",
-        F.map_keys(F.try_variant_get("object", "$", "map<string,variant>")).alias("_names"),
-        *[X.field_type(F.col("object"), f.name).alias(f"_t_{f.name}") for f in spec.fields],
-    )
-
-    def breach(name: str, violation: str):
-        return F.struct(F.lit(name).alias("field"), F.lit(violation).alias("violation"))
-
-    checks = []
-    for f in spec.fields:
-        seen = F.col(f"_t_{f.name}")
-        typed = X.has_kind(seen, f.kind)
-        if f.kind != LIST:
-            typed = typed & (seen != "BOOLEAN")
-        found = F.when(seen.isNull(), breach(f.name, "missing"))
-        if not f.nullable:
-            found = found.when(seen == "VOID", breach(f.name, "null"))
-        found = found.when((seen != "VOID") & ~typed, breach(f.name, "type"))
-        if f.domain:
-            value = X.field_value(F.col("object"), f.name, f.kind)
-            found = found.when((seen != "VOID") & ~value.isin(*f.domain), breach(f.name, "enum"))
-        if f.kind == LIST:
-            items = F.try_variant_get("object", X.path(f.name), "array<variant>")
-            odd = F.exists(items, lambda v: F.coalesce(F.schema_of_variant(v), F.lit("VOID")) != "STRING")
-            found = found.when((seen != "VOID") & odd, breach(f.name, "type"))
-        checks.append(found)
-
-    known = F.array(*[F.lit(f.name) for f in spec.fields])
-    extra = F.transform(F.array_except("_names", known),
-                        lambda n: F.struct(n.alias("field"), F.lit("extra").alias("violation")))
-    broken = F.array(breach("", "not_json"))
-    breaches = F.when(F.col("json_valid"),
-                      F.concat(F.filter(F.array(*checks), lambda b: b.isNotNull()), extra)
-                      ).otherwise(broken)
-    return parsed.select("run", "row_id", F.explode(breaches).alias("_b")).select(
-        "run", "row_id", "_b.field", "_b.violation")
+        "map_keys(try_variant_get(object, '$', 'map<string,variant>')) AS _names",
+        *[f"{X.member_type('object', f.name)} AS {name(f'_t_{f.name}')}" for f in spec.fields])
+    checks = ", ".join(_check(f) for f in spec.fields)
+    known = array(f.name for f in spec.fields)
+    extra = f"transform(array_except(_names, {known}), n -> {_breach('n', 'extra')})"
+    breach_type = "array<struct<field:string,violation:string>>"
+    return parsed.selectExpr(
+        "run", "row_id",
+        f"inline(CASE WHEN json_valid THEN "
+        f"concat(cast(array_compact(array({checks})) AS {breach_type}), "
+        f"cast({extra} AS {breach_type})) "
+        f"ELSE cast(array({_breach(literal(''), 'not_json')}) AS {breach_type}) END)")

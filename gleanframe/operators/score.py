@@ -1,15 +1,18 @@
-"""E1-E3, E10, E11 row level: compare typed predictions with gold labels."""
+"""E1-E3 and E11 on row level: compare typed predictions with gold labels."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, functions as F
 
 from gleanframe.functions import extract as X
 from gleanframe.functions.json_text import json_value
+from gleanframe.functions.sql import literal, name
 from gleanframe.operators.parse import parse_object
-from gleanframe.spec import RecordSpec
+from gleanframe.spec import LIST, RecordSpec
+
+
+def _col(side: str, field: str) -> str:
+    return name(f"{side}_{field}")
 
 
 def typed_predictions(preds: DataFrame, spec: RecordSpec) -> DataFrame:
@@ -20,39 +23,32 @@ def typed_predictions(preds: DataFrame, spec: RecordSpec) -> DataFrame:
     lower-cased set and `j_l`. Columns nobody reads are pruned. Doing this before
     the join means that raw text is never shuffled.
     """
-    obj = F.col("object")
-    parsed = parse_object(preds.select("run", "row_id", "raw_text"))
-    typed = parsed.select(
+    parsed = parse_object(preds.select("run", "row_id", "raw_text")).selectExpr(
         "run", "row_id", "json_valid", "object",
-        *[X.field_type(obj, f.name).alias(f"_t_{f.name}") for f in spec.scalars],
-    )
+        *[f"{X.member_type('object', f.name)} AS {_col('t', f.name)}" for f in spec.scalars])
     columns = []
     for f in spec.scalars:
-        seen = F.col(f"_t_{f.name}")
-        fits = F.coalesce(X.has_kind(seen, f.kind), F.lit(False))
-        stated = F.coalesce(seen != "VOID", F.lit(False))
-        columns += [
-            F.when(fits, X.field_value(obj, f.name, f.kind)).alias(f"p_{f.name}"),
-            (stated & ~fits).alias(f"odd_{f.name}"),
-        ]
+        seen = _col("t", f.name)
+        fits = f"coalesce({X.has_kind(seen, f.kind)}, false)"
+        value = X.member_value("object", f.name, f.kind)
+        columns += [f"CASE WHEN {fits} THEN {value} END AS {_col('p', f.name)}",
+                    f"coalesce({seen} != 'VOID', false) AND NOT {fits} AS {_col('odd', f.name)}"]
     for f in spec.lists:
-        columns.append(X.lower_set(X.field_value(obj, f.name, f.kind)).alias(f"p_{f.name}"))
-    for f in spec.fields:
-        columns.append(F.to_json(F.try_variant_get(obj, X.path(f.name), "variant"))
-                       .alias(f"j_{f.name}"))
-    return typed.select("run", "row_id", "json_valid", *columns)
+        value = X.lower_set(X.member_value("object", f.name, f.kind))
+        columns.append(f"{value} AS {_col('p', f.name)}")
+    texts = [f"to_json({X.member('object', f.name)}) AS {_col('j', f.name)}" for f in spec.fields]
+    return parsed.selectExpr("run", "row_id", "json_valid", *columns, *texts)
 
 
 def gold_columns(gold: DataFrame, spec: RecordSpec) -> DataFrame:
     """`row_id` and per field `g_f` (value or lower-cased set) and `gj_f` (JSON text)."""
     columns = []
-    for f in spec.scalars:
-        columns.append(F.col(f"labels.{f.name}").alias(f"g_{f.name}"))
-    for f in spec.lists:
-        columns.append(X.lower_set(F.col(f"labels.{f.name}")).alias(f"g_{f.name}"))
     for f in spec.fields:
-        columns.append(json_value(f.kind, F.col(f"labels.{f.name}")).alias(f"gj_{f.name}"))
-    return gold.select("row_id", *columns)
+        value = name(f"labels.{f.name}")
+        compared = X.lower_set(value) if f.kind == LIST else value
+        columns += [f"{compared} AS {_col('g', f.name)}",
+                    f"{json_value(f.kind, value)} AS {_col('gj', f.name)}"]
+    return gold.selectExpr("row_id", *columns)
 
 
 def compare_fields(gold: DataFrame, preds: DataFrame, spec: RecordSpec) -> DataFrame:
@@ -64,29 +60,23 @@ def compare_fields(gold: DataFrame, preds: DataFrame, spec: RecordSpec) -> DataF
     shuffles and splits skewed keys.
     """
     both = typed_predictions(preds, spec).join(gold_columns(gold, spec), "row_id")
-    flags = []
-    for f in spec.scalars:
-        same = F.col(f"p_{f.name}").eqNullSafe(F.col(f"g_{f.name}"))
-        flags.append((F.col("json_valid") & ~F.col(f"odd_{f.name}") & same).alias(f"ok_{f.name}"))
-    for f in spec.lists:
-        f1 = X.set_f1(F.col(f"p_{f.name}"), F.col(f"g_{f.name}"))
-        flags.append(F.when(F.col("json_valid"), f1).otherwise(F.lit(0.0)).alias(f"f1_{f.name}"))
-    texts = [F.col(f"{side}_{f.name}") for f in spec.fields for side in ("j", "gj")]
-    return both.select("run", "row_id", "json_valid", *flags, *texts)
+    flags = [f"json_valid AND NOT {_col('odd', f.name)} AND "
+             f"{_col('p', f.name)} <=> {_col('g', f.name)} AS {_col('ok', f.name)}"
+             for f in spec.scalars]
+    flags += [f"CASE WHEN json_valid THEN {X.set_f1(_col('p', f.name), _col('g', f.name))} "
+              f"ELSE 0D END AS {_col('f1', f.name)}" for f in spec.lists]
+    texts = [_col(side, f.name) for f in spec.fields for side in ("j", "gj")]
+    return both.selectExpr("run", "row_id", "json_valid", *flags, *texts)
 
 
 def scored_answers(gold: DataFrame, preds: DataFrame, spec: RecordSpec) -> DataFrame:
     """Five counts per stored answer; an unparseable one keeps its full denominators."""
-    correct = reduce(lambda a, b: a + b, [F.col(f"ok_{f.name}").cast("int") for f in spec.scalars])
-    f1_sum = reduce(lambda a, b: a + b, [F.col(f"f1_{f.name}") for f in spec.lists])
-    return compare_fields(gold, preds, spec).select(
-        "run", "row_id",
-        F.col("json_valid").cast("int").alias("json_valid"),
-        correct.alias("scalar_correct"),
-        F.lit(len(spec.scalars)).alias("scalar_total"),
-        f1_sum.alias("list_f1_sum"),
-        F.lit(len(spec.lists)).alias("list_count"),
-    )
+    correct = " + ".join(f"cast({_col('ok', f.name)} AS int)" for f in spec.scalars) or "0"
+    f1_sum = " + ".join(_col("f1", f.name) for f in spec.lists) or "0D"
+    return compare_fields(gold, preds, spec).selectExpr(
+        "run", "row_id", "cast(json_valid AS int) AS json_valid",
+        f"{correct} AS scalar_correct", f"{len(spec.scalars)} AS scalar_total",
+        f"{f1_sum} AS list_f1_sum", f"{len(spec.lists)} AS list_count")
 
 
 def absent_answers(gold: DataFrame, preds: DataFrame, runs: DataFrame) -> DataFrame:
@@ -95,20 +85,16 @@ def absent_answers(gold: DataFrame, preds: DataFrame, runs: DataFrame) -> DataFr
     Only ids are shuffled. `runs` is the list of compared runs, read as one array.
     """
     names = runs.agg(F.collect_set("run")).scalar()
-    wanted = gold.select("row_id").select(F.explode(names).alias("run"), "row_id")
+    wanted = gold.select(F.explode(names).alias("run"), "row_id")
     return wanted.join(preds.select("run", "row_id"), ["run", "row_id"], "left_anti")
 
 
 def score_rows(gold: DataFrame, preds: DataFrame, runs: DataFrame, spec: RecordSpec) -> DataFrame:
     """One row per (run, gold row); an absent answer scores as unparseable."""
-    absent = absent_answers(gold, preds, runs).select(
-        "run", "row_id",
-        F.lit(0).alias("json_valid"),
-        F.lit(0).alias("scalar_correct"),
-        F.lit(len(spec.scalars)).alias("scalar_total"),
-        F.lit(0.0).alias("list_f1_sum"),
-        F.lit(len(spec.lists)).alias("list_count"),
-    )
+    absent = absent_answers(gold, preds, runs).selectExpr(
+        "run", "row_id", "0 AS json_valid", "0 AS scalar_correct",
+        f"{len(spec.scalars)} AS scalar_total", "0D AS list_f1_sum",
+        f"{len(spec.lists)} AS list_count")
     listed = scored_answers(gold, preds, spec).join(runs.select("run"), "run", "left_semi")
     return listed.unionByName(absent)
 
@@ -119,20 +105,15 @@ def failures(gold: DataFrame, preds: DataFrame, spec: RecordSpec) -> DataFrame:
     A list field is wrong below F1 = 1. An answer without a valid object gives one
     row with the field name ''. Narrow after the join.
     """
-    def entry(name: str, predicted, wanted):
-        return F.struct(F.lit(name).alias("field"), predicted.alias("predicted"),
-                        wanted.alias("gold"))
-
-    nothing = F.lit(None).cast("string")
-    wrong = []
-    for f in spec.scalars:
-        wrong.append(F.when(~F.col(f"ok_{f.name}"),
-                            entry(f.name, F.col(f"j_{f.name}"), F.col(f"gj_{f.name}"))))
-    for f in spec.lists:
-        wrong.append(F.when(F.col(f"f1_{f.name}") < 1.0,
-                            entry(f.name, F.col(f"j_{f.name}"), F.col(f"gj_{f.name}"))))
-    listed = F.when(F.col("json_valid"), F.filter(F.array(*wrong), lambda e: e.isNotNull())
-                    ).otherwise(F.array(entry("", nothing, nothing)))
-    return (compare_fields(gold, preds, spec)
-            .select("run", "row_id", F.explode(listed).alias("_e"))
-            .select("run", "row_id", "_e.field", "_e.predicted", "_e.gold"))
+    entries = []
+    for f in spec.fields:
+        wrong = (f"{_col('f1', f.name)} < 1D" if f.kind == LIST else f"NOT {_col('ok', f.name)}")
+        entries.append(f"CASE WHEN {wrong} THEN struct({literal(f.name)} AS field, "
+                       f"{_col('j', f.name)} AS predicted, {_col('gj', f.name)} AS gold) END")
+    entry_type = "array<struct<field:string,predicted:string,gold:string>>"
+    return compare_fields(gold, preds, spec).selectExpr(
+        "run", "row_id",
+        f"inline(CASE WHEN json_valid "
+        f"THEN cast(array_compact(array({', '.join(entries)})) AS {entry_type}) "
+        f"ELSE cast(array(struct('' AS field, NULL AS predicted, NULL AS gold)) AS {entry_type}) "
+        f"END)")

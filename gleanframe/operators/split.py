@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gleanframe.functions.draws import order_key, uniform
+from gleanframe.functions.sql import literal, name
 
 _PREFIX = 4          # hex digits: 65,536 even buckets, so the histogram has a fixed size
 
@@ -28,10 +29,9 @@ def rank_cuts(digests: DataFrame, ranks: Sequence[int]) -> DataFrame:
     counts = digests.groupBy(bucket).agg(F.count("*").alias("n"))
     running = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     upto = counts.withColumn("upto", F.sum("n").over(running))
-    wanted = F.array(*[F.lit(r).cast("bigint") for r in sorted(set(ranks))])
-    hits = F.filter(wanted, lambda r: (r > F.col("upto") - F.col("n")) & (r <= F.col("upto")))
-    holders = (upto.select("bucket", (F.col("upto") - F.col("n")).alias("before"),
-                           F.explode(hits).alias("rank")))
+    wanted = "array(" + ", ".join(f"{r}L" for r in sorted(set(ranks))) + ")"
+    holders = upto.selectExpr("bucket", "upto - n AS before", f"explode(filter({wanted}, "
+                              "r -> r > upto - n AND r <= upto)) AS rank")
     within = Window.partitionBy("rank").orderBy("split_key")
     # holders has at most len(ranks) rows.
     return (digests.select("split_key", bucket)
@@ -53,7 +53,7 @@ def split_exact(df: DataFrame, key: str, seed: int, n_test: int, n_val: int) ->
     `key` must be unique. Fewer rows than n_test + n_val raise an error when the
     result is computed.
     """
-    keyed = df.withColumn("split_key", order_key(seed, F.col(key)))
+    keyed = df.withColumn("split_key", F.expr(order_key(seed, name(key))))
     ranks = [r for r in (n_test, n_test + n_val) if r > 0]
     if not ranks:
         return keyed.withColumn("split", F.lit("train"))
@@ -63,8 +63,8 @@ def split_exact(df: DataFrame, key: str, seed: int, n_test: int, n_val: int) ->
         if rank == 0:
             return F.lit(False)
         missing = F.raise_error(F.lit(f"table has fewer than {rank} rows to split off"))
-        cut = F.coalesce(F.element_at(cuts, F.lit(rank).cast("bigint")), missing.cast("string"))
-        return F.col("split_key") <= cut
+        cut = F.try_element_at(cuts, F.lit(rank).cast("bigint"))
+        return F.col("split_key") <= F.coalesce(cut, missing.cast("string"))
 
     label = (F.when(before(n_test + n_val), F.when(before(n_test), "test").otherwise("val"))
              .otherwise("train"))
@@ -74,13 +74,13 @@ def split_exact(df: DataFrame, key: str, seed: int, n_test: int, n_val: int) ->
 def split_fraction(df: DataFrame, key: str, seed: int, fractions: Mapping[str, float],
                    rest: str = "train") -> DataFrame:
     """B2: the split by shares instead of counts: one narrow pass, no cut points."""
-    u = uniform(seed, F.col(key), "split")
-    upto, label = 0.0, None
-    for name, share in fractions.items():
+    drawn = df.withColumn("_u", F.expr(uniform(seed, name(key), "split")))
+    upto, branches = 0.0, ["WHEN false THEN NULL"]
+    for part, share in fractions.items():
         upto += share
-        below = u < F.lit(upto)
-        label = F.when(below, name) if label is None else label.when(below, name)
-    return df.withColumn("split", F.lit(rest) if label is None else label.otherwise(rest))
+        branches.append(f"WHEN _u < {literal(upto)} THEN {literal(part)}")
+    label = f"CASE {' '.join(branches)} ELSE {literal(rest)} END"
+    return drawn.withColumn("split", F.expr(label)).drop("_u")
 
 
 def prefix_subsets(train: DataFrame, key: str, seed: int, sizes: Sequence[int]) -> DataFrame:
@@ -88,16 +88,17 @@ def prefix_subsets(train: DataFrame, key: str, seed: int, sizes: Sequence[int])
 
     A size above the table gives all rows, as a slice does.
     """
-    keyed = train.withColumn("split_key", order_key(seed, F.col(key)))
+    keyed = train.withColumn("split_key", F.expr(order_key(seed, name(key))))
     wanted = sorted({s for s in sizes if s > 0})
     if not wanted:
         return keyed.withColumn("train_size", F.lit(0)).where(F.lit(False))
     cuts = _cut_map(keyed.select("split_key"), wanted)
     labelled = keyed.withColumn("_cuts", cuts)
-    member = F.filter(
-        F.array(*[F.lit(s).cast("bigint") for s in wanted]),
-        lambda s: F.coalesce(F.col("split_key") <= F.try_element_at("_cuts", s), F.lit(True)))
-    return labelled.withColumn("train_size", F.explode(member)).drop("_cuts")
+    sizes_sql = "array(" + ", ".join(f"{s}L" for s in wanted) + ")"
+    return labelled.selectExpr(
+        *[name(c) for c in keyed.columns],
+        f"explode(filter({sizes_sql}, s -> coalesce(split_key <= try_element_at(_cuts, s), true)))"
+        " AS train_size")
 
 
 def demos(train: DataFrame, key: str, seed: int, n: int) -> DataFrame:
@@ -105,6 +106,6 @@ def demos(train: DataFrame, key: str, seed: int, n: int) -> DataFrame:
 
     n is the number of examples in one prompt, so the ranked rows are few.
     """
-    first = (train.withColumn("split_key", order_key(seed, F.col(key)))
+    first = (train.withColumn("split_key", F.expr(order_key(seed, name(key))))
              .orderBy("split_key").limit(n))
     return first.withColumn("rank", F.row_number().over(Window.orderBy("split_key")))

@@ -10,11 +10,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from gleanframe.functions import draws as D
 from gleanframe.functions.json_text import labels_json
-from gleanframe.operators.chat import turn
+from gleanframe.functions.sql import array, case, literal, name
+from gleanframe.operators.chat import turns
 from gleanframe.spec import JOB_POSTING
 
 
@@ -94,16 +95,14 @@ JOB_POOLS = Pools(
 )
 
 
-def _by_value(of: Column, cases: Mapping[str, Column]) -> Column:
-    pick = F.lit(None)
-    for value, result in cases.items():
-        pick = F.when(of == value, result).otherwise(pick)
-    return pick
+_DRAWS = ("role", "seniority", "employment", "workplace", "location", "city", "company",
+          "education", "years", "paid", "currency", "period", "low", "gap", "no_max", "no_min",
+          "required", "preferred")
 
 
-def _between(u: Column, bounds: tuple[int, int]) -> Column:
+def _between(u: str, bounds: tuple[int, int]) -> str:
     low, high = bounds
-    return F.lit(low) + D.index_below(u, high - low + 1)
+    return f"{low} + {D.index_below(u, high - low + 1)}"
 
 
 def sample_labels(ids: DataFrame, id_col: str, seed: int, pools: Pools = JOB_POOLS) -> DataFrame:
@@ -112,67 +111,60 @@ def sample_labels(ids: DataFrame, id_col: str, seed: int, pools: Pools = JOB_POO
     Each field is a projection over named draws of (seed, id), so the whole table
     is one narrow stage and any row can be computed again on its own.
     """
-    key = F.col("row_id")
-
-    def u(draw: str) -> Column:
-        return D.uniform(seed, key, draw)
+    skills = "array(" + ", ".join(array(s) for s in pools.roles.values()) + ")"
+    longest = max(len(s) for s in pools.roles.values())
+    key = "cast(row_id AS string)"
+    rows = ids.selectExpr(f"{name(id_col)} AS row_id")
+    drawn = D.with_draws(rows, seed, key, _DRAWS).selectExpr(
+        "*", f"{D.shuffle_digest(seed, key, longest)} AS _order")
 
     # the independent choices.
-    drawn = ids.select(F.col(id_col).alias("row_id")).select(
-        "row_id",
-        D.index_below(u("role"), len(pools.roles)).alias("role"),
-        D.choose_weighted(u("seniority"), list(pools.seniority_weights.items())).alias("seniority"),
-        D.choose_weighted(u("employment"), list(pools.employment_weights.items())).alias("hired_as"),
-        D.choose_weighted(u("workplace"), pools.workplace_weights).alias("workplace_type"),
-        D.choose_weighted(u("period"), list(pools.period_weights.items())).alias("period"),
-        D.choose(u("city"), pools.cities).alias("city"),
-        D.choose(u("company"), pools.companies).alias("company"),
-        D.choose(u("currency"), pools.currencies).alias("currency"),
-        D.choose(u("education"), pools.education).alias("education"),
-        (u("salary") < pools.p_salary).alias("paid"),
+    chosen = drawn.selectExpr(
+        "*",
+        f"1 + {D.index_below('u_role', len(pools.roles))} AS role",
+        f"{D.choose_weighted('u_seniority', list(pools.seniority_weights.items()))} AS seniority",
+        f"{D.choose_weighted('u_workplace', pools.workplace_weights)} AS workplace_type",
+        f"{D.choose_weighted('u_period', list(pools.period_weights.items()))} AS period",
+        f"u_paid < {literal(pools.p_salary)} AS paid",
+        f"{_between('u_required', pools.required_count)} AS n_required",
+        f"{_between('u_preferred', pools.preferred_count)} AS n_preferred",
     )
     # what depends on them.
-    role_titles = F.array(*[F.lit(t) for t in pools.roles])
-    role_skills = F.array(*[F.array(*[F.lit(s) for s in skills]) for skills in pools.roles.values()])
-    prefix = _by_value(F.col("seniority"), {s: F.lit(t) for s, t in pools.seniority_titles.items()})
-    base = F.element_at(role_titles, F.col("role") + 1)
-    years = {s: D.choose(u("years"), [None if v is None else float(v) for v in values])
-             for s, values in pools.years.items()}
-    low = {p: D.grid(u("low"), *pools.salary_low[p]) for p in pools.period_weights}
-    gap = {p: D.grid(u("gap"), *pools.salary_gap[p]) for p in pools.period_weights}
-    shaped = drawn.select(
+    titled = case("seniority", {s: literal(t) for s, t in pools.seniority_titles.items()})
+    low = case("period", {p: D.grid("u_low", *g) for p, g in pools.salary_low.items()})
+    gap = case("period", {p: D.grid("u_gap", *g) for p, g in pools.salary_gap.items()})
+    shaped = chosen.selectExpr(
         "*",
-        F.when(F.col("seniority").isin(*pools.titles_without_role), prefix)
-        .otherwise(F.trim(F.concat_ws(" ", prefix, base))).alias("title"),
-        _by_value(F.col("period"), low).alias("low"),
-        _by_value(F.col("period"), gap).alias("gap"),
-        _by_value(F.col("seniority"), years).alias("years"),
-        D.shuffled(seed, key, F.element_at(role_skills, F.col("role") + 1)).alias("skills"),
-        _between(u("required"), pools.required_count).alias("n_required"),
-        _between(u("preferred"), pools.preferred_count).alias("n_preferred"),
+        f"{titled} AS seniority_title",
+        f"element_at({array(pools.roles)}, role) AS role_title",
+        f"{low} AS low", f"{gap} AS gap",
+        f"{D.shuffled('_order', f'element_at({skills}, role)')} AS skills",
     )
     # null masks, then the record in the declared field order.
+    alone = ", ".join(literal(s) for s in pools.titles_without_role)
+    years = {s: D.choose("u_years", [None if v is None else float(v) for v in values])
+             for s, values in pools.years.items()}
+    hired_as = D.choose_weighted("u_employment", list(pools.employment_weights.items()))
     fields = {
-        "title": F.col("title"),
-        "company": F.col("company"),
-        "location": F.when(~(F.col("workplace_type").isNull()
-                             & (u("location") < pools.p_no_location)), F.col("city")),
-        "workplace_type": F.col("workplace_type"),
-        "employment_type": F.when(F.col("seniority") == "intern", "internship")
-        .otherwise(F.col("hired_as")),
-        "seniority": F.col("seniority"),
-        "salary_min": F.when(F.col("paid") & (u("no_min") >= pools.p_no_min), F.col("low")),
-        "salary_max": F.when(F.col("paid") & (u("no_max") >= pools.p_no_max),
-                             F.col("low") + F.col("gap")),
-        "salary_currency": F.when(F.col("paid"), F.col("currency")),
-        "salary_period": F.when(F.col("paid"), F.col("period")),
-        "required_skills": F.slice("skills", F.lit(1), F.col("n_required")),
-        "preferred_skills": F.slice("skills", F.col("n_required") + 1, F.col("n_preferred")),
-        "min_years_experience": F.col("years"),
-        "education": F.col("education"),
+        "title": f"CASE WHEN seniority IN ({alone}) THEN seniority_title "
+                 "ELSE trim(concat_ws(' ', seniority_title, role_title)) END",
+        "company": D.choose("u_company", pools.companies),
+        "location": f"CASE WHEN workplace_type IS NOT NULL OR u_location >= "
+                    f"{literal(pools.p_no_location)} THEN {D.choose('u_city', pools.cities)} END",
+        "workplace_type": "workplace_type",
+        "employment_type": f"CASE WHEN seniority = 'intern' THEN 'internship' ELSE {hired_as} END",
+        "seniority": "seniority",
+        "salary_min": f"CASE WHEN paid AND u_no_min >= {literal(pools.p_no_min)} THEN low END",
+        "salary_max": f"CASE WHEN paid AND u_no_max >= {literal(pools.p_no_max)} THEN low + gap END",
+        "salary_currency": f"CASE WHEN paid THEN {D.choose('u_currency', pools.currencies)} END",
+        "salary_period": "CASE WHEN paid THEN period END",
+        "required_skills": "slice(skills, 1, n_required)",
+        "preferred_skills": "slice(skills, n_required + 1, n_preferred)",
+        "min_years_experience": case("seniority", years),
+        "education": D.choose("u_education", pools.education),
     }
-    labels = F.struct(*[fields[f.name].alias(f.name) for f in JOB_POSTING.fields])
-    return shaped.select("row_id", labels.cast(JOB_POSTING.labels_type()).alias("labels"))
+    members = ", ".join(f"{fields[f.name]} AS {name(f.name)}" for f in JOB_POSTING.fields)
+    return shaped.selectExpr("row_id", f"struct({members}) AS labels")
 
 
 def sample_label_rows(spark: SparkSession, n: int = 100, seed: int = 42,
@@ -183,14 +175,13 @@ def sample_label_rows(spark: SparkSession, n: int = 100, seed: int = 42,
 
 def teacher_requests(labels: DataFrame, system: str) -> DataFrame:
     """(row_id, messages): the facts of each sampled record as the user turn."""
-    facts = labels_json(JOB_POSTING, F.col("labels"))
-    return labels.select("row_id", F.array(turn("system", F.lit(system)),
-                                           turn("user", facts)).alias("messages"))
+    messages = turns(("system", literal(system)), ("user", labels_json(JOB_POSTING)))
+    return labels.selectExpr("row_id", f"{messages} AS messages")
 
 
 def attach_postings(labels: DataFrame, replies: DataFrame) -> DataFrame:
     """(row_id, posting, labels) from the sampled labels and the teacher's replies
     (row_id, raw_text), one per id. A record without a reply is left out."""
-    text = replies.select("row_id", F.regexp_replace("raw_text", r"^\s+|\s+$", "")
-                          .alias(JOB_POSTING.text_column))
+    text = replies.selectExpr(
+        "row_id", f"regexp_replace(raw_text, '^\\\\s+|\\\\s+$', '') AS {JOB_POSTING.text_column}")
     return labels.join(text, "row_id").select("row_id", JOB_POSTING.text_column, "labels")

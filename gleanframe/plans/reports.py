@@ -9,6 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from gleanframe.functions.sql import literal, name
 from gleanframe.operators.score import compare_fields, failures, scored_answers
 from gleanframe.spec import RecordSpec
 
@@ -32,21 +33,19 @@ def run_metrics(gold: DataFrame, preds: DataFrame, runs: DataFrame, spec: Record
         F.sum("scalar_correct").alias("correct"),
         F.sum("list_f1_sum").alias("f1_sum"),
     )
-    counted = runs.select("run").join(sums, "run", "left").select(
-        "run",
-        _row_count(gold).alias("n_rows"),
-        F.coalesce("valid", F.lit(0)).cast("bigint").alias("valid_rows"),
-        F.coalesce("correct", F.lit(0)).cast("bigint").alias("scalar_correct"),
-        F.coalesce("f1_sum", F.lit(0.0)).alias("list_f1_sum"),
-    ).withColumns({
-        "scalar_total": F.col("n_rows") * len(spec.scalars),
-        "list_count": F.col("n_rows") * len(spec.lists),
-    })
-    return counted.select(
+    counted = runs.select("run").join(sums, "run", "left").withColumn("n_rows", _row_count(gold))
+    return counted.selectExpr(
+        "run", "n_rows",
+        "coalesce(valid, 0L) AS valid_rows",
+        "coalesce(correct, 0L) AS scalar_correct",
+        "coalesce(f1_sum, 0D) AS list_f1_sum",
+        f"n_rows * {len(spec.scalars)} AS scalar_total",
+        f"n_rows * {len(spec.lists)} AS list_count",
+    ).selectExpr(
         "*",
-        F.try_divide(F.col("valid_rows"), F.col("n_rows")).alias("json_valid"),
-        F.try_divide(F.col("scalar_correct"), F.col("scalar_total")).alias("field_acc"),
-        F.try_divide(F.col("list_f1_sum"), F.col("list_count")).alias("skills_f1"),
+        "try_divide(valid_rows, n_rows) AS json_valid",
+        "try_divide(scalar_correct, scalar_total) AS field_acc",
+        "try_divide(list_f1_sum, list_count) AS skills_f1",
     )
 
 
@@ -116,15 +115,15 @@ def field_accuracy(gold: DataFrame, preds: DataFrame, runs: DataFrame, spec: Rec
     One wide aggregate per run, turned to rows after it.
     """
     sums = compare_fields(gold, preds, spec).groupBy("run").agg(
-        *[F.sum(F.col(f"ok_{f.name}").cast("double")).alias(f.name) for f in spec.scalars],
-        *[F.sum(f"f1_{f.name}").alias(f.name) for f in spec.lists])
-    whole = runs.select("run").join(sums, "run", "left")
-    per_field = F.array(*[F.struct(F.lit(f.name).alias("field"), F.lit(f.kind).alias("kind"),
-                                   F.coalesce(f.name, F.lit(0.0)).alias("hits"))
-                          for f in spec.fields])
-    return (whole.select("run", F.explode(per_field).alias("_f"))
-            .select("run", "_f.field", "_f.kind",
-                    F.try_divide(F.col("_f.hits"), _row_count(gold)).alias("accuracy")))
+        *[F.expr(f"sum(cast({name(f'ok_{f.name}')} AS double))").alias(f"h_{f.name}")
+          for f in spec.scalars],
+        *[F.sum(f"f1_{f.name}").alias(f"h_{f.name}") for f in spec.lists])
+    rows = ", ".join(f"{literal(f.name)}, {literal(f.kind)}, {name(f'h_{f.name}')}"
+                     for f in spec.fields)
+    return (runs.select("run").join(sums, "run", "left").withColumn("n_rows", _row_count(gold))
+            .selectExpr("run", "n_rows", f"stack({len(spec.fields)}, {rows}) AS (field, kind, hits)")
+            .selectExpr("run", "field", "kind",
+                        "try_divide(coalesce(hits, 0D), n_rows) AS accuracy"))
 
 
 def top_failures(gold: DataFrame, preds: DataFrame, spec: RecordSpec, k: int) -> DataFrame:

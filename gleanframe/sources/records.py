@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from gleanframe.functions.json_text import json_object, json_string, record_json
 from gleanframe.spec import RecordSpec
@@ -21,14 +21,12 @@ def read_records(spark: SparkSession, path: str, spec: RecordSpec) -> DataFrame:
 
 def write_records(df: DataFrame, path: str, spec: RecordSpec) -> None:
     """A2: one object per line; nulls and non-ASCII text kept; replaces what is there."""
-    line = record_json(spec, F.col(spec.text_column), F.col("labels"))
-    df.select(line.alias("value")).write.mode("overwrite").text(path)
+    df.selectExpr(f"{record_json(spec)} AS value").write.mode("overwrite").text(path)
 
 
 def write_splits(df: DataFrame, path: str, spec: RecordSpec) -> None:
     """A3: as A2, in one folder per `split`. Written where the rows are, without a shuffle."""
-    line = record_json(spec, F.col(spec.text_column), F.col("labels"))
-    (df.select(line.alias("value"), "split")
+    (df.selectExpr(f"{record_json(spec)} AS value", "split")
      .write.mode("overwrite").partitionBy("split").text(path))
 
 
@@ -40,10 +38,9 @@ def export_chat(chat: DataFrame, path: str, fmt: str = "parquet", shards: int |
     if shards:
         chat = chat.repartition(shards)
     if fmt == "json":
-        turns = F.transform("messages", lambda m: json_object([
-            ("role", json_string(m["role"])), ("content", json_string(m["content"]))]))
-        body = F.concat(F.lit("["), F.array_join(turns, ", "), F.lit("]"))
-        chat = chat.select(json_object([("messages", body)]).alias("value"), "split")
+        turn = json_object([("role", json_string("m.role")), ("content", json_string("m.content"))])
+        body = f"concat('[', array_join(transform(messages, m -> {turn}), ', '), ']')"
+        chat = chat.selectExpr(f"{json_object([('messages', body)])} AS value", "split")
         chat.write.mode("overwrite").partitionBy("split").text(path)
     elif fmt == "parquet":
         chat.write.mode("overwrite").partitionBy("split").parquet(path)
