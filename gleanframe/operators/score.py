@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gleanframe.functions import extract as X
 from gleanframe.functions.json_text import json_value
@@ -19,9 +19,9 @@ def typed_predictions(preds: DataFrame, spec: RecordSpec) -> DataFrame:
     """Parses each answer once and keeps only what scoring compares.
 
     Per scalar f: `p_f` its value if the type can match, `odd_f` whether it holds a
-    non-null value of another type, `j_f` its JSON text. Per list l: `p_l` its
-    lower-cased set and `j_l`. Columns nobody reads are pruned. Doing this before
-    the join means that raw text is never shuffled.
+    non-null value of another type. Per list l: `p_l` its lower-cased set. Doing this
+    before the join means that raw text is never shuffled; `object` stays for those
+    who read it and is pruned otherwise.
     """
     parsed = parse_object(preds.select("run", "row_id", "raw_text")).selectExpr(
         "run", "row_id", "json_valid", "object",
@@ -36,25 +36,20 @@ def typed_predictions(preds: DataFrame, spec: RecordSpec) -> DataFrame:
     for f in spec.lists:
         value = X.lower_set(X.member_value("object", f.name, f.kind))
         columns.append(f"{value} AS {_col('p', f.name)}")
-    texts = [f"to_json({X.member('object', f.name)}) AS {_col('j', f.name)}" for f in spec.fields]
-    return parsed.selectExpr("run", "row_id", "json_valid", *columns, *texts)
+    return parsed.selectExpr("run", "row_id", "json_valid", "object", *columns)
 
 
 def gold_columns(gold: DataFrame, spec: RecordSpec) -> DataFrame:
-    """`row_id` and per field `g_f` (value or lower-cased set) and `gj_f` (JSON text)."""
-    columns = []
-    for f in spec.fields:
-        value = name(f"labels.{f.name}")
-        compared = X.lower_set(value) if f.kind == LIST else value
-        columns += [f"{compared} AS {_col('g', f.name)}",
-                    f"{json_value(f.kind, value)} AS {_col('gj', f.name)}"]
-    return gold.selectExpr("row_id", *columns)
+    """`row_id`, per field its value `g_f`, and per list its lower-cased set `gs_f`."""
+    values = [f"{name(f'labels.{f.name}')} AS {_col('g', f.name)}" for f in spec.fields]
+    sets = [f"{X.lower_set(name(f'labels.{f.name}'))} AS {_col('gs', f.name)}" for f in spec.lists]
+    return gold.selectExpr("row_id", *values, *sets)
 
 
 def compare_fields(gold: DataFrame, preds: DataFrame, spec: RecordSpec) -> DataFrame:
     """Every stored answer beside its gold row.
 
-    Per scalar `ok_f`, per list `f1_f`. One equi-join on `row_id`, which is unique
+    Per scalar `ok_f`, per list `f1_f`; `object` and `g_f` for reading failures. One equi-join on `row_id`, which is unique
     in gold; `preds` holds at most one answer per (run, row_id). No join hint: the
     optimizer broadcasts a side only under its size threshold, and otherwise
     shuffles and splits skewed keys.
@@ -63,10 +58,10 @@ def compare_fields(gold: DataFrame, preds: DataFrame, spec: RecordSpec) -> DataF
     flags = [f"json_valid AND NOT {_col('odd', f.name)} AND "
              f"{_col('p', f.name)} <=> {_col('g', f.name)} AS {_col('ok', f.name)}"
              for f in spec.scalars]
-    flags += [f"CASE WHEN json_valid THEN {X.set_f1(_col('p', f.name), _col('g', f.name))} "
+    flags += [f"CASE WHEN json_valid THEN {X.set_f1(_col('p', f.name), _col('gs', f.name))} "
               f"ELSE 0D END AS {_col('f1', f.name)}" for f in spec.lists]
-    texts = [_col(side, f.name) for f in spec.fields for side in ("j", "gj")]
-    return both.selectExpr("run", "row_id", "json_valid", *flags, *texts)
+    return both.selectExpr("run", "row_id", "json_valid", *flags, "object",
+                           *[_col("g", f.name) for f in spec.fields])
 
 
 def scored_answers(gold: DataFrame, preds: DataFrame, spec: RecordSpec) -> DataFrame:
@@ -79,13 +74,17 @@ def scored_answers(gold: DataFrame, preds: DataFrame, spec: RecordSpec) -> DataF
         f"{f1_sum} AS list_f1_sum", f"{len(spec.lists)} AS list_count")
 
 
+def _run_names(runs: DataFrame) -> Column:
+    """The list of compared runs as one array value."""
+    return runs.agg(F.collect_set("run")).scalar()
+
+
 def absent_answers(gold: DataFrame, preds: DataFrame, runs: DataFrame) -> DataFrame:
     """(run, row_id) of gold rows for which a listed run has no stored answer.
 
-    Only ids are shuffled. `runs` is the list of compared runs, read as one array.
+    Only ids are shuffled.
     """
-    names = runs.agg(F.collect_set("run")).scalar()
-    wanted = gold.select(F.explode(names).alias("run"), "row_id")
+    wanted = gold.select(F.explode(_run_names(runs)).alias("run"), "row_id")
     return wanted.join(preds.select("run", "row_id"), ["run", "row_id"], "left_anti")
 
 
@@ -95,8 +94,8 @@ def score_rows(gold: DataFrame, preds: DataFrame, runs: DataFrame, spec: RecordS
         "run", "row_id", "0 AS json_valid", "0 AS scalar_correct",
         f"{len(spec.scalars)} AS scalar_total", "0D AS list_f1_sum",
         f"{len(spec.lists)} AS list_count")
-    listed = scored_answers(gold, preds, spec).join(runs.select("run"), "run", "left_semi")
-    return listed.unionByName(absent)
+    listed = preds.where(F.array_contains(_run_names(runs), F.col("run")))
+    return scored_answers(gold, listed, spec).unionByName(absent)
 
 
 def failures(gold: DataFrame, preds: DataFrame, spec: RecordSpec) -> DataFrame:
@@ -109,7 +108,8 @@ def failures(gold: DataFrame, preds: DataFrame, spec: RecordSpec) -> DataFrame:
     for f in spec.fields:
         wrong = (f"{_col('f1', f.name)} < 1D" if f.kind == LIST else f"NOT {_col('ok', f.name)}")
         entries.append(f"CASE WHEN {wrong} THEN struct({literal(f.name)} AS field, "
-                       f"{_col('j', f.name)} AS predicted, {_col('gj', f.name)} AS gold) END")
+                       f"to_json({X.member('object', f.name)}) AS predicted, "
+                       f"{json_value(f.kind, _col('g', f.name))} AS gold) END")
     entry_type = "array<struct<field:string,predicted:string,gold:string>>"
     return compare_fields(gold, preds, spec).selectExpr(
         "run", "row_id",

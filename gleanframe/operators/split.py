@@ -57,18 +57,13 @@ def split_exact(df: DataFrame, key: str, seed: int, n_test: int, n_val: int) ->
     ranks = [r for r in (n_test, n_test + n_val) if r > 0]
     if not ranks:
         return keyed.withColumn("split", F.lit("train"))
+    held_out = n_test + n_val
     cuts = _cut_map(keyed.select("split_key"), ranks)
-
-    def before(rank: int):
-        if rank == 0:
-            return F.lit(False)
-        missing = F.raise_error(F.lit(f"table has fewer than {rank} rows to split off"))
-        cut = F.try_element_at(cuts, F.lit(rank).cast("bigint"))
-        return F.col("split_key") <= F.coalesce(cut, missing.cast("string"))
-
-    label = (F.when(before(n_test + n_val), F.when(before(n_test), "test").otherwise("val"))
-             .otherwise("train"))
-    return keyed.withColumn("split", label)
+    missing = f"raise_error('table has fewer than {held_out} rows to split off')"
+    label = (f"CASE WHEN split_key > coalesce(try_element_at(_cuts, {held_out}L), {missing}) "
+             f"THEN 'train' WHEN split_key <= try_element_at(_cuts, {n_test}L) THEN 'test' "
+             "ELSE 'val' END")
+    return keyed.withColumn("_cuts", cuts).withColumn("split", F.expr(label)).drop("_cuts")
 
 
 def split_fraction(df: DataFrame, key: str, seed: int, fractions: Mapping[str, float],
