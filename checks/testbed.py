@@ -42,6 +42,8 @@ RUNS = (
 )
 KNOBS = ("model", "prompt", "train_rows", "source", "epochs")
 
+SCAN_PIECE = 128 * 1024 * 1024       # the default spark.sql.files.maxPartitionBytes
+
 ERROR_RATES = {
     "base_zero": 0.6, "base_few": 0.35, "tuned_zero": 0.2, "tuned_few": 0.15,
     "size_5": 0.5, "size_10": 0.3, "size_14": 0.2,
@@ -54,15 +56,20 @@ ERROR_KINDS = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
-    """A given table. With a key, one that lies in fewer files than there are cores is
-    spread by that key first: a lone row group would otherwise keep one core busy."""
+    """A given table. With a key, one too small to give every core a piece of the scan is
+    spread by that key first. Above that size, which depends on the cluster, nothing moves."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    if key and len(df.inputFiles()) < cores:
+    if key and _bytes(df) < cores * SCAN_PIECE:
         return df.repartition(cores, key)
     return df
 
 
+def _bytes(df: DataFrame) -> int:
+    """Size of the scanned files, as the optimizer knows it."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def run_config(spark: SparkSession) -> DataFrame:
     def text(v):
         return "NULL" if v is None else str(v) if isinstance(v, int) else f"'{v}'"

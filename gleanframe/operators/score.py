@@ -82,19 +82,22 @@ def _run_names(runs: DataFrame) -> Column:
 def absent_answers(gold: DataFrame, preds: DataFrame, runs: DataFrame) -> DataFrame:
     """(run, row_id) of gold rows for which a listed run has no stored answer.
 
-    Only ids are shuffled.
+    Only ids are shuffled, gold once and not once per run. The set per row holds at
+    most the compared runs and is built before the shuffle.
     """
-    wanted = gold.select(F.explode(_run_names(runs)).alias("run"), "row_id")
-    return wanted.join(preds.select("run", "row_id"), ["run", "row_id"], "left_anti")
+    answered = preds.groupBy("row_id").agg(F.collect_set("run").alias("_answered"))
+    return (gold.select("row_id").join(answered, "row_id", "left")
+            .withColumn("_runs", _run_names(runs))
+            .selectExpr("explode(array_except(_runs, coalesce(_answered, array()))) AS run", "row_id"))
 
 
 def score_rows(gold: DataFrame, preds: DataFrame, runs: DataFrame, spec: RecordSpec) -> DataFrame:
     """One row per (run, gold row); an absent answer scores as unparseable."""
-    absent = absent_answers(gold, preds, runs).selectExpr(
+    listed = preds.where(F.array_contains(_run_names(runs), F.col("run")))
+    absent = absent_answers(gold, listed, runs).selectExpr(
         "run", "row_id", "0 AS json_valid", "0 AS scalar_correct",
         f"{len(spec.scalars)} AS scalar_total", "0D AS list_f1_sum",
         f"{len(spec.lists)} AS list_count")
-    listed = preds.where(F.array_contains(_run_names(runs), F.col("run")))
     return scored_answers(gold, listed, spec).unionByName(absent)
 
 

@@ -16,10 +16,12 @@ def allow_duplicate_keys(spark: SparkSession) -> None:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the cluster's shared folder (spark.checkpoint.dir).
 
-    Only where the session names no such folder, as in local tests, does it fall
-    back to a temporary one.
+    Without that setting, a local session gets a temporary folder and a cluster an
+    error: executors could not read each other's local files.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="gleanframe-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
