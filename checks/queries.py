@@ -42,7 +42,8 @@ def _flat_labels(spec: RecordSpec) -> list[Column]:
 
 
 def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return B.doc_gold(spark, sf_dir), B.doc_preds(spark, sf_dir), B.run_config(spark)
+    gold = B.doc_gold(spark, sf_dir)
+    return gold, B.doc_preds(gold), B.run_config(spark)
 
 
 def _metrics(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -84,7 +85,7 @@ def a3_write_splits(spark, sf_dir):
 @query
 def a4_read_predictions(spark, sf_dir):
     path = shared_path(spark, "answers")
-    B.doc_preds(spark, sf_dir).write.parquet(path)
+    B.doc_preds(B.doc_gold(spark, sf_dir)).write.parquet(path)
     back = predictions.read_predictions(spark, path, row_id=T.LongType())
     return back.select("run", "row_id", F.md5("raw_text").alias("text_md5"))
 
@@ -183,7 +184,7 @@ def c4_loss_targets(spark, sf_dir):
 
 @query
 def d1_slice_json(spark, sf_dir):
-    sliced = parse.slice_text(B.doc_preds(spark, sf_dir))
+    sliced = parse.slice_text(B.doc_preds(B.doc_gold(spark, sf_dir)))
     return sliced.select("run", "row_id", "json_text")
 
 
@@ -196,7 +197,7 @@ def d1_slice_pages(spark, sf_dir):
 
 @query
 def d2_parse_object(spark, sf_dir):
-    parsed = parse.parse_object(B.doc_preds(spark, sf_dir))
+    parsed = parse.parse_object(B.doc_preds(B.doc_gold(spark, sf_dir)))
     values = [f"{X.member_value('object', f.name, STRING)} AS {f.name}" for f in SPEC.scalars]
     return parsed.selectExpr("run", "row_id", "json_valid", *values)
 
@@ -216,7 +217,7 @@ def d2_parse_documents(spark, sf_dir):
 
 @query
 def d3_validate_schema(spark, sf_dir):
-    return parse.validate_schema(B.doc_preds(spark, sf_dir), SPEC)
+    return parse.validate_schema(B.doc_preds(B.doc_gold(spark, sf_dir)), SPEC)
 
 
 # --- E: scores and comparisons ------------------------------------------------------------

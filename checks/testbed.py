@@ -113,14 +113,14 @@ def _answer() -> str:
     return J.json_object(list(value.items()))
 
 
-def doc_preds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(run, row_id, raw_text): ten runs over all documents.
+def doc_preds(gold: DataFrame) -> DataFrame:
+    """(run, row_id, raw_text): ten runs over all gold rows.
 
     The run `src_hand` answered the documents of `labels` only, so it lacks answers.
     """
     rates = "array(" + ", ".join(f"struct('{r}' AS run, {ERROR_RATES[r]}D AS rate)"
                                  for r, *_ in RUNS) + ")"
-    asked = (doc_gold(spark, sf_dir).selectExpr("row_id", "labels", f"inline({rates})")
+    asked = (gold.selectExpr("row_id", "labels", f"inline({rates})")
              .where("run != 'src_hand' OR labels.quality IS NOT NULL"))
     drawn = with_draws(asked, 7, "concat_ws(':', run, row_id)", ["err", "kind", "fence"])
     return drawn.selectExpr(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gleanframe.functions.json_text import json_object, json_string, record_json
 from gleanframe.spec import RecordSpec
@@ -19,6 +19,15 @@ def read_records(spark: SparkSession, path: str, spec: RecordSpec) -> DataFrame:
             .json(path))
 
 
+def with_row_ids(records: DataFrame) -> DataFrame:
+    """Adds `row_id`, the place of each record in the scan of its files.
+
+    The same files read with the same settings give the same ids. Store the result
+    and use the stored table wherever the ids meet again.
+    """
+    return records.withColumn("row_id", F.monotonically_increasing_id())
+
+
 def write_records(df: DataFrame, path: str, spec: RecordSpec) -> None:
     """A2: one object per line; nulls and non-ASCII text kept; replaces what is there."""
     df.selectExpr(f"{record_json(spec)} AS value").write.mode("overwrite").text(path)

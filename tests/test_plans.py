@@ -25,7 +25,7 @@ def test_no_python_and_no_cross_join(spark, sf_dir, name):
 
 
 def test_each_answer_is_parsed_once(spark, sf_dir):
-    gold, preds = B.doc_gold(spark, sf_dir), B.doc_preds(spark, sf_dir)
+    gold, preds = B.doc_gold(spark, sf_dir), B.doc_preds(B.doc_gold(spark, sf_dir))
     for df in (score.compare_fields(gold, preds, B.DOC_SPEC),
                score.failures(gold, preds, B.DOC_SPEC),
                reports.run_metrics(gold, preds, B.run_config(spark), B.DOC_SPEC)):
@@ -34,7 +34,7 @@ def test_each_answer_is_parsed_once(spark, sf_dir):
 
 def test_scoring_stored_tables_shuffles_compact_columns(spark, sf_dir, tmp_path):
     B.doc_gold(spark, sf_dir).write.parquet(str(tmp_path / "gold"))
-    B.doc_preds(spark, sf_dir).write.parquet(str(tmp_path / "preds"))
+    B.doc_preds(B.doc_gold(spark, sf_dir)).write.parquet(str(tmp_path / "preds"))
     gold, preds = (spark.read.parquet(str(tmp_path / n)) for n in ("gold", "preds"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
