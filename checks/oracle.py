@@ -449,13 +449,13 @@ def numbers(x: str, cases) -> str:
         f"WHEN '{p}' THEN {low} + {step} * floor({x} * {n})" for p, (low, step, n) in cases.items()) + " END"
 
 
-def sampler(ids: str) -> str:
+def sampler(ids: str, seed: int = SEED, tag: str = "") -> str:
     order = ("role", "seniority", "employment", "workplace", "location", "city", "company",
              "education", "years", "salary", "currency", "period", "low", "gap", "no_max", "no_min",
              "required", "preferred")
 
     def d(name):
-        return nth(SEED, "row_id", order.index(name))
+        return nth(seed, "row_id", order.index(name))
 
     titles = list(P.roles)
     pools = "[" + ", ".join(lits(s) for s in P.roles.values()) + "]"
@@ -464,8 +464,8 @@ def sampler(ids: str) -> str:
     prefix = "CASE seniority " + " ".join(
         f"WHEN '{s}' THEN '{t}'" for s, t in P.seniority_titles.items()) + " END"
     return f"""
-ids AS ({ids}),
-drawn AS (
+ids{tag} AS ({ids}),
+drawn{tag} AS (
   SELECT row_id, 1 + floor({d('role')} * {len(titles)})::INT AS role,
          {pick_weighted(d('seniority'), P.seniority_weights.items())} AS seniority,
          {pick_weighted(d('employment'), P.employment_weights.items())} AS hired_as,
@@ -476,15 +476,15 @@ drawn AS (
          {pick(d('education'), P.education)} AS education,
          {d('salary')} < 0.7 AS paid,
          2 + floor({d('required')} * 4)::INT AS n_req, floor({d('preferred')} * 4)::INT AS n_pref
-  FROM ids),
-shaped AS (
+  FROM ids{tag}),
+shaped{tag} AS (
   SELECT *, {numbers(d('low'), P.salary_low)} AS low, {numbers(d('gap'), P.salary_gap)} AS gap,
          {prefix} AS prefix, {years} AS years,
-         md5('{SEED}:' || row_id || ':order:0') || md5('{SEED}:' || row_id || ':order:1') AS hex,
+         md5('{seed}:' || row_id || ':order:0') || md5('{seed}:' || row_id || ':order:1') AS hex,
          list_transform(list_sort(list_transform({pools}[role],
              lambda s, i: {{'d': substr(hex, 1 + 6 * (i - 1), 6), 's': s}})), lambda t: t.s) AS skills
-  FROM drawn),
-sampled AS (
+  FROM drawn{tag}),
+sampled{tag} AS (
   SELECT row_id,
     CASE WHEN seniority IN ('manager', 'executive') THEN prefix
          ELSE trim(prefix || ' ' || {lits(titles)}[role]) END AS title,
@@ -499,7 +499,7 @@ sampled AS (
     CASE WHEN paid THEN period END AS salary_period,
     skills[1:n_req] AS required_skills, skills[n_req + 1:n_req + n_pref] AS preferred_skills,
     years::DOUBLE AS min_years_experience, education
-  FROM shaped)"""
+  FROM shaped{tag})"""
 
 
 _SAMPLED = "WITH" + sampler("SELECT doc_id AS row_id FROM documents")
@@ -543,6 +543,28 @@ ORACLE["f8_attach_postings"] = _SAMPLED + r"""
 SELECT s.row_id, md5(regexp_replace(d.text, '^\s+|\s+$', '', 'g')) AS posting_md5, s.title
 FROM sampled s JOIN documents d ON s.row_id = d.doc_id"""
 
+_ORDERS = "SELECT o_orderkey AS row_id FROM orders"
+_JOB_LISTS = ("required_skills", "preferred_skills")
+_JOB_SCALARS = [n for n in _JOB_FIELDS if n not in _JOB_LISTS]
+
+
+def _job_f1(f: str) -> str:
+    a, b = lower_set(f"a.{f}"), lower_set(f"g.{f}")
+    return (f"CASE WHEN len({a}) + len({b}) = 0 THEN 1.0::DOUBLE ELSE "
+            f"2.0::DOUBLE * len(list_intersect({a}, {b})) / (len({a}) + len({b})) END")
+
+
+ORACLE["e4_job_postings"] = "WITH" + sampler(_ORDERS) + "," + sampler(_ORDERS, 43, "2") + f""",
+answered AS (SELECT 'same' AS run, * FROM sampled UNION ALL SELECT 'other', * FROM sampled2),
+rows AS (
+  SELECT a.run, {" + ".join(f"(a.{f} IS NOT DISTINCT FROM g.{f})::INT" for f in _JOB_SCALARS)} AS correct,
+         {" + ".join(_job_f1(f) for f in _JOB_LISTS)} AS f1
+  FROM answered a JOIN sampled g ON a.row_id = g.row_id)
+SELECT run, count(*) AS n_rows, count(*) AS valid_rows, sum(correct)::BIGINT AS scalar_correct,
+       round(sum(correct) / (12 * count(*))::DOUBLE, 6) AS field_acc,
+       round(sum(f1) / (2 * count(*))::DOUBLE, 6) AS skills_f1
+FROM rows GROUP BY run"""
+
 ORACLE["f11_mix"] = "WITH" + ORIGIN + " SELECT row_id, source FROM origin"
 ORACLE["f12_mix_table"] = "WITH" + ORIGIN + """
 SELECT source AS mode, source, row_id FROM origin UNION ALL SELECT 'mixed', source, row_id FROM origin"""

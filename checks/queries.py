@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from checks import testbed as B
 from gleanframe.functions import draws as D
 from gleanframe.functions import extract as X
+from gleanframe.functions.json_text import labels_json
 from gleanframe.operators import chat, mix, parse, score, split, synth
 from gleanframe.plans import reports
 from gleanframe.session import shared_path
 from gleanframe.sources import predictions, records
-from gleanframe.spec import LIST, STRING, RecordSpec
+from gleanframe.spec import JOB_POSTING, LIST, STRING, RecordSpec
 
 SPEC = B.DOC_SPEC
 SEED = 42
@@ -249,6 +250,22 @@ def e4_run_metrics(spark, sf_dir):
                           "list_count", *[_digits(m) for m in reports.METRICS])
 
 
+@query
+def e4_job_postings(spark, sf_dir):
+    """All fields of the job record: answers drawn with the gold's seed and with another."""
+    orders = B.table(spark, sf_dir, "orders", "o_orderkey").select("o_orderkey")
+    gold = synth.sample_labels(orders, "o_orderkey", SEED)
+
+    def answers(run, labels):
+        return labels.selectExpr(f"'{run}' AS run", "row_id", f"{labels_json(JOB_POSTING)} AS raw_text")
+
+    preds = answers("same", gold).unionByName(
+        answers("other", synth.sample_labels(orders, "o_orderkey", SEED + 1)))
+    runs = spark.sql("SELECT * FROM VALUES ('same'), ('other') AS t(run)")
+    return reports.run_metrics(gold, preds, runs, JOB_POSTING).select(
+        "run", "n_rows", "valid_rows", "scalar_correct", _digits("field_acc"), _digits("skills_f1"))
+
+
 @query
 def e5_metrics_report(spark, sf_dir):
     metrics, _ = _metrics(spark, sf_dir)
@@ -370,7 +387,7 @@ def f7_shuffled_prefix(spark, sf_dir):
 def f8_sample_labels(spark, sf_dir):
     orders = B.table(spark, sf_dir, "orders", "o_orderkey")
     sampled = synth.sample_labels(orders, "o_orderkey", SEED)
-    return sampled.select("row_id", *_flat_labels(synth.JOB_POSTING))
+    return sampled.select("row_id", *_flat_labels(JOB_POSTING))
 
 
 @query
