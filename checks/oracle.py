@@ -218,7 +218,7 @@ FROM gold"""
 ORACLE["a2_write_records"] = "WITH" + GOLD + """,
 lines AS (SELECT '{"posting": ' || to_json(posting)::VARCHAR || ', "labels": ' || answer || '}' AS line
           FROM answers)
-SELECT md5(line) AS line_md5, length(line) AS n_chars FROM lines"""
+SELECT md5(line) AS line_md5, length(line)::INT AS n_chars FROM lines"""
 
 
 def placed(table: str, key: str) -> str:
@@ -295,7 +295,7 @@ ORACLE["c3_prompts_zero_shot"] = """
 SELECT doc_id AS row_id, 2 AS n_turns, text AS question FROM documents"""
 
 ORACLE["c4_loss_targets"] = "WITH" + GOLD + "," + TURNS + """
-SELECT row_id, turn, role, role = 'assistant' AS is_target, length(content) AS n_chars FROM turns"""
+SELECT row_id, turn, role, role = 'assistant' AS is_target, length(content)::INT AS n_chars FROM turns"""
 
 # --- D -------------------------------------------------------------------------------------
 
@@ -304,7 +304,7 @@ SELECT run, row_id, {sliced('raw_text')} AS json_text FROM preds"""
 
 ORACLE["d1_slice_pages"] = f"""
 WITH pieces AS (SELECT page_id, {sliced('html')} AS piece FROM pages)
-SELECT page_id, length(piece) AS n_chars, md5(piece) AS slice_md5 FROM pieces"""
+SELECT page_id, length(piece)::INT AS n_chars, md5(piece) AS slice_md5 FROM pieces"""
 
 ORACLE["d2_parse_object"] = _PARSED + f"""
 SELECT run, row_id, json_valid, {", ".join(

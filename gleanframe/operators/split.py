@@ -69,6 +69,8 @@ def split_exact(df: DataFrame, key: str, seed: int, n_test: int, n_val: int) ->
 def split_fraction(df: DataFrame, key: str, seed: int, fractions: Mapping[str, float],
                    rest: str = "train") -> DataFrame:
     """B2: the split by shares instead of counts: one narrow pass, no cut points."""
+    if sum(fractions.values()) > 1:
+        raise ValueError("the shares add up to more than 1")
     drawn = df.withColumn("_u", F.expr(uniform(seed, name(key), "split")))
     upto, branches = 0.0, ["WHEN false THEN NULL"]
     for part, share in fractions.items():

@@ -201,6 +201,26 @@ def test_metrics_are_sums_of_row_scores(spark):
     assert m.skills_f1 == pytest.approx(sum(s[3] for s in scores) / sum(s[4] for s in scores))
 
 
+def test_hot_run_and_stray_answers_lose_nothing(spark):
+    """Most answers belong to one run, and a third of them to an id that gold lacks."""
+    gold = gold_frame(spark, [(str(i), "", labels(title="A")) for i in range(50)])
+    hot = spark.range(50_000).selectExpr("'hot' AS run", "'nobody' AS row_id", "'{}' AS raw_text")
+    kept = preds_frame(spark, [("hot", str(i), '{"title": "A"}') for i in range(50)]
+                       + [("cold", "7", '{"title": "B"}')])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        runs = runs_frame(spark, "hot", "cold")
+        rows = score_rows(gold, kept.unionByName(hot), runs, JOB_POSTING).collect()
+        m = {r.run: r for r in reports.run_metrics(gold, kept.unionByName(hot), runs, JOB_POSTING).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert len(rows) == 100 and sum(r.json_valid for r in rows) == 51
+    assert (m["hot"].field_acc, m["hot"].n_rows) == (1.0, 50)
+    assert (m["cold"].valid_rows, m["cold"].scalar_correct) == (1, 11)
+
+
 def test_failures_name_field_and_values(spark):
     gold = gold_frame(spark)
     preds = preds_frame(spark, [

@@ -60,6 +60,8 @@ def test_fractions(spark):
     assert sum(map(len, got.values())) == 20000
     assert abs(len(got["test"]) - 2000) < 200 and abs(len(got["val"]) - 4000) < 300
     assert parts(split_fraction(spark.range(5), "id", SEED, {})) == {"train": set(range(5))}
+    with pytest.raises(ValueError):
+        split_fraction(spark.range(5), "id", SEED, {"test": 0.6, "val": 0.6})
 
 
 def test_prefixes_are_nested_and_exact(spark):
