@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -14,14 +16,27 @@ def allow_duplicate_keys(spark: SparkSession) -> None:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the cluster's shared folder (spark.checkpoint.dir).
+    """A fresh path under a folder that driver and executors share.
 
-    Without that setting, a local session gets a temporary folder and a cluster an
-    error: executors could not read each other's local files.
+    That folder is spark.checkpoint.dir, else spark.sql.warehouse.dir. Both are settings of
+    the cluster; no machine-local folder is made here.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="gleanframe-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Lets Python workers import this package wherever the driver found it.
+
+    Once per Spark context; the archive is fetched from the driver as any file of a job is.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_gleanframe_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="gleanframe-")) / "gleanframe.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._gleanframe_shipped = True
