@@ -131,17 +131,19 @@ def column(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, most: int, columns: list[str]) -> DataFrame:
-    """At most `most` labelled rows (doc_id, text, *columns), chosen by a hash of doc_id.
-
-    The bound is on what a model is fitted to; everything else covers all rows. A doc_id with
-    several labels takes the largest of each. The chosen labels are at most `most` rows, which
-    bounds their broadcast; copies of a doc_id in `docs` count as one row.
+def labelled_sample(docs: DataFrame, labels: DataFrame, most: int, columns: list[str],
+                    within: str = "true") -> DataFrame:
+    """At most `most` labelled rows of each value of `within`, chosen by a hash of doc_id.
+
+    The result has doc_id, text (and lang, where docs has it) and `columns`. The bound is on
+    what a model is fitted to; everything else covers all rows. A doc_id with several labels
+    takes the largest of each. The chosen labels are few by that bound, which bounds their
+    broadcast. `within` is an SQL condition, so it has two values at most.
     """
-    from functools import reduce
-
-    usable = labels.where(reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in ["doc_id", *columns])))
-    chosen = (usable.groupBy("doc_id").agg(*[F.max(c).alias(c) for c in columns])
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
+    usable = labels.dropna(subset=["doc_id", *columns])
+    one = usable.groupBy("doc_id").agg(*[F.max(c).alias(c) for c in columns])
+    parts = [one.where(f"({within}) = {side}").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+             for side in (["true"] if within == "true" else ["true", "false"])]
+    chosen = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return (docs.select("doc_id", *[c for c in docs.columns if c in ("text", "lang")])
             .join(F.broadcast(chosen), "doc_id"))

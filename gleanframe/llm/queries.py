@@ -40,3 +40,43 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gleanframe.llm import sharding
 
     return sharding.shard(table(spark, sf_dir, "documents")).drop("stratum")
+
+
+@query
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gleanframe.llm import grades
+
+    docs = table(spark, sf_dir, "documents")
+    model = grades.fit(docs, grades.ratings_of(table(spark, sf_dir, "labels")))
+    return grades.grade(docs, model)
+
+
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gleanframe.llm import rules
+
+    docs = table(spark, sf_dir, "documents")
+    return rules.judge(docs, rules.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gleanframe.llm import toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gleanframe.llm import decontaminate
+
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
+
+
+@query
+def op9_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gleanframe.llm import suffix_tree
+
+    docs = table(spark, sf_dir, "documents")
+    return suffix_tree.score(docs, *suffix_tree.fit(docs))
