@@ -80,3 +80,20 @@ def op9_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return suffix_tree.score(docs, *suffix_tree.fit(docs))
+
+
+@query
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gleanframe.llm import partenum
+
+    return partenum.groups(table(spark, sf_dir, "documents")).drop("text_key", "node")
+
+
+@query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path
+
+    from gleanframe.llm import token_counts
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", token_counts.sample_edits().alias("edits"))
+    return token_counts.counts(docs, path("byte_bpe_50k.json"))
