@@ -171,7 +171,8 @@ def attach(state: DataFrame, edits: DataFrame) -> DataFrame:
 
     The edits of one document are one array, as they change one text one after the other.
     """
-    one = F.struct("nth", F.struct(F.col("start").cast("int"), F.col("removed").cast("int"), "inserted").alias("e"))
+    one = F.struct("nth", F.struct(
+        F.col("start").cast("int").alias("start"), F.col("removed").cast("int").alias("removed"), "inserted").alias("e"))
     by_doc = (edits.groupBy("doc_id").agg(F.array_sort(F.collect_list(one)).alias("_all"))
               .select("doc_id", F.transform("_all", lambda x: x["e"]).alias("edits")))
     return state.join(by_doc, "doc_id", "left")

@@ -1,0 +1,38 @@
+import pytest
+
+WORDS = "the quick brown fox jumps over a lazy dog while nine other animals watch it from afar today".split()
+KINDS = ("doc_id long, text string, lang string, source string, n_chars long, start string, score string, "
+         "kept string, node string, rank string, component string, _text string, hits array<string>")
+
+
+def text_of(seed, n):
+    return " ".join(WORDS[(seed * 7 + i * (seed % 5 + 1) + i * i // 3) % len(WORDS)] + str((seed + i * i) % 97)
+                    for i in range(n))
+
+
+def odd_rows():
+    """Nulls in any column, empty and very long texts, repeated rows and ids, odd characters."""
+    extra = ("x",) * 7 + (["a"],)
+    texts = [(1, text_of(1, 60)), (1, text_of(1, 60)), (2, None), (3, ""), (4, " \n\t "), (None, text_of(1, 60)),
+             (None, None), (5, text_of(2, 40_000)), (6, "é ü ß 漢字   x"), (7, text_of(1, 60)), (7, text_of(3, 30)),
+             (8, "one"), (9, "one two three four")]
+    return [(i, t, None if n % 3 == 0 else "en", None if n % 4 == 0 else "s", None, *(None,) * 7, None) if n % 2 else
+            (i, t, "fr", "s", 5, *extra) for n, (i, t) in enumerate(texts)]
+
+
+@pytest.fixture(scope="session")
+def odd_docs(spark):
+    return spark.createDataFrame(odd_rows(), KINDS).repartition(3)
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return spark.createDataFrame([], KINDS)
+
+
+@pytest.fixture(scope="session")
+def small(spark, sf_dir):
+    """(docs, [(doc_id, text)], labels, benchmark) of the smallest tables."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    return docs, rows, spark.read.parquet(f"{sf_dir}/labels.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
