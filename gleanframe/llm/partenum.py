@@ -13,9 +13,10 @@ emitted only by sets with so many such parts that they might share no other; see
 Equal sets are one node, known by a 64-bit digest. Nodes that share a signature are compared in two steps:
 
 1. neighbours in each bucket (by size) are verified, and what links is joined to components;
-2. buckets that still hold several components are compared whole, in tiles of bounded bytes.
-   Pairs of one component are skipped, sizes and parity sketches (a lower bound of the difference) rule
-   out most others, the rest is intersected. Only links that join components leave a task.
+2. buckets that still hold several components are compared whole, in tiles of bounded rows.
+   Pairs of one component are skipped, sizes and parity sketches (a lower bound of the
+   difference) rule out most others, the rest is intersected: first the nearest pair of each
+   node and other component, then, with the components that this leaves, every pair.
 
 So all links between different sets are found up to connection, without writing out the pairs of
 a group, and no bucket or group must fit into one task.
@@ -41,8 +42,8 @@ SHINGLE, PERCENT = 4, 85
 #: A band's largest size is about this many times its smallest.
 BAND = 1.4
 SKETCH_BITS = 512
-#: Bytes of sets in one tile of a bucket, about.
-TILE_BYTES = 8 << 20
+#: Rows of one tile of a bucket, about.
+TILE_ROWS = 4_000
 #: Bits of the table that says which documents to read again (2 MB).
 READ_BITS = 1 << 24
 _AT_ONCE = 1_000_000              # elements whose signatures are made together
@@ -210,95 +211,107 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of (a, b) whose sets link, by intersection."""
+    full = sets.select("node", "elements")
+    end = lambda c: full.select(F.col("node").alias(c), F.col("elements").alias(f"elements_{c}"))      # noqa: E731
+
+    def rows(batch: pa.RecordBatch) -> dict:
+        view = lambda x: np.frombuffer(x, np.uint64)             # noqa: E731
+        keep = pa.array([linked(view(x), view(y), percent) for x, y in zip(column(batch, "elements_a"), column(batch, "elements_b"))],
+                        pa.bool_())
+        return {c: batch.column(batch.schema.get_field_index(c)).filter(keep) for c in "ab"}
+
+    return per_batch(pairs.join(end("a"), "a").join(end("b"), "b"), rows, "a long, b long")
+
+
 def _neighbour_links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): links among the nodes that follow each other, by size, in some bucket. Staged."""
     follows = F.lead("node").over(Window.partitionBy("signature").orderBy("n", "node"))
     pairs = (buckets.select("node", follows.alias("_b")).where("_b IS NOT NULL")
              .select(F.least("node", "_b").alias("a"), F.greatest("node", "_b").alias("b")).distinct())
-    short = sets.select("node", "n", "sketch")
-    end = lambda c, d: d.withColumnsRenamed({x: c if x == "node" else f"{x}_{c}" for x in d.columns})      # noqa: E731
+    end = lambda c: sets.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
 
-    def likely(batch: pa.RecordBatch) -> dict:
+    def rows(batch: pa.RecordBatch) -> dict:
         view = lambda n: np.frombuffer(b"".join(column(batch, n)), np.uint64).reshape(-1, SKETCH_BITS // 64)
         keep = pa.array(_could_link(view("sketch_a"), view("sketch_b"), np.array(column(batch, "n_a"), np.int64),
                                     np.array(column(batch, "n_b"), np.int64), percent))
         return {c: batch.column(batch.schema.get_field_index(c)).filter(keep) for c in "ab"}
 
-    def true(batch: pa.RecordBatch) -> dict:
-        view = lambda x: np.frombuffer(x, np.uint64)             # noqa: E731
-        keep = pa.array([linked(view(x), view(y), percent) for x, y in zip(column(batch, "elements_a"), column(batch, "elements_b"))],
-                        pa.bool_())
-        return {c: batch.column(batch.schema.get_field_index(c)).filter(keep) for c in "ab"}
+    some = per_batch(pairs.join(end("a"), "a").join(end("b"), "b"), rows, "a long, b long")
+    return staged(_verified(some, sets, percent), "partenum-links")
 
-    some = per_batch(pairs.join(end("a", short), "a").join(end("b", short), "b"), likely, "a long, b long")
-    full = sets.select("node", "elements")
-    return staged(per_batch(some.join(end("a", full), "a").join(end("b", full), "b"), true, "a long, b long"), "partenum-links")
 
+def _remaining_links(buckets: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, every: bool) -> DataFrame:
+    """(a, b): links between components that share a bucket. Staged.
 
-def _remaining_links(buckets: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links that join what is still apart, from buckets with several components. Staged."""
+    Sketches and sizes are compared inside tiles of TILE_ROWS rows. Of the pairs that pass, the nearest
+    of each node and other component is verified, or every one.
+    """
     of = labels.withColumnsRenamed({"component": "_c"})
-    rows = staged(buckets.join(of, "node", "left").withColumn("component", F.coalesce("_c", "node")).drop("_c"),
+    rows = staged(buckets.join(of, "node", "left").select("signature", "node", F.coalesce("_c", "node").alias("component")),
                   "partenum-rows")
     apart = (rows.groupBy("signature").agg(F.min("component").alias("_low"), F.max("component").alias("_high"),
-                                           F.sum(F.col("n").cast("long") * 8 + 100).alias("_bytes"))
-             .where("_low <> _high").selectExpr("signature", f"cast(ceil(_bytes / {TILE_BYTES}) AS int) AS tiles"))
-    tile = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
-    tiled = (rows.join(apart, "signature").withColumn("tile", tile)
+                                           F.count("*").alias("_rows"))
+             .where("_low <> _high").selectExpr("signature", f"cast(ceil(_rows / {TILE_ROWS}) AS int) AS tiles"))
+    tiled = (rows.join(apart, "signature").withColumn("tile", F.expr("cast(pmod(xxhash64(node), tiles) AS int)"))
              .withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
              .select("signature", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"),
                      "tile", "node", "component"))
-    whole = (tiled.join(sets, "node").repartition("signature", "low", "high")
+    whole = (tiled.join(sets.select("node", "n", "sketch"), "node").repartition("signature", "low", "high")
              .sortWithinPartitions("signature", "low", "high", "n", "node"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, group = None, []
+        seen: set[tuple[int, int]] = set()               # pairs met lately: they share many buckets
+
+        def out(made: list[tuple[int, int]]) -> pa.RecordBatch:
+            fresh = [p for p in made if p not in seen]
+            seen.update(fresh)
+            if len(seen) > 500_000:
+                seen.clear()
+            return pa.RecordBatch.from_arrays([pa.array([p[i] for p in fresh], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
         for batch in batches:
             made: list[tuple[int, int]] = []
-            for row in zip(*(column(batch, c) for c in
-                             ("signature", "low", "high", "tile", "node", "component", "n", "sketch", "elements"))):
+            for row in zip(*(column(batch, c) for c in ("signature", "low", "high", "tile", "node", "component", "n", "sketch"))):
                 if row[:3] != key:
-                    made += _tile_links(group, percent)
+                    made += _tile_pairs(group, percent, every)
                     key, group = row[:3], []
                 group.append(row[3:])
-            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in made], pa.int64()) for i in (0, 1)], names=["a", "b"])
-        made = _tile_links(group, percent)
-        yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in made], pa.int64()) for i in (0, 1)], names=["a", "b"])
+            yield out(list(dict.fromkeys(made)))
+        yield out(list(dict.fromkeys(_tile_pairs(group, percent, every))))
 
-    return staged(whole.mapInArrow(run, "a long, b long").distinct(), "partenum-more-links")
+    pairs = staged(whole.mapInArrow(run, "a long, b long").distinct(), "partenum-pairs")
+    return staged(_verified(pairs, sets, percent), "partenum-more-links")
 
 
-def _tile_links(group: list[tuple], percent: int) -> list[tuple[int, int]]:
-    """Links of one tile of a bucket (tile, node, component, n, sketch, elements; by n) that join components.
+def _tile_pairs(group: list[tuple], percent: int, every: bool) -> list[tuple[int, int]]:
+    """Pairs of one tile of a bucket (tile, node, component, n, sketch; by n) that may link two components.
 
     A tile of a bucket with itself holds each pair once; of two parts, pairs across are enough.
     """
     if len(group) < 2:
         return []
-    root: dict[int, int] = {}
-
-    def find(c: int) -> int:
-        while root.setdefault(c, c) != c:
-            root[c] = c = root[root[c]]
-        return c
-
-    tile, component = np.array([g[0] for g in group]), [g[2] for g in group]
+    tile, node, component = (np.array([g[i] for g in group], np.int64) for i in range(3))
     two = tile.min() != tile.max()
     n = np.array([g[3] for g in group], np.int64)
     sketches = np.frombuffer(b"".join(g[4] for g in group), np.uint64).reshape(len(group), -1)
     made = []
     for i in range(len(group) - 1):
         stop = int(np.searchsorted(n, n[i] * 100 // percent, side="right"))
+        other = slice(i + 1, stop)
         if stop <= i + 1:
             continue
-        could = _could_link(sketches[i], sketches[i + 1:stop], n[i], n[i + 1:stop], percent)
+        could = _could_link(sketches[i], sketches[other], n[i], n[other], percent) & (component[other] != component[i])
         if two:
-            could &= tile[i + 1:stop] != tile[i]
-        for j in (np.flatnonzero(could) + i + 1).tolist():
-            a, b = find(component[i]), find(component[j])
-            if a != b and linked(np.frombuffer(group[i][5], np.uint64), np.frombuffer(group[j][5], np.uint64), percent):
-                root[max(a, b)] = min(a, b)
-                made.append((group[i][1], group[j][1]))
+            could &= tile[other] != tile[i]
+        found = np.flatnonzero(could) + i + 1
+        if not every and len(found) > 1:                 # the nearest of each component
+            far = np.bitwise_count(sketches[i] ^ sketches[found]).sum(-1, dtype=np.int64)
+            found = found[np.lexsort((node[found], far))]
+            found = found[np.unique(component[found], return_index=True)[1]]
+        made += [(min(a, b), max(a, b)) for a, b in ((int(node[i]), int(node[j])) for j in found)]
     return made
 
 
@@ -313,8 +326,10 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
     buckets = _buckets(docs, size, percent)
     sets = _read_sets(docs, known, buckets, size)
     links = _neighbour_links(buckets, sets, percent)
-    more = _remaining_links(buckets, sets, components(links), percent)
-    labels = components(links.unionByName(more))
+    for every in (False, True):
+        more = _remaining_links(buckets, sets, components(links), percent, every)
+        links = links.unionByName(more)
+    labels = components(links)
 
     least = (known.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("class_id"))
              .join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")))

@@ -111,10 +111,10 @@ def test_groups_by_all_pairs(small):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in partenum.groups(docs).collect()} == want
 
 
-@pytest.mark.parametrize("tile", [1 << 23, 4_000])
+@pytest.mark.parametrize("tile", [4_000, 7])
 def test_groups_of_near_copies_are_whole(spark, monkeypatch, tile):
     """Many sizes, links of every closeness, and buckets that must be cut into tiles."""
-    monkeypatch.setattr(partenum, "TILE_BYTES", tile)
+    monkeypatch.setattr(partenum, "TILE_ROWS", tile)
     rows = [r for s, (n, words, changes) in enumerate(
         [(60, 12, 3), (60, 30, 4), (60, 60, 6), (80, 150, 12), (40, 400, 30), (20, 1500, 90)], 1)
         for r in near_copies(n, words, changes, s)]
