@@ -15,8 +15,8 @@ Equal sets are one node, known by a 64-bit digest. Nodes that share a signature
 1. neighbours in each bucket (by size) are verified, and what links is joined to components;
 2. buckets that still hold several components are compared whole, in tiles of bounded rows.
    Pairs of one component are skipped, sizes and parity sketches (a lower bound of the
-   difference) rule out most others, the rest is intersected: first the nearest pair of each
-   node and other component, then, with the components that this leaves, every pair.
+   difference) rule out most others, the rest is intersected: first the nearest one of each
+   node, then, with the components that this leaves, every pair.
 
 So all links between different sets are found up to connection, without writing out the pairs of
 a group, and no bucket or group must fit into one task.
@@ -44,6 +44,8 @@ BAND = 1.4
 SKETCH_BITS = 512
 #: Rows of one tile of a bucket, about.
 TILE_ROWS = 4_000
+#: Rounds that verify the nearest pairs only, before all that are left.
+NEAREST_ROUNDS = 2
 #: Bits of the table that says which documents to read again (2 MB).
 READ_BITS = 1 << 24
 _AT_ONCE = 1_000_000              # elements whose signatures are made together
@@ -138,15 +140,16 @@ def signatures(sets: list[np.ndarray], percent: int = PERCENT) -> tuple[np.ndarr
 
 
 def sets_of(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, text_key, n_shingles, node): every document's set size and digest. Staged."""
+    """(doc_id, text_key, n_shingles, node, sketch): every document's set in short. Staged."""
     def rows(batch: pa.RecordBatch) -> dict:
         sets = [shingle_set(t, size) for t in column(batch, "_text")]
         return {"doc_id": batch.column(0), "text_key": batch.column(1), "n_shingles": [len(s) for s in sets],
-                "node": [digest(s) for s in sets]}
+                "node": [digest(s) for s in sets], "sketch": [sketch(s) for s in sets]}
 
     key = docs.schema["doc_id"].dataType.simpleString()
     return staged(per_batch(docs.select("doc_id", F.xxhash64("text").alias("text_key"), text_bytes().alias("_text")),
-                            rows, f"doc_id {key}, text_key long, n_shingles long, node long"), "partenum-documents")
+                            rows, f"doc_id {key}, text_key long, n_shingles long, node long, sketch binary"),
+                  "partenum-documents")
 
 
 def _buckets(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -179,24 +182,25 @@ def _buckets(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return staged(shared, "partenum-buckets")
 
 
-def _read_sets(docs: DataFrame, known: DataFrame, buckets: DataFrame, size: int) -> DataFrame:
-    """(node, n, sketch, elements) of the sets in buckets: one document of each is read again. Staged."""
+def _read_sets(docs: DataFrame, known: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """(node, elements) of the given nodes: one document of each is read again. Staged.
+
+    Which documents, a bit table of fixed size tells the tasks; one read in vain is dropped.
+    """
     from gleanframe.llm.decontaminate import _bit_table
 
-    reader = (known.join(buckets.select("node").distinct(), "node").groupBy("node")
-              .agg(F.min(F.xxhash64("doc_id", "text_key")).alias("h")))
+    reader = (known.select("node", F.xxhash64("doc_id", "text_key").alias("h")).join(nodes, "node", "left_semi")
+              .groupBy("node").agg(F.min("h").alias("h")))
     table = _bit_table(reader.select(F.pmod("h", F.lit(READ_BITS)).alias("bit")), "bit", READ_BITS)
 
     def rows(batch: pa.RecordBatch) -> dict:
         bit = batch.column(0).to_numpy()
         wanted = np.flatnonzero(table[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
         sets = [shingle_set(t, size) for t in column(batch.take(pa.array(wanted, pa.int64())), "_text")]
-        return {"node": [digest(s) for s in sets], "n": [len(s) for s in sets], "sketch": [sketch(s) for s in sets],
-                "elements": [s.tobytes() for s in sets]}
+        return {"node": [digest(s) for s in sets], "elements": [s.tobytes() for s in sets]}
 
     keyed = docs.select(F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(READ_BITS)).alias("bit"), text_bytes().alias("_text"))
-    found = per_batch(keyed, rows, "node long, n int, sketch binary, elements binary")
-    return staged(found.join(buckets.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "partenum-sets")
+    return staged(per_batch(keyed, rows, "node long, elements binary"), "partenum-sets")
 
 
 def _could_link(a: np.ndarray, b: np.ndarray, n_a, n_b, percent: int) -> np.ndarray:
@@ -211,9 +215,10 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of (a, b) whose sets link, by intersection."""
-    full = sets.select("node", "elements")
+def _verified(pairs: DataFrame, docs: DataFrame, known: DataFrame, size: int, percent: int) -> DataFrame:
+    """Those of the staged (a, b) whose sets link, by intersection. Staged."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    full = _read_sets(docs, known, nodes, size).dropDuplicates(["node"])
     end = lambda c: full.select(F.col("node").alias(c), F.col("elements").alias(f"elements_{c}"))      # noqa: E731
 
     def rows(batch: pa.RecordBatch) -> dict:
@@ -222,15 +227,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                         pa.bool_())
         return {c: batch.column(batch.schema.get_field_index(c)).filter(keep) for c in "ab"}
 
-    return per_batch(pairs.join(end("a"), "a").join(end("b"), "b"), rows, "a long, b long")
+    return staged(per_batch(pairs.join(end("a"), "a").join(end("b"), "b"), rows, "a long, b long"), "partenum-links")
 
 
-def _neighbour_links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links among the nodes that follow each other, by size, in some bucket. Staged."""
+def _neighbour_pairs(buckets: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """(a, b): nodes that follow each other, by size, in some bucket and may link. Staged."""
     follows = F.lead("node").over(Window.partitionBy("signature").orderBy("n", "node"))
     pairs = (buckets.select("node", follows.alias("_b")).where("_b IS NOT NULL")
              .select(F.least("node", "_b").alias("a"), F.greatest("node", "_b").alias("b")).distinct())
-    end = lambda c: sets.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
+    end = lambda c: sketches.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
 
     def rows(batch: pa.RecordBatch) -> dict:
         view = lambda n: np.frombuffer(b"".join(column(batch, n)), np.uint64).reshape(-1, SKETCH_BITS // 64)
@@ -238,52 +243,49 @@ def _neighbour_links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataF
                                     np.array(column(batch, "n_b"), np.int64), percent))
         return {c: batch.column(batch.schema.get_field_index(c)).filter(keep) for c in "ab"}
 
-    some = per_batch(pairs.join(end("a"), "a").join(end("b"), "b"), rows, "a long, b long")
-    return staged(_verified(some, sets, percent), "partenum-links")
+    return staged(per_batch(pairs.join(end("a"), "a").join(end("b"), "b"), rows, "a long, b long"), "partenum-pairs")
 
 
-def _remaining_links(buckets: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, every: bool) -> DataFrame:
-    """(a, b): links between components that share a bucket. Staged.
+def _apart(buckets: DataFrame, sketches: DataFrame, labels: DataFrame, percent: int, every: bool) -> DataFrame:
+    """(signature, node, partner): pairs of a bucket in different components that may link. Staged.
 
-    Sketches and sizes are compared inside tiles of TILE_ROWS rows. Of the pairs that pass, the nearest
-    of each node and other component is verified, or every one.
+    Each node with its nearest such partner, or with every one. A pair that may link has both nodes in the
+    nearest pairs of its bucket, so those rows are all that later rounds need.
     """
     of = labels.withColumnsRenamed({"component": "_c"})
     rows = staged(buckets.join(of, "node", "left").select("signature", "node", F.coalesce("_c", "node").alias("component")),
                   "partenum-rows")
-    apart = (rows.groupBy("signature").agg(F.min("component").alias("_low"), F.max("component").alias("_high"),
-                                           F.count("*").alias("_rows"))
-             .where("_low <> _high").selectExpr("signature", f"cast(ceil(_rows / {TILE_ROWS}) AS int) AS tiles"))
-    tiled = (rows.join(apart, "signature").withColumn("tile", F.expr("cast(pmod(xxhash64(node), tiles) AS int)"))
+    mixed_up = (rows.groupBy("signature").agg(F.min("component").alias("_low"), F.max("component").alias("_high"),
+                                              F.count("*").alias("_rows"))
+                .where("_low <> _high").selectExpr("signature", f"cast(ceil(_rows / {TILE_ROWS}) AS int) AS tiles"))
+    tiled = (rows.join(mixed_up, "signature").withColumn("tile", F.expr("cast(pmod(xxhash64(node), tiles) AS int)"))
              .withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
              .select("signature", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"),
                      "tile", "node", "component"))
-    whole = (tiled.join(sets.select("node", "n", "sketch"), "node").repartition("signature", "low", "high")
+    whole = (tiled.join(sketches, "node").repartition("signature", "low", "high")
              .sortWithinPartitions("signature", "low", "high", "n", "node"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, group = None, []
-        seen: set[tuple[int, int]] = set()               # pairs met lately: they share many buckets
 
-        def out(made: list[tuple[int, int]]) -> pa.RecordBatch:
-            fresh = [p for p in made if p not in seen]
-            seen.update(fresh)
-            if len(seen) > 500_000:
-                seen.clear()
-            return pa.RecordBatch.from_arrays([pa.array([p[i] for p in fresh], pa.int64()) for i in (0, 1)], names=["a", "b"])
+        def out(made: list[tuple[int, int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([p[i] for p in made], pa.int64()) for i in range(3)],
+                                              names=["signature", "node", "partner"])
+
+        def close() -> list[tuple[int, int, int]]:
+            return [(key[0], a, b) for a, b in _tile_pairs(group, percent, every)] if len(group) > 1 else []
 
         for batch in batches:
-            made: list[tuple[int, int]] = []
+            made: list[tuple[int, int, int]] = []
             for row in zip(*(column(batch, c) for c in ("signature", "low", "high", "tile", "node", "component", "n", "sketch"))):
                 if row[:3] != key:
-                    made += _tile_pairs(group, percent, every)
+                    made += close()
                     key, group = row[:3], []
                 group.append(row[3:])
-            yield out(list(dict.fromkeys(made)))
-        yield out(list(dict.fromkeys(_tile_pairs(group, percent, every))))
+            yield out(made)
+        yield out(close())
 
-    pairs = staged(whole.mapInArrow(run, "a long, b long").distinct(), "partenum-pairs")
-    return staged(_verified(pairs, sets, percent), "partenum-more-links")
+    return staged(whole.mapInArrow(run, "signature long, node long, partner long"), "partenum-apart")
 
 
 def _tile_pairs(group: list[tuple], percent: int, every: bool) -> list[tuple[int, int]]:
@@ -291,28 +293,32 @@ def _tile_pairs(group: list[tuple], percent: int, every: bool) -> list[tuple[int
 
     A tile of a bucket with itself holds each pair once; of two parts, pairs across are enough.
     """
-    if len(group) < 2:
-        return []
     tile, node, component = (np.array([g[i] for g in group], np.int64) for i in range(3))
     two = tile.min() != tile.max()
     n = np.array([g[3] for g in group], np.int64)
     sketches = np.frombuffer(b"".join(g[4] for g in group), np.uint64).reshape(len(group), -1)
-    made = []
+    made, none = [], SKETCH_BITS + 1
+    nearest, partner = np.full(len(group), none), np.zeros(len(group), np.int64)
     for i in range(len(group) - 1):
         stop = int(np.searchsorted(n, n[i] * 100 // percent, side="right"))
-        other = slice(i + 1, stop)
         if stop <= i + 1:
             continue
+        other = slice(i + 1, stop)
         could = _could_link(sketches[i], sketches[other], n[i], n[other], percent) & (component[other] != component[i])
         if two:
             could &= tile[other] != tile[i]
         found = np.flatnonzero(could) + i + 1
-        if not every and len(found) > 1:                 # the nearest of each component
-            far = np.bitwise_count(sketches[i] ^ sketches[found]).sum(-1, dtype=np.int64)
-            found = found[np.lexsort((node[found], far))]
-            found = found[np.unique(component[found], return_index=True)[1]]
-        made += [(min(a, b), max(a, b)) for a, b in ((int(node[i]), int(node[j])) for j in found)]
-    return made
+        if not len(found):
+            continue
+        if every:
+            made += [(int(node[i]), int(node[j])) for j in found]
+            continue
+        far = np.bitwise_count(sketches[i] ^ sketches[found]).sum(-1, dtype=np.int64)
+        closer = far < nearest[found]
+        nearest[found[closer]], partner[found[closer]] = far[closer], node[i]
+        if far.min() < nearest[i]:
+            nearest[i], partner[i] = far.min(), node[found[far.argmin()]]
+    return made if every else [(int(node[i]), int(partner[i])) for i in np.flatnonzero(nearest < none)]
 
 
 def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -324,11 +330,16 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
     """
     known = sets_of(docs, size)
     buckets = _buckets(docs, size, percent)
-    sets = _read_sets(docs, known, buckets, size)
-    links = _neighbour_links(buckets, sets, percent)
-    for every in (False, True):
-        more = _remaining_links(buckets, sets, components(links), percent, every)
-        links = links.unionByName(more)
+    sketches = staged(known.join(buckets.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
+        F.first("n_shingles").cast("int").alias("n"), F.first("sketch").alias("sketch")), "partenum-sketches")
+    links = _verified(_neighbour_pairs(buckets, sketches, percent), docs, known, size, percent)
+    left = buckets.select("signature", "node")
+    for every in (*[False] * NEAREST_ROUNDS, True):
+        found = _apart(left, sketches, components(links), percent, every)
+        left = found.select("signature", "node").distinct()
+        pairs = staged(found.select(F.least("node", "partner").alias("a"), F.greatest("node", "partner").alias("b")).distinct(),
+                       "partenum-pairs")
+        links = links.unionByName(_verified(pairs, docs, known, size, percent))
     labels = components(links)
 
     least = (known.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("class_id"))
