@@ -108,8 +108,15 @@ def signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
-def per_batch(df: DataFrame, rows: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:
-    """Arrow batches through `rows`, which returns the columns of the result (or None)."""
+def sliced(batch: pa.RecordBatch, at_once: int | None) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of at most `at_once` rows."""
+    step = at_once or max(1, batch.num_rows)
+    return (batch.slice(i, step) for i in range(0, batch.num_rows, step))
+
+
+def per_batch(df: DataFrame, rows: Callable[[pa.RecordBatch], dict], schema: str,
+              at_once: int | None = None) -> DataFrame:
+    """Arrow batches, or pieces of `at_once` rows of them, through `rows`, which returns the columns of the result."""
     from pyspark.sql.types import StructType
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -118,8 +125,8 @@ def per_batch(df: DataFrame, rows: Callable[[pa.RecordBatch], dict | None], sche
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = rows(batch)
-            if made is not None:
+            for piece in sliced(batch, at_once):
+                made = rows(piece)
                 yield pa.RecordBatch.from_arrays(
                     [made[f.name] if isinstance(made[f.name], pa.Array)
                      else pa.array(made[f.name], f.type, from_pandas=False) for f in arrow], schema=arrow)
