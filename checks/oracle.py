@@ -25,11 +25,6 @@ def u(seed: int, key: str, draw: str | int, start: int = 1) -> str:
             " / 4294967296.0::DOUBLE)")
 
 
-def nth(seed: int, key: str, i: int) -> str:
-    """The i-th of several draws of one row: four to a digest."""
-    return u(seed, key, i // 4, 1 + 8 * (i % 4))
-
-
 # --- stand-in gold records and answers ----------------------------------------------------
 
 def jstr(x: str) -> str:
@@ -74,9 +69,9 @@ KEY = "run || ':' || row_id"
 PREDS = f"""
 asked AS (
   SELECT g.*, r.run,
-         CASE WHEN {nth(7, KEY, 0)} < r.rate
-              THEN {lits(ERROR_KINDS)}[1 + floor({nth(7, KEY, 1)} * {len(ERROR_KINDS)})::INT]
-              WHEN {nth(7, KEY, 2)} < 0.3 THEN 'fenced' ELSE 'plain' END AS kind
+         CASE WHEN {u(7, KEY, 'err')} < r.rate
+              THEN {lits(ERROR_KINDS)}[1 + floor({u(7, KEY, 'kind')} * {len(ERROR_KINDS)})::INT]
+              WHEN {u(7, KEY, 'fence')} < 0.3 THEN 'fenced' ELSE 'plain' END AS kind
   FROM gold_text g, (SELECT run, rate FROM runs) r
   WHERE r.run <> 'src_hand' OR g.quality IS NOT NULL),
 bodies AS (
@@ -187,7 +182,7 @@ METRICS = """
 metrics AS (
   SELECT run, count(*) AS n_rows, sum(json_valid)::BIGINT AS valid_rows,
          sum(scalar_correct)::BIGINT AS scalar_correct, sum(scalar_total)::BIGINT AS scalar_total,
-         sum(list_count)::BIGINT AS list_count,
+         sum(list_count)::BIGINT AS list_count, sum(list_f1_sum) AS list_f1_sum,
          sum(json_valid) / count(*)::DOUBLE AS json_valid,
          sum(scalar_correct) / sum(scalar_total)::DOUBLE AS field_acc,
          sum(list_f1_sum) / sum(list_count)::DOUBLE AS skills_f1
@@ -254,17 +249,32 @@ FROM placed p JOIN (VALUES (5::BIGINT), (100), (700), (1000000000)) AS s(train_s
 ORACLE["b5_demos"] = "WITH" + placed("documents", "doc_id") + """
 SELECT (place - 50)::INT AS rank, doc_id FROM parts WHERE split = 'train' AND place <= 53"""
 
-ORIGIN = """
-origin AS (SELECT doc_id AS row_id,
+KEYED = r"md5(trim(regexp_replace(lower(text), '[ \t\n\r]+', ' ', 'g')))"
+
+ORIGIN = f"""
+origin AS (SELECT doc_id AS row_id, text,
     CASE WHEN regexp_extract(source, '([0-9]+)$', 1)::INT < 10 THEN 'hand' ELSE 'synthetic' END AS source
   FROM documents),
 hand AS (SELECT * FROM origin WHERE source = 'hand')"""
 
-ORACLE["b7_eval_purity"] = "WITH" + ORIGIN + "," + placed("hand", "row_id") + """,
-used AS (SELECT split, source FROM parts
-         UNION ALL SELECT 'train', source FROM origin WHERE source = 'synthetic')
-SELECT split, source, count(*) AS n_rows, (split = 'train' OR source = 'hand') AS clean
-FROM used GROUP BY split, source"""
+ORACLE["b7_eval_purity"] = "WITH" + ORIGIN + "," + placed("hand", "row_id") + f""",
+evaluated AS (SELECT {KEYED} AS text_key FROM parts WHERE split <> 'train'),
+made AS (SELECT row_id, {KEYED} AS text_key FROM origin WHERE source = 'synthetic')
+SELECT row_id, text_key FROM made WHERE text_key IN (SELECT text_key FROM evaluated)"""
+
+# A group is in test if fewer than 30 rows belong to groups before it, and so on.
+ORACLE["b3_split_grouped"] = f"""
+WITH keyed AS (SELECT doc_id, md5('{SEED}:' || {KEYED}) AS g FROM documents),
+sized AS (SELECT g, count(*) AS n FROM keyed GROUP BY g),
+before AS (SELECT g, sum(n) OVER (ORDER BY g) - n AS b FROM sized)
+SELECT doc_id, CASE WHEN b < 30 THEN 'test' WHEN b < 50 THEN 'val' ELSE 'train' END AS split
+FROM keyed JOIN before USING (g)"""
+
+ORACLE["b6_leakage_audit"] = f"""
+WITH drawn AS (SELECT {KEYED} AS text_key, {u(SEED, 'doc_id', 'split')} AS x FROM documents),
+parts AS (SELECT text_key, CASE WHEN x < 0.15 THEN 'test' WHEN x < 0.3 THEN 'val' ELSE 'train' END AS split FROM drawn)
+SELECT text_key, string_agg(DISTINCT split, ',' ORDER BY split) AS splits, count(*) AS n_rows
+FROM parts GROUP BY text_key HAVING count(DISTINCT split) > 1"""
 
 # --- C -------------------------------------------------------------------------------------
 
@@ -297,6 +307,25 @@ SELECT doc_id AS row_id, 2 AS n_turns, text AS question FROM documents"""
 ORACLE["c4_loss_targets"] = "WITH" + GOLD + "," + TURNS + """
 SELECT row_id, turn, role, role = 'assistant' AS is_target, length(content)::INT AS n_chars FROM turns"""
 
+ORACLE["c4_loss_spans"] = "WITH" + GOLD + "," + TURNS + """
+SELECT row_id, sum(length(content))::BIGINT AS n_chars,
+       sum(CASE WHEN role = 'assistant' THEN length(content) END)::BIGINT AS target_chars,
+       round(sum(CASE WHEN role = 'assistant' THEN length(content) END) / sum(length(content))::DOUBLE, 6) AS target_share
+FROM turns GROUP BY row_id"""
+
+
+def n_words(x: str) -> str:
+    return f"len(regexp_extract_all({x}, '[^ \\t\\n\\r]+'))"
+
+
+ORACLE["c5_length_budget"] = "WITH" + GOLD + "," + DEMOS + f""",
+block AS (SELECT sum({n_words('posting')} + {n_words('answer')}) AS n FROM demos),
+lengths AS (SELECT 'zero' AS prompt, {n_words(SYSTEM)} + {n_words('posting')} AS n FROM answers
+            UNION ALL SELECT 'few', {n_words(SYSTEM)} + {n_words('posting')} + block.n FROM answers, block)
+SELECT prompt, count(*) AS n_rows, count(*) FILTER (n > 1024) AS n_over, round(avg(n), 6) AS mean_words,
+       round(quantile_cont(n::DOUBLE, 0.95), 6) AS p95_words, max(n)::BIGINT AS max_words
+FROM lengths GROUP BY prompt"""
+
 # --- D -------------------------------------------------------------------------------------
 
 ORACLE["d1_slice_json"] = _PREDS + f"""
@@ -344,6 +373,31 @@ UNION ALL SELECT run, row_id, field, 'extra' FROM names
   WHERE field NOT IN ({", ".join(lit(f.name) for f in DOC_SPEC.fields)})
 UNION ALL {" UNION ALL ".join(b for f in DOC_SPEC.fields for b in breaches(f))}"""
 
+# Faults by the text's length, as the query sets them.
+FAULTS = """
+faulty AS (
+  SELECT row_id, n_chars % 11 = 0 AS no_text, n_chars % 13 = 0 AS no_labels, n_chars % 7 = 0 AS bad_lang,
+         n_chars % 7 = 1 AS no_lang, n_chars % 5 = 0 AS bad_band, n_chars % 3 = 0 AS null_term, n_chars % 2 = 0 AS extra
+  FROM gold)"""
+
+ORACLE["d4_validate_gold"] = "WITH" + GOLD + "," + FAULTS + """
+SELECT row_id, 'posting' AS field, 'null' AS violation FROM faulty WHERE no_text
+UNION ALL SELECT row_id, 'labels', 'no_labels' FROM faulty WHERE no_labels
+UNION ALL SELECT row_id, 'lang', 'enum' FROM faulty WHERE bad_lang AND NOT no_labels
+UNION ALL SELECT row_id, 'lang', 'null' FROM faulty WHERE no_lang AND NOT no_labels
+UNION ALL SELECT row_id, 'band', 'enum' FROM faulty WHERE bad_band AND NOT no_labels
+UNION ALL SELECT row_id, 'more_terms', 'null' FROM faulty WHERE null_term AND NOT no_labels"""
+
+ORACLE["d4_validate_lines"] = "WITH" + GOLD + "," + FAULTS + """,
+found AS (
+  SELECT '' AS field, 'not_json' AS violation FROM faulty WHERE no_labels
+  UNION ALL SELECT 'lang', 'enum' FROM faulty WHERE bad_lang AND NOT no_labels
+  UNION ALL SELECT 'lang', 'null' FROM faulty WHERE no_lang AND NOT no_labels
+  UNION ALL SELECT 'band', 'enum' FROM faulty WHERE bad_band AND NOT no_labels
+  UNION ALL SELECT 'more_terms', 'type' FROM faulty WHERE null_term AND NOT no_labels
+  UNION ALL SELECT 'note', 'extra' FROM faulty WHERE extra AND NOT no_labels)
+SELECT field, violation, count(*) AS n_rows FROM found GROUP BY field, violation"""
+
 # --- E -------------------------------------------------------------------------------------
 
 ORACLE["e1_scalar_match"] = _COMPARED + f"""
@@ -360,12 +414,18 @@ ORACLE["e4_run_metrics"] = _METRICS + f"""
 SELECT run, n_rows, valid_rows, scalar_correct, scalar_total, list_count, {r6(*METRIC_NAMES)}
 FROM metrics"""
 
+ORACLE["e4_answer_check"] = _PREDS + """,
+twice AS (SELECT run, row_id FROM preds UNION ALL SELECT run, row_id FROM preds WHERE row_id % 10 = 3)
+SELECT t.run, count(*) AS n_answers, count(*) - count(DISTINCT t.row_id) AS repeated_answers,
+       count(*) FILTER (g.lang = 'de') AS stray_answers
+FROM twice t JOIN gold g USING (row_id) GROUP BY t.run"""
+
 ORACLE["e5_metrics_report"] = _METRICS + """
 SELECT run, valid_rows AS json_valid_rows, n_rows,
        round_even(100 * json_valid, 0)::INT AS json_valid_pct,
        scalar_correct AS fields_correct, scalar_total AS fields_total,
        round_even(100 * field_acc, 0)::INT AS field_acc_pct,
-       round_even(skills_f1, 2) AS skills_f1 FROM metrics"""
+       printf('%.2f', skills_f1)::DOUBLE AS skills_f1 FROM metrics"""
 
 ORACLE["e6_compare_runs"] = _METRICS + f"""
 SELECT prompt, {", ".join(
@@ -412,11 +472,14 @@ ORACLE["e11_top_failures"] = _COMPARED + FAILED + """,
 ranked AS (SELECT *, row_number() OVER (PARTITION BY run, field ORDER BY row_id)::INT AS place FROM failed)
 SELECT run, field, place, row_id, predicted, gold FROM ranked WHERE place <= 5"""
 
-ORACLE["e12_resolution"] = _METRICS + """
+ORACLE["e12_resolution"] = _METRICS + """,
+gaps AS (SELECT *, max(scalar_correct) OVER (PARTITION BY comparison) - scalar_correct AS fields,
+                max(list_f1_sum) OVER (PARTITION BY comparison) - list_f1_sum AS slots
+         FROM metrics JOIN runs USING (run))
 SELECT run, comparison, round(1.0 / scalar_total, 9) AS field_step, round(1.0 / list_count, 9) AS slot_step,
-       max(scalar_correct) OVER (PARTITION BY comparison) - scalar_correct AS fields_behind,
-       max(scalar_correct) OVER (PARTITION BY comparison) - scalar_correct <= 1 AS below_noise
-FROM metrics JOIN runs USING (run)"""
+       fields AS fields_behind, round(slots, 6) AS slots_behind,
+       CASE WHEN fields = 0 AND slots = 0 THEN NULL ELSE fields <= 1 AND slots <= 1 END AS below_noise
+FROM gaps"""
 
 KNOBS = ("model", "prompt", "train_rows", "source", "epochs")
 ORACLE["e13_confound_check"] = _METRICS + f""",
@@ -450,12 +513,8 @@ def numbers(x: str, cases) -> str:
 
 
 def sampler(ids: str, seed: int = SEED, tag: str = "") -> str:
-    order = ("role", "seniority", "employment", "workplace", "location", "city", "company",
-             "education", "years", "salary", "currency", "period", "low", "gap", "no_max", "no_min",
-             "required", "preferred")
-
     def d(name):
-        return nth(seed, "row_id", order.index(name))
+        return u(seed, "row_id", name)
 
     titles = list(P.roles)
     pools = "[" + ", ".join(lits(s) for s in P.roles.values()) + "]"
@@ -474,7 +533,7 @@ drawn{tag} AS (
          {pick(d('city'), P.cities)} AS city, {pick(d('company'), P.companies)} AS company,
          {pick(d('currency'), P.currencies)} AS currency,
          {pick(d('education'), P.education)} AS education,
-         {d('salary')} < 0.7 AS paid,
+         {d('paid')} < 0.7 AS paid,
          2 + floor({d('required')} * 4)::INT AS n_req, floor({d('preferred')} * 4)::INT AS n_pref
   FROM ids{tag}),
 shaped{tag} AS (
@@ -506,9 +565,9 @@ _SAMPLED = "WITH" + sampler("SELECT doc_id AS row_id FROM documents")
 
 ORACLE["f1_uniform"] = f"SELECT doc_id, round({u(SEED, 'doc_id', 'x')}, 9) AS u FROM documents"
 ORACLE["f2_choose"] = f"""
-SELECT doc_id, {pick(nth(SEED, 'doc_id', 0), P.education)} AS education FROM documents"""
+SELECT doc_id, {pick(u(SEED, 'doc_id', 'education'), P.education)} AS education FROM documents"""
 ORACLE["f3_choose_weighted"] = f"""
-SELECT doc_id, {pick_weighted(nth(SEED, 'doc_id', 0), P.seniority_weights.items())} AS seniority
+SELECT doc_id, {pick_weighted(u(SEED, 'doc_id', 'seniority'), P.seniority_weights.items())} AS seniority
 FROM documents"""
 ORACLE["f4_conditional_fields"] = _SAMPLED + """
 SELECT row_id, seniority, title, employment_type, min_years_experience FROM sampled"""
@@ -540,9 +599,35 @@ ORACLE["f8_teacher_requests"] = _SAMPLED + """
 SELECT row_id, 'Write one posting for these facts.' AS system, '{' || """ + " || ', ' || ".join(
     f"""'"{n}": ' || {fact(n)}""" for n in _JOB_FIELDS) + """ || '}' AS facts FROM sampled"""
 ORACLE["f8_attach_postings"] = _SAMPLED + r"""
-SELECT s.row_id, md5(regexp_replace(d.text, '^\s+|\s+$', '', 'g')) AS posting_md5, s.title
+SELECT s.row_id, s.title,
+       CASE WHEN s.row_id % 5 IN (1, 2) THEN NULL ELSE md5(regexp_replace(d.text, '^\s+|\s+$', '', 'g')) END AS posting_md5,
+       CASE s.row_id % 5 WHEN 1 THEN 'missing' WHEN 2 THEN 'several' ELSE 'ok' END AS status
 FROM sampled s JOIN documents d ON s.row_id = d.doc_id"""
 
+# The closed fields and their values, as the schema states them.
+CLOSED = {
+    "workplace_type": ("remote", "hybrid", "onsite"),
+    "employment_type": ("full_time", "part_time", "contract", "internship", "temporary"),
+    "seniority": ("intern", "junior", "mid", "senior", "lead", "manager", "executive"),
+    "salary_period": ("year", "month", "week", "day", "hour"),
+}
+ORACLE["f9_coverage_audit"] = _SAMPLED + " " + " UNION ALL ".join(
+    f"SELECT '{f}' AS field, {lit(v)}::VARCHAR AS value, count(*) FILTER ({f} IS NOT DISTINCT FROM {lit(v)}) AS n_rows FROM sampled"
+    for f, values in CLOSED.items() for v in (*values, None))
+
+
+def in_text(x: str) -> str:
+    return f"contains(lower(posting), lower({x}))"
+
+
+ORACLE["f10_grounding_audit"] = "WITH" + GOLD + ",\nlong AS (" + " UNION ALL ".join(
+    [f"SELECT '{f}' AS field, 1 AS stated, {in_text(f'{f}::VARCHAR')}::INT AS found FROM gold WHERE {f} IS NOT NULL"
+     for f in SCALARS] +
+    [f"SELECT '{f}', len({f}), len(list_filter({f}, lambda v: {in_text('v')})) FROM gold WHERE len({f}) > 0"
+     for f in LISTS]) + """)
+SELECT field, count(*) AS n_rows, sum(stated)::BIGINT AS n_stated, sum(found)::BIGINT AS n_found,
+       round(sum(found) / sum(stated)::DOUBLE, 6) AS found_share FROM long GROUP BY field"""
+
 _ORDERS = "SELECT o_orderkey AS row_id FROM orders"
 _JOB_LISTS = ("required_skills", "preferred_skills")
 _JOB_SCALARS = [n for n in _JOB_FIELDS if n not in _JOB_LISTS]

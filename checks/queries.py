@@ -137,6 +137,18 @@ def b7_eval_purity(spark, sf_dir):
     return mix.eval_purity(mix.experiment_rows(parts, synthetic))
 
 
+@query
+def b3_split_grouped(spark, sf_dir):
+    parts = split.split_grouped(_documents(spark, sf_dir), SEED, N_TEST, N_VAL)
+    return parts.select("doc_id", "split")
+
+
+@query
+def b6_leakage_audit(spark, sf_dir):
+    parts = split.split_fraction(_documents(spark, sf_dir), "doc_id", SEED, {"test": 0.15, "val": 0.15})
+    return split.leakage_audit(parts)
+
+
 # --- C: chat rows and prompts -----------------------------------------------------------
 
 @query
@@ -181,6 +193,22 @@ def c4_loss_targets(spark, sf_dir):
     return turns.select("row_id", "turn", "role", "is_target", F.length("content").alias("n_chars"))
 
 
+@query
+def c4_loss_spans(spark, sf_dir):
+    spans = chat.loss_spans(chat.to_chat(B.doc_gold(spark, sf_dir), SPEC).select("row_id", "messages"))
+    return spans.select("row_id", "n_chars", "target_chars", _digits("target_share"))
+
+
+@query
+def c5_length_budget(spark, sf_dir):
+    gold = B.doc_gold(spark, sf_dir)
+    zero = chat.prompts(gold.select("row_id", "posting"), SPEC)
+    few = chat.prompts(gold.select("row_id", "posting"), SPEC, _demo_block(spark, sf_dir, gold))
+    both = zero.withColumn("prompt", F.lit("zero")).unionByName(few.withColumn("prompt", F.lit("few")))
+    return chat.length_budget(both, 1024, "prompt").select(
+        "prompt", "n_rows", "n_over", _digits("mean_words"), _digits("p95_words"), "max_words")
+
+
 # --- D: parse and validate ----------------------------------------------------------------
 
 @query
@@ -221,6 +249,33 @@ def d3_validate_schema(spark, sf_dir):
     return parse.validate_schema(B.doc_preds(B.doc_gold(spark, sf_dir)), SPEC)
 
 
+def _faulty_gold(spark, sf_dir):
+    """Gold with breaches of every kind: by the text's length, so that SQL can tell them too."""
+    n = "labels.n_chars"
+    return B.doc_gold(spark, sf_dir).selectExpr(
+        "row_id", f"CASE WHEN {n} % 11 = 0 THEN NULL ELSE posting END AS posting",
+        f"CASE WHEN {n} % 13 = 0 THEN NULL ELSE struct("
+        f"CASE {n} % 7 WHEN 0 THEN 'xx' WHEN 1 THEN NULL ELSE labels.lang END AS lang, labels.source, labels.n_chars, "
+        "labels.quality, labels.toxic, "
+        f"CASE WHEN {n} % 5 = 0 THEN 'middling' ELSE labels.band END AS band, labels.last_terms, "
+        f"CASE WHEN {n} % 3 = 0 THEN array(NULL) ELSE labels.more_terms END AS more_terms) END AS labels")
+
+
+@query
+def d4_validate_gold(spark, sf_dir):
+    return parse.validate_gold(_faulty_gold(spark, sf_dir), SPEC)
+
+
+@query
+def d4_validate_lines(spark, sf_dir):
+    """Raw lines of faulty records with a label that the spec does not have, counted."""
+    body = labels_json(SPEC)
+    value = (f"CASE WHEN labels IS NULL THEN '{{\"posting\": \"x\"}}' ELSE concat('{{\"posting\": \"x\", \"labels\": ', "
+             f"CASE WHEN labels.n_chars % 2 = 0 THEN replace({body}, '{{', '{{\"note\": 1, ') ELSE {body} END, '}}') END")
+    lines = _faulty_gold(spark, sf_dir).selectExpr("row_id", f"{value} AS value")
+    return parse.count_breaches(parse.validate_lines(lines, SPEC))
+
+
 # --- E: scores and comparisons ------------------------------------------------------------
 
 @query
@@ -250,10 +305,18 @@ def e4_run_metrics(spark, sf_dir):
                           "list_count", *[_digits(m) for m in reports.METRICS])
 
 
+@query
+def e4_answer_check(spark, sf_dir):
+    """Answers of the documents with a label twice, and without the gold rows of one language."""
+    gold, preds, runs = _inputs(spark, sf_dir)
+    again = preds.where("row_id % 10 = 3")
+    return score.answer_check(gold.where("labels.lang <> 'de'"), preds.unionByName(again), runs)
+
+
 @query
 def e4_job_postings(spark, sf_dir):
     """All fields of the job record: answers drawn with the gold's seed and with another."""
-    orders = B.table(spark, sf_dir, "orders", "o_orderkey").select("o_orderkey")
+    orders = B.ids(spark, sf_dir, "orders", "o_orderkey")
     gold = synth.sample_labels(orders, "o_orderkey", SEED)
 
     def answers(run, labels):
@@ -322,7 +385,7 @@ def e11_top_failures(spark, sf_dir):
 def e12_resolution(spark, sf_dir):
     table = reports.resolution(*_metrics(spark, sf_dir))
     return table.select("run", "comparison", _digits("field_step", 9), _digits("slot_step", 9),
-                        "fields_behind", "below_noise")
+                        "fields_behind", _digits("slots_behind"), "below_noise")
 
 
 @query
@@ -385,7 +448,7 @@ def f7_shuffled_prefix(spark, sf_dir):
 
 @query
 def f8_sample_labels(spark, sf_dir):
-    orders = B.table(spark, sf_dir, "orders", "o_orderkey")
+    orders = B.ids(spark, sf_dir, "orders", "o_orderkey")
     sampled = synth.sample_labels(orders, "o_orderkey", SEED)
     return sampled.select("row_id", *_flat_labels(JOB_POSTING))
 
@@ -399,10 +462,20 @@ def f8_teacher_requests(spark, sf_dir):
 
 @query
 def f8_attach_postings(spark, sf_dir):
-    replies = _documents(spark, sf_dir).select(F.col("doc_id").alias("row_id"),
-                                               F.col("text").alias("raw_text"))
+    documents = _documents(spark, sf_dir).selectExpr("doc_id AS row_id", "text AS raw_text")
+    replies = documents.where("row_id % 5 <> 1").unionByName(documents.where("row_id % 5 = 2"))
     rows = synth.attach_postings(_sampled(spark, sf_dir), replies)
-    return rows.select("row_id", F.md5("posting").alias("posting_md5"), "labels.title")
+    return rows.select("row_id", F.md5("posting").alias("posting_md5"), "labels.title", "status")
+
+
+@query
+def f9_coverage_audit(spark, sf_dir):
+    return synth.coverage_audit(_sampled(spark, sf_dir))
+
+
+@query
+def f10_grounding_audit(spark, sf_dir):
+    return synth.grounding_audit(B.doc_gold(spark, sf_dir), SPEC).withColumn("found_share", _digits("found_share"))
 
 
 @query

@@ -42,8 +42,6 @@ RUNS = (
 )
 KNOBS = ("model", "prompt", "train_rows", "source", "epochs")
 
-SCAN_PIECE = 128 * 1024 * 1024       # the default spark.sql.files.maxPartitionBytes
-
 ERROR_RATES = {
     "base_zero": 0.6, "base_few": 0.35, "tuned_zero": 0.2, "tuned_few": 0.15,
     "size_5": 0.5, "size_10": 0.3, "size_14": 0.2,
@@ -55,19 +53,13 @@ ERROR_KINDS = (
 )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
-    """A given table. With a key, one too small to give every core a piece of the scan is
-    spread by that key first. Above that size, which depends on the cluster, nothing moves."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if key and _bytes(df) < cores * SCAN_PIECE:
-        return df.repartition(cores, key)
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _bytes(df: DataFrame) -> int:
-    """Size of the scanned files, as the optimizer knows it."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def ids(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """The keys of a table, spread over the cluster: a table of one file has one scan task."""
+    return table(spark, sf_dir, name).select(key).repartition(key)
 
 
 def run_config(spark: SparkSession) -> DataFrame:
@@ -81,8 +73,7 @@ def run_config(spark: SparkSession) -> DataFrame:
 
 def doc_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(row_id, posting, labels). The list fields are the last distinct words in text order."""
-    docs = table(spark, sf_dir, "documents", "doc_id").join(
-        table(spark, sf_dir, "labels"), "doc_id", "left")
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
     terms = "sort_array(array_distinct(split(text, ' ')), false)"
     return docs.selectExpr("*", f"{terms} AS _terms").selectExpr(
         "doc_id AS row_id", "text AS posting",
@@ -116,12 +107,13 @@ def _answer() -> str:
 def doc_preds(gold: DataFrame) -> DataFrame:
     """(run, row_id, raw_text): ten runs over all gold rows.
 
-    The run `src_hand` answered the documents of `labels` only, so it lacks answers.
+    The run `src_hand` answered the documents of `labels` only, so it lacks answers. The rows are
+    spread by (run, row_id), as answers arrive as a table of their own and not beside gold.
     """
     rates = "array(" + ", ".join(f"struct('{r}' AS run, {ERROR_RATES[r]}D AS rate)"
                                  for r, *_ in RUNS) + ")"
     asked = (gold.selectExpr("row_id", "labels", f"inline({rates})")
-             .where("run != 'src_hand' OR labels.quality IS NOT NULL"))
+             .where("run != 'src_hand' OR labels.quality IS NOT NULL").repartition("run", "row_id"))
     drawn = with_draws(asked, 7, "concat_ws(':', run, row_id)", ["err", "kind", "fence"])
     return drawn.selectExpr(
         "run", "row_id", "labels",
@@ -140,7 +132,7 @@ def doc_preds(gold: DataFrame) -> DataFrame:
 def origin_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """All documents in two parts by `source`: src0 to src9 stand for hand, the rest for synthetic."""
     docs = table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("row_id"), F.regexp_extract("source", r"(\d+)$", 1).cast("int").alias("_n"))
+        F.col("doc_id").alias("row_id"), "text", F.regexp_extract("source", r"(\d+)$", 1).cast("int").alias("_n"))
     hand = docs.where(F.col("_n") < 10).drop("_n")
     synthetic = docs.where(~F.coalesce(F.col("_n") < 10, F.lit(False))).drop("_n")
     return hand, synthetic

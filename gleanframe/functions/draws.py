@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from gleanframe.functions.sql import array, literal
 
 _HEX_PER_DRAW = 8                # 32 bits
-_DRAWS_PER_DIGEST = 32 // _HEX_PER_DRAW
 _HEX_PER_ITEM = 6                # 24 bits order the items of a short list
 
 
@@ -42,17 +41,11 @@ def uniform(seed: int, key: str, draw: str) -> str:
 
 
 def with_draws(df: DataFrame, seed: int, key: str, names: Sequence[str]) -> DataFrame:
-    """Adds `u_<name>` in [0, 1) for each name; one digest feeds four draws.
+    """Adds `u_<name>` in [0, 1) for each name, the number that `uniform` gives for that name.
 
     The draws are columns of their own, so a later CASE over one does not hash again.
     """
-    blocks = range(math.ceil(len(names) / _DRAWS_PER_DIGEST))
-    hashed = df.selectExpr("*", *[f"{digest(seed, key, b)} AS _d{b}" for b in blocks])
-    draws = [
-        f"{_fraction(f'_d{i // _DRAWS_PER_DIGEST}', 1 + _HEX_PER_DRAW * (i % _DRAWS_PER_DIGEST))}"
-        f" AS u_{n}"
-        for i, n in enumerate(names)]
-    return hashed.selectExpr(*[f"`{c}`" for c in df.columns], *draws)
+    return df.selectExpr("*", *[f"{uniform(seed, key, n)} AS u_{n}" for n in names])
 
 
 def index_below(u: str, n: int) -> str:

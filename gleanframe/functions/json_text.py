@@ -21,7 +21,7 @@ def json_string(x: str) -> str:
 
 
 def json_number(x: str) -> str:
-    return (f"CASE WHEN abs({x}) <= 9007199254740992D AND {x} = floor({x}) "
+    return (f"CASE WHEN abs({x}) < 1e18D AND {x} = floor({x}) "
             f"THEN cast(cast({x} AS bigint) AS string) "
             f"ELSE coalesce(cast({x} AS string), 'null') END")
 

@@ -1,4 +1,4 @@
-"""Chat-format training rows, few-shot blocks, prompts, training targets."""
+"""Chat-format training rows, few-shot blocks, prompts, training targets, lengths."""
 
 from __future__ import annotations
 
@@ -61,3 +61,37 @@ def loss_targets(chat: DataFrame) -> DataFrame:
     return (chat.selectExpr(*others, "posexplode(messages) AS (turn, _m)")
             .selectExpr(*others, "turn", "_m.role AS role", "_m.content AS content",
                         "_m.role = 'assistant' AS is_target"))
+
+
+def loss_spans(chat: DataFrame) -> DataFrame:
+    """C4: one row per chat row: characters in all turns, in training targets, and their share.
+
+    Narrow: nothing is exploded. Sum both counts for the share of a whole table.
+    """
+    others = [name(c) for c in chat.columns if c != "messages"]
+
+    def chars(turns: str) -> str:
+        return f"aggregate({turns}, 0L, (n, m) -> n + coalesce(length(m.content), 0))"
+
+    return chat.selectExpr(
+        *others, f"{chars('messages')} AS n_chars",
+        chars("filter(messages, m -> m.role = 'assistant')") + " AS target_chars",
+    ).selectExpr("*", "try_divide(target_chars, n_chars) AS target_share")
+
+
+def row_lengths(chat: DataFrame) -> DataFrame:
+    """Adds `n_words`, the words of all turns of a row (not model tokens). Narrow."""
+    words = "size(filter(split(m.content, '[ \\t\\n\\r]+'), w -> w != ''))"
+    return chat.selectExpr("*", f"aggregate(messages, 0L, (n, m) -> n + coalesce({words}, 0)) AS n_words")
+
+
+def length_budget(chat: DataFrame, limit: int, by: str) -> DataFrame:
+    """Per value of `by` (a prompt style, say) the rows, those over `limit` words, and the
+    mean, 95th percentile and largest length. Rows over the limit are counted, never cut.
+
+    The percentile is exact: Spark sums equal lengths before the shuffle.
+    """
+    return row_lengths(chat).groupBy(by).agg(
+        F.count("*").alias("n_rows"), F.sum((F.col("n_words") > limit).cast("long")).alias("n_over"),
+        F.avg("n_words").alias("mean_words"), F.percentile("n_words", F.lit(0.95)).alias("p95_words"),
+        F.max("n_words").alias("max_words"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from gleanframe.operators.split import text_key
+
 MODES = ("hand", "synthetic", "mixed")
 
 
@@ -39,7 +41,13 @@ def experiment_rows(hand_splits: DataFrame, synthetic: DataFrame) -> DataFrame:
                          .withColumn("source", F.lit("synthetic"))))
 
 
-def eval_purity(rows: DataFrame) -> DataFrame:
-    """Rows by split and source; `clean` is false for synthetic rows in val or test."""
-    return rows.groupBy("split", "source").agg(F.count("*").alias("n_rows")).withColumn(
-        "clean", (F.col("split") == "train") | (F.col("source") == "hand"))
+def eval_purity(rows: DataFrame, text: str = "text") -> DataFrame:
+    """(row_id, text_key) of the synthetic rows that bring an evaluation text into play.
+
+    A row is listed if it is in val or test itself, or if its normalised text is that of a val
+    or test row. An empty result is a clean evaluation. Hashes and ids are shuffled, not texts.
+    """
+    keyed = rows.select("row_id", "split", "source", text_key(text).alias("text_key"))
+    evaluated = keyed.where("split IN ('val', 'test')")
+    synthetic = keyed.where("source = 'synthetic'").select("row_id", "text_key")
+    return synthetic.join(evaluated.select("text_key").distinct(), "text_key", "left_semi").select("row_id", "text_key")

@@ -1,4 +1,4 @@
-"""Parse model text into one object and check it against the declared schema."""
+"""Parse model text into one object; check it, and gold records, against the declared schema."""
 
 from __future__ import annotations
 
@@ -80,3 +80,39 @@ def validate_schema(preds: DataFrame, spec: RecordSpec) -> DataFrame:
         f"concat(cast(array_compact(array({checks})) AS {breach_type}), "
         f"cast({extra} AS {breach_type})) "
         f"ELSE cast(array({_breach(literal(''), 'not_json')}) AS {breach_type}) END)")
+
+
+def validate_gold(gold: DataFrame, spec: RecordSpec) -> DataFrame:
+    """One row per breach of typed gold or synthetic labels: (row_id, field, violation).
+
+    no_labels (the record has none), null (where null is not allowed, and in a list), enum.
+    Types hold already. A missing text is a `null` of the text column. Narrow.
+    """
+    checks = [f"CASE WHEN {name(spec.text_column)} IS NULL THEN {_breach(literal(spec.text_column), 'null')} END"]
+    for f in spec.fields:
+        value, named, branches = name(f"labels.{f.name}"), literal(f.name), []
+        if not f.nullable:
+            branches.append(f"WHEN {value} IS NULL THEN {_breach(named, 'null')}")
+        if f.kind == LIST:
+            branches.append(f"WHEN exists({value}, v -> v IS NULL) THEN {_breach(named, 'null')}")
+        if f.domain:
+            branches.append(f"WHEN {value} NOT IN ({', '.join(literal(v) for v in f.domain)}) THEN {_breach(named, 'enum')}")
+        if branches:
+            checks.append(f"CASE WHEN labels IS NULL THEN NULL {' '.join(branches)} END")
+    checks.append(f"CASE WHEN labels IS NULL THEN {_breach(literal('labels'), 'no_labels')} END")
+    breach_type = "array<struct<field:string,violation:string>>"
+    return gold.selectExpr("row_id", f"inline(cast(array_compact(array({', '.join(checks)})) AS {breach_type}))")
+
+
+def validate_lines(lines: DataFrame, spec: RecordSpec) -> DataFrame:
+    """D4 on raw record lines (row_id, value), before a typed reader drops what it does not know.
+
+    The breaches of D3 for the labels of each line; `not_json` also stands for missing labels.
+    """
+    labels = lines.selectExpr("'' AS run", "row_id", "get_json_object(value, '$.labels') AS raw_text")
+    return validate_schema(labels, spec).drop("run")
+
+
+def count_breaches(breaches: DataFrame) -> DataFrame:
+    """(field, violation, n_rows) of D3 or D4 breaches."""
+    return breaches.groupBy("field", "violation").count().withColumnRenamed("count", "n_rows")

@@ -79,13 +79,34 @@ def _run_names(runs: DataFrame) -> Column:
     return runs.agg(F.collect_set("run")).scalar()
 
 
+def listed_answers(preds: DataFrame, runs: DataFrame) -> DataFrame:
+    """The answers of the compared runs. Stored by run, the others are not even read."""
+    return preds.where(F.array_contains(_run_names(runs), F.col("run")))
+
+
+def answer_check(gold: DataFrame, preds: DataFrame, runs: DataFrame) -> DataFrame:
+    """Per listed run its answers, how many repeat a (run, row_id), and how many gold lacks.
+
+    Metrics assume one answer per (run, row_id), all of gold rows; this tells whether that
+    holds. Ids only; repeats are summed before they are shuffled, so a hot id is one row a task.
+    """
+    per_id = listed_answers(preds, runs).groupBy("run", "row_id").agg(F.count("*").alias("_n"))
+    known = gold.select("row_id", F.lit(True).alias("_known"))
+    sums = (per_id.join(known, "row_id", "left").groupBy("run")
+            .agg(F.sum("_n").alias("n_answers"), F.sum(F.col("_n") - 1).alias("repeated_answers"),
+                 F.sum(F.when(F.col("_known").isNull(), F.col("_n")).otherwise(0)).alias("stray_answers")))
+    zero = F.lit(0).cast("long")
+    return runs.select("run").join(sums, "run", "left").select(
+        "run", *[F.coalesce(c, zero).alias(c) for c in ("n_answers", "repeated_answers", "stray_answers")])
+
+
 def absent_answers(gold: DataFrame, preds: DataFrame, runs: DataFrame) -> DataFrame:
     """(run, row_id) of gold rows for which a listed run has no stored answer.
 
     Only ids are shuffled, gold once and not once per run. The set per row holds at
     most the compared runs and is built before the shuffle.
     """
-    answered = preds.groupBy("row_id").agg(F.collect_set("run").alias("_answered"))
+    answered = listed_answers(preds, runs).groupBy("row_id").agg(F.collect_set("run").alias("_answered"))
     return (gold.select("row_id").join(answered, "row_id", "left")
             .withColumn("_runs", _run_names(runs))
             .selectExpr("explode(array_except(_runs, coalesce(_answered, array()))) AS run", "row_id"))
@@ -93,7 +114,7 @@ def absent_answers(gold: DataFrame, preds: DataFrame, runs: DataFrame) -> DataFr
 
 def score_rows(gold: DataFrame, preds: DataFrame, runs: DataFrame, spec: RecordSpec) -> DataFrame:
     """One row per (run, gold row); an absent answer scores as unparseable."""
-    listed = preds.where(F.array_contains(_run_names(runs), F.col("run")))
+    listed = listed_answers(preds, runs)
     absent = absent_answers(gold, listed, runs).selectExpr(
         "run", "row_id", "0 AS json_valid", "0 AS scalar_correct",
         f"{len(spec.scalars)} AS scalar_total", "0D AS list_f1_sum",

@@ -1,4 +1,4 @@
-"""Seeded, leak-free splits and nested training subsets.
+"""Seeded, leak-free splits and nested training subsets; B6: what leaks between splits.
 
 Rows are ordered by a hash of (seed, key); the first n_test are test, the next
 n_val validation, the rest train. No step moves whole rows: the cut points of
@@ -10,55 +10,58 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gleanframe.functions.draws import order_key, uniform
 from gleanframe.functions.sql import literal, name
 
-_PREFIX = 4          # hex digits: 65,536 even buckets, so the histogram has a fixed size
+_LEVELS = (4, 8)     # hex digits: 65,536 even buckets, then 65,536 in each that holds a cut
 
 
 def rank_cuts(digests: DataFrame, ranks: Sequence[int]) -> DataFrame:
-    """(rank, cut): the digest at each 1-based rank of the sorted column `split_key`.
+    """(rank, cut, upto): the digest at each 1-based rank of the sorted column `split_key`, and
+    the rows up to it and its equals.
 
-    An exact selection without a global sort. Counts per digest prefix (at most
-    65,536 rows) say which prefix holds each rank; only rows with that prefix,
-    one in 65,536, are then sorted. A rank past the end gives no row.
+    An exact selection without a global sort. Counts per digest prefix say which prefix holds
+    each rank, then counts of the next digits inside it; what is left, one digest in 2^32, is
+    counted and sorted. Every level counts before it shuffles, so a digest that most rows share is
+    one row per task. A rank past the end gives no row.
     """
-    bucket = F.substring("split_key", 1, _PREFIX).alias("bucket")
-    counts = digests.groupBy(bucket).agg(F.count("*").alias("n"))
-    running = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    upto = counts.withColumn("upto", F.sum("n").over(running))
     wanted = "array(" + ", ".join(f"{r}L" for r in sorted(set(ranks))) + ")"
-    holders = upto.selectExpr("bucket", "upto - n AS before", f"explode(filter({wanted}, "
-                              "r -> r > upto - n AND r <= upto)) AS rank")
-    within = Window.partitionBy("rank").orderBy("split_key")
-    # holders has at most len(ranks) rows.
-    return (digests.select("split_key", bucket)
-            .join(F.broadcast(holders), "bucket")
-            .withColumn("place", F.row_number().over(within))
-            .where(F.col("place") == F.col("rank") - F.col("before"))
-            .select("rank", F.col("split_key").alias("cut")))
-
-
-def _cut_map(digests: DataFrame, ranks: Sequence[int]):
+    held = None
+    for level in (*_LEVELS, None):
+        part = F.col("split_key") if level is None else F.substring("split_key", 1, level)
+        if held is None:
+            counts = digests.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+            counts = counts.select("part", "n", F.lit(0).cast("long").alias("before"), F.expr(f"explode({wanted})").alias("rank"))
+        else:
+            counts = (digests.select("split_key", F.substring("split_key", 1, width).alias("held"))
+                      .join(F.broadcast(held), "held").groupBy("rank", "before", part.alias("part"))
+                      .agg(F.count("*").alias("n")))
+        running = Window.partitionBy("rank").orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
+        found = (counts.withColumn("upto", F.col("before") + F.sum("n").over(running))
+                 .where("rank > upto - n AND rank <= upto"))
+        if level is None:
+            return found.select("rank", F.col("part").alias("cut"), "upto")
+        # One row for each of the ranks.
+        held, width = found.select("rank", F.col("part").alias("held"), (F.col("upto") - F.col("n")).alias("before")), level
+    raise AssertionError
+
+
+def _cut_map(digests: DataFrame, ranks: Sequence[int], exact: bool = False) -> Column:
     """The cuts as one map value, at most len(ranks) entries."""
-    entries = F.collect_list(F.struct("rank", "cut"))
+    cut = F.expr("CASE WHEN upto > rank THEN raise_error('a key repeats across a cut; use split_grouped') ELSE cut END")
+    entries = F.collect_list(F.struct("rank", cut.alias("cut") if exact else F.col("cut")))
     return rank_cuts(digests, ranks).agg(F.map_from_entries(entries)).scalar()
 
 
-def split_exact(df: DataFrame, key: str, seed: int, n_test: int, n_val: int) -> DataFrame:
-    """B1: adds `split` and `split_key`; exactly n_test and n_val rows, for any table size.
-
-    `key` must be unique. Fewer rows than n_test + n_val raise an error when the
-    result is computed.
-    """
-    keyed = df.withColumn("split_key", F.expr(order_key(seed, name(key))))
+def _split(keyed: DataFrame, n_test: int, n_val: int, exact: bool) -> DataFrame:
+    """Adds `split` to rows with a `split_key`."""
     ranks = [r for r in (n_test, n_test + n_val) if r > 0]
     if not ranks:
         return keyed.withColumn("split", F.lit("train"))
     held_out = n_test + n_val
-    cuts = _cut_map(keyed.select("split_key"), ranks)
+    cuts = _cut_map(keyed.select("split_key"), ranks, exact)
     missing = f"raise_error('table has fewer than {held_out} rows to split off')"
     label = (f"CASE WHEN split_key > coalesce(try_element_at(_cuts, {held_out}L), {missing}) "
              f"THEN 'train' WHEN split_key <= try_element_at(_cuts, {n_test}L) THEN 'test' "
@@ -66,6 +69,43 @@ def split_exact(df: DataFrame, key: str, seed: int, n_test: int, n_val: int) ->
     return keyed.withColumn("_cuts", cuts).withColumn("split", F.expr(label)).drop("_cuts")
 
 
+def split_exact(df: DataFrame, key: str, seed: int, n_test: int, n_val: int) -> DataFrame:
+    """B1: adds `split` and `split_key`; exactly n_test and n_val rows, for any table size.
+
+    A key that repeats across a cut would break the sizes: that raises an error when the
+    result is computed, as do fewer rows than n_test + n_val.
+    """
+    return _split(df.withColumn("split_key", F.expr(order_key(seed, name(key)))), n_test, n_val, True)
+
+
+def text_key(text: str = "text") -> Column:
+    """Hash of a text without regard to case and blanks; null text has none."""
+    return F.expr(f"md5(trim(regexp_replace(lower({name(text)}), '[ \\t\\n\\r]+', ' ')))")
+
+
+def split_grouped(df: DataFrame, seed: int, n_test: int, n_val: int, text: str = "text") -> DataFrame:
+    """As B1, but all rows of one normalised text land in one split.
+
+    Groups are taken whole in the order of their hash. Test has n_test rows or as many more as
+    complete its last group, and test and validation together n_test + n_val likewise. Rows
+    with a null text are one group.
+    """
+    group = F.coalesce(text_key(text), F.lit(""))
+    keyed = df.withColumn("_group", group).withColumn("split_key", F.expr(order_key(seed, "_group"))).drop("_group")
+    return _split(keyed, n_test, n_val, False)
+
+
+def leakage_audit(parts: DataFrame, text: str = "text") -> DataFrame:
+    """(text_key, splits, n_rows) of every normalised text that is in more than one split.
+
+    Hashes and split names are shuffled, never texts, and summed before.
+    """
+    shared = parts.select(text_key(text).alias("text_key"), "split").where("text_key IS NOT NULL")
+    return (shared.groupBy("text_key").agg(F.array_sort(F.collect_set("split")).alias("_s"), F.count("*").alias("n_rows"))
+            .where(F.size("_s") > 1)
+            .select("text_key", F.array_join("_s", ",").alias("splits"), "n_rows"))
+
+
 def split_fraction(df: DataFrame, key: str, seed: int, fractions: Mapping[str, float],
                    rest: str = "train") -> DataFrame:
     """B2: the split by shares instead of counts: one narrow pass, no cut points."""

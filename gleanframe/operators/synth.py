@@ -1,4 +1,4 @@
-"""F1-F8: synthetic gold labels by seeded sampling, one record per id, no shuffle.
+"""Synthetic gold labels by seeded sampling, one record per id, no shuffle; their audits.
 
 The labels come first and a teacher model writes a posting for them, so they are
 right by construction. The call itself stays outside: `teacher_requests` is its
@@ -10,13 +10,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gleanframe.functions import draws as D
-from gleanframe.functions.json_text import labels_json
+from gleanframe.functions.json_text import json_value, labels_json
 from gleanframe.functions.sql import array, case, literal, name
 from gleanframe.operators.chat import turns
-from gleanframe.spec import JOB_POSTING
+from gleanframe.spec import JOB_POSTING, LIST, NUMBER, STRING, RecordSpec
 
 
 @dataclass(frozen=True)
@@ -179,9 +179,61 @@ def teacher_requests(labels: DataFrame, system: str) -> DataFrame:
     return labels.selectExpr("row_id", f"{messages} AS messages")
 
 
+#: What a reply is trimmed of: all Unicode white space (fixed values).
+BLANKS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+          "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+
+
 def attach_postings(labels: DataFrame, replies: DataFrame) -> DataFrame:
-    """(row_id, posting, labels) from the sampled labels and the teacher's replies
-    (row_id, raw_text), one per id. A record without a reply is left out."""
-    text = replies.selectExpr(
-        "row_id", f"regexp_replace(raw_text, '^\\\\s+|\\\\s+$', '') AS {JOB_POSTING.text_column}")
-    return labels.join(text, "row_id").select("row_id", JOB_POSTING.text_column, "labels")
+    """(row_id, posting, labels, status) from the sampled labels and the teacher's replies
+    (row_id, raw_text).
+
+    Every record stays: `ok`, `missing` without a reply (or with a null one), or `several`, which
+    has no posting, as no reply is chosen for the caller. Replies are summed by id before the join.
+    """
+    by_id = replies.where("raw_text IS NOT NULL").groupBy("row_id").agg(
+        F.count("*").alias("_n"), F.min("raw_text").alias("_text"))
+    trimmed = f"trim(BOTH {literal(BLANKS)} FROM _text)"
+    return labels.join(by_id, "row_id", "left").selectExpr(
+        "row_id", f"CASE WHEN _n = 1 THEN {trimmed} END AS {JOB_POSTING.text_column}", "labels",
+        "CASE WHEN _n IS NULL THEN 'missing' WHEN _n > 1 THEN 'several' ELSE 'ok' END AS status")
+
+
+def coverage_audit(df: DataFrame, spec: RecordSpec = JOB_POSTING) -> DataFrame:
+    """(field, value, n_rows) of every allowed value of the closed fields, and of null.
+
+    The list of values is the spec's, so a value that never occurs shows 0. One wide
+    aggregate, turned to rows after it.
+    """
+    counts, rows = [], []
+    for i, (field, value) in enumerate((f.name, v) for f in spec.fields if f.domain for v in (*f.domain, None)):
+        counts.append(F.expr(f"count_if({name(f'labels.{field}')} <=> {literal(value)})").alias(f"n{i}"))
+        rows.append(f"struct({literal(field)} AS field, cast({literal(value)} AS string) AS value, n{i} AS n_rows)")
+    return df.agg(*counts).selectExpr(f"inline(array({', '.join(rows)}))")
+
+
+def grounding(df: DataFrame, spec: RecordSpec = JOB_POSTING) -> DataFrame:
+    """per row and stated field (row_id, field, n_stated, n_found) by literal search in the text.
+
+    Case does not count. A list states each of its items. Null states nothing. Short forms
+    and paraphrases count as not found. Narrow.
+    """
+    text = f"lower(coalesce({name(spec.text_column)}, ''))"
+    rows = []
+    for f in spec.fields:
+        value = name(f"labels.{f.name}")
+        items = (f"filter({value}, v -> v IS NOT NULL)" if f.kind == LIST
+                 else f"array_compact(array({value if f.kind == STRING else json_value(f.kind, value)}))")
+        if f.kind == NUMBER:
+            items = f"CASE WHEN {value} IS NULL THEN array() ELSE {items} END"
+        rows.append(f"struct({literal(f.name)} AS field, coalesce(size({items}), 0) AS n_stated, "
+                    f"coalesce(size(filter({items}, v -> contains(_text, lower(v)))), 0) AS n_found)")
+    return (df.withColumn("_text", F.expr(text)).selectExpr("row_id", f"inline(array({', '.join(rows)}))")
+            .where("n_stated > 0"))
+
+
+def grounding_audit(df: DataFrame, spec: RecordSpec = JOB_POSTING) -> DataFrame:
+    """per field the rows that state it, and the share of stated values found in the text."""
+    return grounding(df, spec).groupBy("field").agg(
+        F.count("*").alias("n_rows"), F.sum("n_stated").alias("n_stated"), F.sum("n_found").alias("n_found")
+    ).withColumn("found_share", F.try_divide("n_found", "n_stated"))

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gleanframe.functions.sql import literal, name
-from gleanframe.operators.score import compare_fields, failures, scored_answers
+from gleanframe.operators.score import compare_fields, failures, listed_answers, scored_answers
 from gleanframe.spec import RecordSpec
 
 METRICS = ("json_valid", "field_acc", "skills_f1")
@@ -25,10 +25,12 @@ def run_metrics(gold: DataFrame, preds: DataFrame, runs: DataFrame, spec: Record
 
     Sums over stored answers suffice: an absent answer adds nothing to a numerator
     and a constant to each denominator, so the gold table is counted, not
-    multiplied by the runs. Every run partially aggregates before the shuffle.
-    Without gold rows the metrics are NULL.
+    multiplied by the runs. Every run partially aggregates before the shuffle, and
+    answers of other runs are dropped at the scan. Without gold rows the metrics are
+    NULL. More than one answer per (run, row_id) would count more than once; see
+    `score.answer_check`.
     """
-    sums = scored_answers(gold, preds, spec).groupBy("run").agg(
+    sums = scored_answers(gold, listed_answers(preds, runs), spec).groupBy("run").agg(
         F.sum("json_valid").alias("valid"),
         F.sum("scalar_correct").alias("correct"),
         F.sum("list_f1_sum").alias("f1_sum"),
@@ -49,6 +51,19 @@ def run_metrics(gold: DataFrame, preds: DataFrame, runs: DataFrame, spec: Record
     )
 
 
+def _two_digits(x: str) -> Column:
+    """A number from 0 to 1 at two digits, a tie settled by the binary value.
+
+    The number times 2^60 is whole up to what a double holds, so its hundredfold is compared
+    with whole multiples of 2^60 exactly. What is half to the last bit goes to the even digit.
+    """
+    one = "cast(1152921504606846976 AS decimal(38, 0))"
+    scaled = f"cast(cast({x} * 1152921504606846976D AS bigint) AS decimal(38, 0)) * 100"
+    whole, rest = f"cast(({scaled}) div {one} AS bigint)", f"2 * (({scaled}) % {one})"
+    return F.expr(f"({whole} + CASE WHEN {rest} > {one} OR {rest} = {one} AND {whole} % 2 = 1 "
+                  f"THEN 1 ELSE 0 END) / 100D")
+
+
 def metrics_report(metrics: DataFrame) -> DataFrame:
     """E5: counts and whole percents per run, F1 to two digits."""
     return metrics.select(
@@ -58,7 +73,7 @@ def metrics_report(metrics: DataFrame) -> DataFrame:
         F.col("scalar_correct").alias("fields_correct"),
         F.col("scalar_total").alias("fields_total"),
         F.bround(100 * F.col("field_acc"), 0).cast("int").alias("field_acc_pct"),
-        F.bround("skills_f1", 2).alias("skills_f1"),
+        _two_digits("skills_f1").alias("skills_f1"),
     )
 
 
@@ -114,7 +129,7 @@ def field_accuracy(gold: DataFrame, preds: DataFrame, runs: DataFrame, spec: Rec
 
     One wide aggregate per run, turned to rows after it.
     """
-    sums = compare_fields(gold, preds, spec).groupBy("run").agg(
+    sums = compare_fields(gold, listed_answers(preds, runs), spec).groupBy("run").agg(
         *[F.expr(f"sum(cast({name(f'ok_{f.name}')} AS double))").alias(f"h_{f.name}")
           for f in spec.scalars],
         *[F.sum(f"f1_{f.name}").alias(f"h_{f.name}") for f in spec.lists])
@@ -140,16 +155,18 @@ def top_failures(gold: DataFrame, preds: DataFrame, spec: RecordSpec, k: int) ->
 
 def resolution(metrics: DataFrame, runs: DataFrame) -> DataFrame:
     """The smallest step the gold set can show, and the gap of each run to the best
-    of its comparison. `below_noise` marks a gap of no more than one field."""
+    of its comparison. `below_noise` marks a gap of no more than one field and one list
+    slot; it is NULL for a run that leads in both."""
     group = Window.partitionBy("comparison")
     table = metrics.join(runs.select("run", "comparison"), "run")
-    best = F.max("scalar_correct").over(group)
+    fields = F.max("scalar_correct").over(group) - F.col("scalar_correct")
+    slots = F.max("list_f1_sum").over(group) - F.col("list_f1_sum")
     return table.select(
         "run", "comparison",
         F.try_divide(F.lit(1.0), F.col("scalar_total")).alias("field_step"),
         F.try_divide(F.lit(1.0), F.col("list_count")).alias("slot_step"),
-        (best - F.col("scalar_correct")).alias("fields_behind"),
-        (best - F.col("scalar_correct") <= 1).alias("below_noise"),
+        fields.alias("fields_behind"), slots.alias("slots_behind"),
+        F.when((fields > 0) | (slots > 0), (fields <= 1) & (slots <= 1)).alias("below_noise"),
     )
 
 

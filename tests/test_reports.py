@@ -1,5 +1,7 @@
 import pytest
+from pyspark.sql import functions as F
 
+from gleanframe.operators.score import answer_check
 from gleanframe.plans import reports
 from gleanframe.spec import JOB_POSTING
 from tests.jobs import gold_frame, labels, preds_frame, runs_frame
@@ -66,7 +68,28 @@ def test_one_field_is_below_noise(spark):
     got = {r.run: r for r in reports.resolution(m, cfg).collect()}
     assert got["a"].field_step == 1 / 36 and got["a"].slot_step == 1 / 6
     assert [(got[r].fields_behind, got[r].below_noise) for r in "abc"] == [
-        (0, True), (1, True), (2, False)]
+        (0, None), (1, True), (2, False)]
+
+
+def test_slots_count_as_noise_too(spark):
+    m = metrics_frame(spark, a=32, b=32).withColumn(
+        "list_f1_sum", F.expr("CASE run WHEN 'a' THEN 6D ELSE 4.5D END"))
+    cfg = runs(spark, *[(r, "prompting", r, "zero", 0, None, 0) for r in "ab"])
+    got = {r.run: (r.fields_behind, r.slots_behind, r.below_noise) for r in reports.resolution(m, cfg).collect()}
+    assert got == {"a": (0, 0.0, None), "b": (0, 1.5, False)}
+
+
+def test_f1_ties_follow_the_binary_value(spark):
+    values = [k / 40 for k in range(41)] + [1 / 3, 0.0, 0.995, 0.125, 0.375, 2 / 3, 1e-9]
+    frame = spark.createDataFrame([(v,) for v in values], "x double").select("x", reports._two_digits("x").alias("y"))
+    assert all(r.y == float(f"{r.x:.2f}") for r in frame.collect())
+
+
+def test_repeated_and_stray_answers_show(spark):
+    gold = gold_frame(spark, [("1", "", labels(title="A")), ("2", "", labels(title="B"))])
+    preds = preds_frame(spark, [("a", "1", "{}"), ("a", "1", "{}"), ("a", "9", "{}"), ("b", "2", "{}"), ("c", "1", "{}")])
+    got = {r.run: r[1:] for r in answer_check(gold, preds, runs_frame(spark, "a", "b", "d")).collect()}
+    assert got == {"a": (3, 1, 1), "b": (1, 0, 0), "d": (0, 0, 0)}
 
 
 def test_confounds(spark):

@@ -1,5 +1,3 @@
-import pytest
-
 from gleanframe.session import shared_path
 
 
@@ -19,9 +17,9 @@ def test_shared_folder_comes_from_the_session():
     assert got.startswith("hdfs:///shared/x-")
 
 
-def test_no_local_folder_on_a_cluster():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_path(Session(**{"spark.master": "yarn"}), "x")
+def test_the_warehouse_is_the_other_shared_folder():
+    got = shared_path(Session(**{"spark.master": "yarn", "spark.sql.warehouse.dir": "hdfs:///tables"}), "x")
+    assert got.startswith("hdfs:///tables/x-")
 
 
 def test_fresh_path_each_time(spark):

@@ -2,7 +2,8 @@ import hashlib
 
 import pytest
 
-from gleanframe.operators.split import demos, prefix_subsets, rank_cuts, split_exact, split_fraction
+from gleanframe.operators.split import (demos, leakage_audit, prefix_subsets, rank_cuts, split_exact, split_fraction,
+                                        split_grouped)
 
 SEED = 42
 
@@ -83,3 +84,34 @@ def test_demos_come_from_train_only(spark):
     split = split_exact(spark.range(40), "id", SEED, 5, 5)
     first = demos(split.where("split = 'train'"), "id", SEED, 3).collect()
     assert [r.id for r in sorted(first, key=lambda r: r["rank"])] == ordered(40)[10:13]
+
+
+def test_a_key_that_repeats_across_a_cut_raises(spark):
+    repeated = spark.range(100).selectExpr("id % 4 AS id")
+    with pytest.raises(Exception, match="split_grouped"):
+        split_exact(repeated, "id", SEED, 10, 10).collect()
+
+
+def texts(spark):
+    """40 texts, each three times with other case and blanks, and one text 200 times."""
+    return spark.range(320).selectExpr(
+        "id", "CASE WHEN id < 200 THEN 'The  hot text' WHEN id % 3 = 0 THEN concat('Text ', (id - 200) div 3) "
+              "ELSE concat(' text\\n', upper(cast((id - 200) div 3 AS string)), ' ') END AS text")
+
+
+def test_groups_stay_whole(spark):
+    docs = texts(spark)
+    parted = split_grouped(docs, SEED, 30, 30)
+    assert leakage_audit(parted).count() == 0
+    sizes = {r.split: r["count"] for r in parted.groupBy("split").count().collect()}
+    assert sum(sizes.values()) == 320 and sizes["test"] >= 30 and sizes["test"] + sizes.get("val", 0) >= 60
+
+
+def test_leaks_are_found(spark):
+    docs = texts(spark)
+    found = leakage_audit(split_exact(docs, "id", SEED, 100, 100)).collect()
+    want = {}
+    for r in split_exact(docs, "id", SEED, 100, 100).collect():
+        want.setdefault(" ".join(r.text.lower().split()), []).append(r.split)
+    assert sorted((r.splits, r.n_rows) for r in found) == sorted(
+        (",".join(sorted(set(s))), len(s)) for s in want.values() if len(set(s)) > 1)

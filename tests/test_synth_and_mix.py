@@ -8,6 +8,7 @@ from gleanframe.operators import mix, synth
 from gleanframe.operators.parse import validate_schema
 from gleanframe.functions.json_text import labels_json
 from gleanframe.spec import JOB_POSTING
+from tests.jobs import gold_frame, labels
 
 P = synth.JOB_POOLS
 N = 20_000
@@ -130,7 +131,13 @@ def test_teacher_tables(spark):
     assert [m.role for m in req[0]] == ["system", "user"] and req[0][0].content == "Write it."
     replies = spark.createDataFrame([(0, "\n Come work. \t"), (2, "Join")], "row_id long, raw_text string")
     got = {r.row_id: r for r in synth.attach_postings(sampled, replies).collect()}
-    assert {k: v.posting for k, v in got.items()} == {0: "Come work.", 2: "Join"}
+    assert {k: (v.posting, v.status) for k, v in got.items()} == {
+        0: ("Come work.", "ok"), 1: (None, "missing"), 2: ("Join", "ok"), 3: (None, "missing")}
+    more = replies.unionByName(spark.createDataFrame(
+        [(1, "\u00a0\u3000Nimm\u2028"), (2, "Again"), (3, None)], "row_id long, raw_text string"))
+    got = {r.row_id: (r.posting, r.status) for r in synth.attach_postings(sampled, more).collect()}
+    assert got == {0: ("Come work.", "ok"), 1: ("Nimm", "ok"), 2: (None, "several"), 3: (None, "missing")}
+    assert all((chr(c).isspace()) == (chr(c) in synth.BLANKS) for c in range(0x11000))
 
 
 def test_mix(spark):
@@ -145,11 +152,33 @@ def test_mix(spark):
 
 
 def test_synthetic_rows_stay_out_of_evaluation(spark):
-    hand = spark.createDataFrame([(1, "test"), (2, "val"), (3, "train")], "row_id long, split string")
-    made = spark.range(10, 15).withColumnRenamed("id", "row_id")
+    hand = spark.createDataFrame([(1, "test", "One  text"), (2, "val", "Two"), (3, "train", "Three")],
+                                 "row_id long, split string, text string")
+    made = spark.createDataFrame([(10, "four"), (11, "five"), (12, None)], "row_id long, text string")
     rows = mix.experiment_rows(hand, made)
-    got = {(r.split, r.source): (r.n_rows, r.clean) for r in mix.eval_purity(rows).collect()}
-    assert got == {("test", "hand"): (1, True), ("val", "hand"): (1, True),
-                   ("train", "hand"): (1, True), ("train", "synthetic"): (5, True)}
-    leaked = rows.unionByName(spark.createDataFrame([(99, "test", "synthetic")], rows.schema))
-    assert any(not r.clean for r in mix.eval_purity(leaked).collect())
+    assert mix.eval_purity(rows).count() == 0
+    copied = spark.createDataFrame([(13, "train", "one text ", "synthetic"), (14, "train", "THREE", "synthetic"),
+                                    (15, "val", "new", "synthetic")], rows.schema)
+    assert {r.row_id for r in mix.eval_purity(rows.unionByName(copied)).collect()} == {13, 15}
+
+
+def test_coverage_shows_what_never_occurs(spark, rows):
+    sampled = synth.sample_label_rows(spark, 2000, 7)
+    got = {(r.field, r.value): r.n_rows for r in synth.coverage_audit(sampled).collect()}
+    assert got["salary_period", "week"] == got["salary_period", "day"] == 0 < got["salary_period", None]
+    assert sum(n for (f, _), n in got.items() if f == "seniority") == 2000
+
+
+def test_grounding_is_literal(spark):
+    facts = gold_frame(spark, [("1", "NIGHT nurse at 31.5 an hour, knows cpr", labels(
+        title="Night Nurse", salary_min=31.5, salary_max=40.0, required_skills=["CPR", "Triage", None])), ("2", None, labels())])
+    got = {(r.row_id, r.field): (r.n_stated, r.n_found) for r in synth.grounding(facts).collect()}
+    assert got == {("1", "title"): (1, 1), ("1", "salary_min"): (1, 1), ("1", "salary_max"): (1, 0),
+                   ("1", "required_skills"): (2, 1)}
+
+
+def test_draws_of_other_names_are_independent(spark):
+    one = D.with_draws(spark.range(5000), 42, "id", ["a", "b"])
+    two = D.with_draws(spark.range(5000), 42, "id", ["b", "c"]).withColumnRenamed("u_b", "v_b")
+    r = one.join(two, "id").agg(F.corr("u_a", "u_b"), F.corr("u_a", "u_c"), F.corr("u_b", "v_b")).first()
+    assert abs(r[0]) < 0.06 and abs(r[1]) < 0.06 and r[2] > 0.999

@@ -63,6 +63,6 @@ def test_from_files_to_comparison(spark, tmp_path):
     extra = synth.attach_postings(
         synth.sample_label_rows(spark, 100, 42),
         spark.range(100).selectExpr("id AS row_id", "'made up' AS raw_text"))
-    hand = train.select("row_id", "posting", "labels")
+    hand = train.select("row_id", "posting", "labels", F.lit("ok").alias("status"))
     counts = {r["mode"]: r.train_rows for r in mix.mix_counts(mix.mix_table(hand, extra)).collect()}
     assert counts == {"hand": 14, "synthetic": 100, "mixed": 114}
