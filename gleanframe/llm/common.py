@@ -30,7 +30,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back._gleanframe_path = path
+    return back
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes tables that `staged` wrote, once nothing that is still to be computed reads them."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._gleanframe_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_bytes(column: str = "text"):
@@ -134,6 +143,22 @@ def per_batch(df: DataFrame, rows: Callable[[pa.RecordBatch], dict], schema: str
     return df.mapInArrow(run, schema)
 
 
+def where_text(docs: DataFrame, verdict: Callable[[list[bytes]], np.ndarray], at_once: int = 500) -> DataFrame:
+    """The rows whose text passes `verdict` (texts to booleans), as they are.
+
+    Only texts go to Python and only verdicts come back, `at_once` texts at a time; whole rows stay
+    in the JVM.
+    """
+    ship_package(docs.sparkSession)
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            made = [np.asarray(verdict(texts.slice(i, at_once).to_pylist()), bool) for i in range(0, len(texts), at_once)]
+            yield pa.array(np.concatenate(made) if made else np.zeros(0, bool))
+
+    return docs.where(F.arrow_udf(run, "boolean")(text_bytes()))
+
+
 def column(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 

@@ -18,10 +18,9 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from gleanframe.llm.common import (WORD_HASH, column, folded_words, per_batch, ship_package, staged, text_bytes,
+from gleanframe.llm.common import (WORD_HASH, column, folded_words, per_batch, staged, text_bytes,
                                    window_hashes)
 
 WINDOW, SHINGLE = 10, 3
@@ -77,9 +76,8 @@ def _first_pass(docs: DataFrame, lengths: list[int], window_table: np.ndarray, s
     def rows(batch: pa.RecordBatch) -> dict:
         kind, owner, keys, n_words, start, text = [], [], [], [], [], []
         having = np.zeros(SHINGLE_BITS, np.int32)
-        for i, raw in enumerate(column(batch, "_text")):
+        for i, (key, raw) in enumerate(zip(column(batch, "text_key"), column(batch, "_text"))):
             words = folded_words(raw)
-            key = xxhash.xxh3_64_intdigest(raw) - (1 << 63)
             kind.append(0), owner.append(i), keys.append(key), n_words.append(len(words))
             start.append(None), text.append(None)
             hashed = WORD_HASH.array(words)
@@ -105,7 +103,7 @@ def _first_pass(docs: DataFrame, lengths: list[int], window_table: np.ndarray, s
 
     key = docs.schema["doc_id"].dataType.simpleString()
     return staged(per_batch(
-        docs.select("doc_id", text_bytes().alias("_text")), rows,
+        docs.select("doc_id", F.xxhash64("text").alias("text_key"), text_bytes().alias("_text")), rows,
         f"kind int, doc_id {key}, text_key long, n_words long, start long, words string"), "decontaminate-documents")
 
 
@@ -195,22 +193,6 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW) ->
     """The documents without any hit, with all their columns as they are."""
     bad = (find(docs, items, size).where("contaminated")
            .select(F.col("doc_id").alias("_gf_id"), F.col("text_key").alias("_gf_key")).distinct())
-    keyed = _with_text_key(docs)
+    keyed = docs.withColumn("_gf_text", F.xxhash64("text"))
     return (keyed.join(bad, F.col("doc_id").eqNullSafe(F.col("_gf_id")) & (F.col("_gf_text") == F.col("_gf_key")),
                        "left_anti").drop("_gf_text"))
-
-
-def _with_text_key(docs: DataFrame) -> DataFrame:
-    """Adds `_gf_text`, the hash of the text that findings carry."""
-    from pyspark.sql.types import LongType, StructField, StructType
-
-    schema = StructType([*docs.schema.fields, StructField("_gf_text", LongType())])
-
-    def run(batches):
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
-            keys = pa.array([xxhash.xxh3_64_intdigest(t or b"") - (1 << 63) for t in texts], pa.int64())
-            yield batch.append_column("_gf_text", keys)
-
-    ship_package(docs.sparkSession)
-    return docs.mapInArrow(run, schema)

@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from gleanframe.llm.common import Cached, blank_words, column, labelled_sample, per_batch, ship_package, text_bytes
+from gleanframe.llm.common import Cached, blank_words, column, labelled_sample, per_batch, text_bytes, where_text
 
 #: Rated rows that the weights and the cut are fitted to at most.
 SAMPLE = 6_000
@@ -171,13 +171,7 @@ def grade(docs: DataFrame, model: Model) -> DataFrame:
 
 def keep(docs: DataFrame, model: Model) -> DataFrame:
     """The documents that reach grade 1 with at least the cut's probability, as they are."""
-    def run(batches):
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
-            yield batch.filter(pa.array(model.tails(model.scores([t or b"" for t in texts]))[:, 0] >= model.cut))
-
-    ship_package(docs.sparkSession)
-    return docs.mapInArrow(run, docs.schema)
+    return where_text(docs, lambda texts: model.tails(model.scores(texts))[:, 0] >= model.cut)
 
 
 def ratings_of(labels: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gleanframe.llm.common import (WORD_HASH, column, lowered_words, mixed, per_batch, ship_package, signed, staged,
+from gleanframe.llm.common import (WORD_HASH, column, lowered_words, mixed, per_batch, release, ship_package, signed, staged,
                                    text_bytes, window_hashes)
 from gleanframe.llm.connect import components
 
@@ -183,9 +183,10 @@ def _buckets(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def _read_sets(docs: DataFrame, known: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """(node, elements) of the given nodes: one document of each is read again. Staged.
+    """(node, elements) of the given nodes, each once: one document of each is read again.
 
-    Which documents, a bit table of fixed size tells the tasks; one read in vain is dropped.
+    Which documents, a bit table of fixed size tells the tasks; one read in vain is dropped when
+    the nodes meet their sets, before a set is sent anywhere else.
     """
     from gleanframe.llm.decontaminate import _bit_table
 
@@ -200,7 +201,7 @@ def _read_sets(docs: DataFrame, known: DataFrame, nodes: DataFrame, size: int) -
         return {"node": [digest(s) for s in sets], "elements": [s.tobytes() for s in sets]}
 
     keyed = docs.select(F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(READ_BITS)).alias("bit"), text_bytes().alias("_text"))
-    return staged(per_batch(keyed, rows, "node long, elements binary"), "partenum-sets")
+    return (per_batch(keyed, rows, "node long, elements binary").join(nodes, "node", "left_semi").dropDuplicates(["node"]))
 
 
 def _could_link(a: np.ndarray, b: np.ndarray, n_a, n_b, percent: int) -> np.ndarray:
@@ -217,8 +218,8 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
 
 def _verified(pairs: DataFrame, docs: DataFrame, known: DataFrame, size: int, percent: int) -> DataFrame:
     """Those of the staged (a, b) whose sets link, by intersection. Staged."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    full = _read_sets(docs, known, nodes, size).dropDuplicates(["node"])
+    nodes = staged(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "partenum-nodes")
+    full = _read_sets(docs, known, nodes, size)
     end = lambda c: full.select(F.col("node").alias(c), F.col("elements").alias(f"elements_{c}"))      # noqa: E731
 
     def rows(batch: pa.RecordBatch) -> dict:
@@ -227,23 +228,30 @@ def _verified(pairs: DataFrame, docs: DataFrame, known: DataFrame, size: int, pe
                         pa.bool_())
         return {c: batch.column(batch.schema.get_field_index(c)).filter(keep) for c in "ab"}
 
-    return staged(per_batch(pairs.join(end("a"), "a").join(end("b"), "b"), rows, "a long, b long"), "partenum-links")
+    links = staged(per_batch(pairs.join(end("a"), "a").join(end("b"), "b"), rows, "a long, b long"), "partenum-links")
+    release(nodes)
+    return links
 
 
 def _neighbour_pairs(buckets: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """(a, b): nodes that follow each other, by size, in some bucket and may link. Staged."""
+    """(a, b): each node with the nearest of those that it follows, by size, in some bucket and may link with. Staged.
+
+    A pair for each node at most; what a node links with besides is found between components.
+    """
     follows = F.lead("node").over(Window.partitionBy("signature").orderBy("n", "node"))
-    pairs = (buckets.select("node", follows.alias("_b")).where("_b IS NOT NULL")
-             .select(F.least("node", "_b").alias("a"), F.greatest("node", "_b").alias("b")).distinct())
+    pairs = buckets.select(F.col("node").alias("a"), follows.alias("b")).where("b IS NOT NULL").distinct()
     end = lambda c: sketches.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
 
     def rows(batch: pa.RecordBatch) -> dict:
         view = lambda n: np.frombuffer(b"".join(column(batch, n)), np.uint64).reshape(-1, SKETCH_BITS // 64)
-        keep = pa.array(_could_link(view("sketch_a"), view("sketch_b"), np.array(column(batch, "n_a"), np.int64),
-                                    np.array(column(batch, "n_b"), np.int64), percent))
-        return {c: batch.column(batch.schema.get_field_index(c)).filter(keep) for c in "ab"}
+        x, y = view("sketch_a"), view("sketch_b")
+        keep = _could_link(x, y, np.array(column(batch, "n_a"), np.int64), np.array(column(batch, "n_b"), np.int64), percent)
+        far = np.bitwise_count(x ^ y).sum(-1, dtype=np.int32)[keep]
+        return {"far": far, **{c: batch.column(batch.schema.get_field_index(c)).filter(pa.array(keep)) for c in "ab"}}
 
-    return staged(per_batch(pairs.join(end("a"), "a").join(end("b"), "b"), rows, "a long, b long"), "partenum-pairs")
+    near = per_batch(pairs.join(end("a"), "a").join(end("b"), "b"), rows, "a long, b long, far int")
+    near = near.groupBy("b").agg(F.min(F.struct("far", "a"))["a"].alias("a"))
+    return staged(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "partenum-pairs")
 
 
 def _apart(buckets: DataFrame, sketches: DataFrame, labels: DataFrame, percent: int, every: bool) -> DataFrame:
@@ -285,7 +293,9 @@ def _apart(buckets: DataFrame, sketches: DataFrame, labels: DataFrame, percent:
             yield out(made)
         yield out(close())
 
-    return staged(whole.mapInArrow(run, "signature long, node long, partner long"), "partenum-apart")
+    found = staged(whole.mapInArrow(run, "signature long, node long, partner long"), "partenum-apart")
+    release(rows)
+    return found
 
 
 def _tile_pairs(group: list[tuple], percent: int, every: bool) -> list[tuple[int, int]]:
@@ -332,14 +342,20 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
     buckets = _buckets(docs, size, percent)
     sketches = staged(known.join(buckets.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
         F.first("n_shingles").cast("int").alias("n"), F.first("sketch").alias("sketch")), "partenum-sketches")
-    links = _verified(_neighbour_pairs(buckets, sketches, percent), docs, known, size, percent)
+    tested = _neighbour_pairs(buckets, sketches, percent)
+    links = _verified(tested, docs, known, size, percent)
     left = buckets.select("signature", "node")
     for every in (*[False] * NEAREST_ROUNDS, True):
-        found = _apart(left, sketches, components(links), percent, every)
+        labels = components(links)
+        found = _apart(left, sketches, labels, percent, every)
+        release(labels)
         left = found.select("signature", "node").distinct()
-        pairs = staged(found.select(F.least("node", "partner").alias("a"), F.greatest("node", "partner").alias("b")).distinct(),
-                       "partenum-pairs")
+        # A pair in different components that was tested before does not link.
+        pairs = staged(found.select(F.least("node", "partner").alias("a"), F.greatest("node", "partner").alias("b"))
+                       .distinct().join(tested, ["a", "b"], "left_anti"), "partenum-pairs")
+        tested = tested.unionByName(pairs)
         links = links.unionByName(_verified(pairs, docs, known, size, percent))
+    release(buckets)
     labels = components(links)
 
     least = (known.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("class_id"))
