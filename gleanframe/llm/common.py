@@ -42,6 +42,20 @@ def release(*tables: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def joined_unequal(left: DataFrame, right: DataFrame, key: str, size: str, most: int = 50_000) -> DataFrame:
+    """left join of `right`, whose rows are unique by `key` and say in `size` how many rows of left have it.
+
+    Keys of more than `most` rows are broadcast, at most rows of left / `most` of them, and their rows
+    stay where they are; the others are shuffled, at most `most` rows to a key. A null key meets
+    nothing and is not shuffled either.
+    """
+    heavy = F.broadcast(right.where(F.col(size) > most))
+    hot = left.join(heavy, key, "inner")
+    rest = left.where(F.col(key).isNotNull()).join(heavy.select(key), key, "left_anti").join(
+        right.where(F.col(size) <= most), key, "left")
+    return hot.unionByName(rest).unionByName(left.where(F.col(key).isNull()), allowMissingColumns=True)
+
+
 def text_bytes(column: str = "text"):
     """The text as UTF-8 bytes; null gives no bytes."""
     return F.coalesce(F.col(column).cast("binary"), F.lit(bytearray()))

@@ -97,3 +97,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", token_counts.sample_edits().alias("edits"))
     return token_counts.counts(docs, path("byte_bpe_50k.json"))
+
+
+@query
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gleanframe.llm import near_vectors
+
+    return near_vectors.dedup(table(spark, sf_dir, "embeddings"))

@@ -50,6 +50,25 @@ def linked(a, b):
     return bool(a) and bool(b) and 100 * both >= 85 * (len(a) + len(b) - both)
 
 
+def reachable(ids, edges):
+    """The least id, nulls aside, that edges (places) reach from each place."""
+    root = list(range(len(ids)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for a, b in edges:
+        root[find(a)] = find(b)
+    least = {}
+    for i, key in enumerate(ids):
+        known = [k for k in (key, least.get(find(i))) if k is not None]
+        least[find(i)] = min(known) if known else None
+    return [least[find(i)] for i in range(len(ids))]
+
+
 def components(sets):
     """Smallest reachable id of each id; sets: [(id, shingles)]."""
     root = list(range(len(sets)))
