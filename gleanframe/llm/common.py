@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from gleanframe.session import shared_path, ship_package
 
@@ -56,6 +56,17 @@ def joined_unequal(left: DataFrame, right: DataFrame, key: str, size: str, most:
     return hot.unionByName(rest).unionByName(left.where(F.col(key).isNull()), allowMissingColumns=True)
 
 
+def dense_ids(df: DataFrame, *by: str, buckets: int = 1_024) -> DataFrame:
+    """Adds `id`, from 1 without gaps, to rows that are unique by the columns `by`: ranks inside hash buckets
+    and the rows of the buckets before (`buckets` rows, broadcast)."""
+    bucket = F.pmod(F.xxhash64(*by), F.lit(buckets))
+    sizes = df.groupBy(bucket.alias("_b")).agg(F.count("*").alias("_n"))
+    before = sizes.select("_b", (F.sum("_n").over(Window.orderBy("_b")) - F.col("_n")).alias("_before"))
+    nth = F.row_number().over(Window.partitionBy("_b").orderBy(*by))
+    return (df.withColumn("_b", bucket).withColumn("_nth", nth).join(F.broadcast(before), "_b")
+            .withColumn("id", F.col("_before") + F.col("_nth")).drop("_b", "_nth", "_before"))
+
+
 def text_bytes(column: str = "text"):
     """The text as UTF-8 bytes; null gives no bytes."""
     return F.coalesce(F.col(column).cast("binary"), F.lit(bytearray()))

@@ -104,3 +104,85 @@ def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gleanframe.llm import near_vectors
 
     return near_vectors.dedup(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gleanframe.llm import collocations
+
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_collocations"] = r"""
+WITH pieces AS (
+  SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM (SELECT coalesce(lang, 'und') AS lang, text FROM documents)),
+worded AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM worded GROUP BY lang),
+grams AS (
+  SELECT lang, list_slice(w, i, i + k - 1) AS g
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM worded, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(w) >= k)),
+often AS (
+  SELECT lang, array_to_string(g, ' ') AS phrase, any_value(g) AS g, count(*) AS f FROM grams GROUP BY lang, array_to_string(g, ' ')
+  HAVING count(*) >= 100),
+shorter AS (
+  SELECT lang, f, array_to_string(list_slice(g, s, s + m - 1), ' ') AS phrase
+  FROM (SELECT lang, f, g, m, unnest(range(1, len(g) - m + 2)) AS s
+        FROM (SELECT lang, f, g, unnest(range(2, len(g))) AS m FROM often WHERE len(g) > 2))),
+kept AS (
+  SELECT * FROM often c WHERE len(g) > 1 AND NOT EXISTS (
+    SELECT 1 FROM shorter s WHERE s.lang = c.lang AND s.phrase = c.phrase AND 100 * s.f >= 100 * c.f)),
+cuts AS (
+  SELECT lang, phrase, f AS a, k, array_to_string(list_slice(g, 1, k), ' ') AS p, array_to_string(list_slice(g, k + 1, len(g)), ' ') AS q
+  FROM (SELECT *, unnest(range(1, len(g))) AS k FROM kept)),
+scored AS (
+  SELECT c.lang, c.phrase, a, x.f AS l, y.f AS r, n, k, (1000::HUGEINT * a * n // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts c JOIN often x ON x.lang = c.lang AND x.phrase = c.p JOIN often y ON y.lang = c.lang AND y.phrase = c.q
+  JOIN totals t ON t.lang = c.lang),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM worst)
+SELECT lang, rank, phrase, a, l, r, n, score FROM placed WHERE rank <= 2000
+"""
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gleanframe.llm import spellings
+
+    return spellings.variants(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_spelling_variants"] = r"""
+WITH RECURSIVE bits AS (
+  SELECT range AS b, range::BIGINT AS c, 0 AS k FROM range(256)
+  UNION ALL SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY b) AS t FROM bits WHERE k = 8),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[a-zÀ-ÿ]+')) AS run FROM documents),
+keyed AS (SELECT run, count(*) AS n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM runs
+          WHERE length(run) >= 7 GROUP BY doc_id, run),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(x), 2),
+      lambda i: ('0x' || substr(x, i, 2))::BIGINT)), lambda c, b: xor(t[xor(c & 255, b) + 1], c >> 8)), 4294967295) AS h
+  FROM keyed, crc),
+spelled AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM spelled WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+skips AS (SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, unnest(range(length(word))) AS i FROM words)),
+near AS (
+  SELECT a.word AS a, b.word AS b FROM skips a JOIN skips b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT s.word, w.word FROM skips s JOIN words w ON w.word = s.rest
+  UNION SELECT w.word, s.word FROM skips s JOIN words w ON w.word = s.rest),
+best AS (
+  SELECT a, count(*) AS n_near, min(struct_pack(o := -n, form := word)) AS m FROM near JOIN words ON word = b GROUP BY a),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -m.o >= 10 * n THEN m.form END AS form, CASE WHEN -m.o >= 10 * n THEN -m.o END AS form_n
+  FROM words LEFT JOIN best ON a = word),
+chain AS (
+  SELECT word, word AS last, 0 AS k FROM formed
+  UNION ALL SELECT c.word, f.form, k + 1 FROM chain c JOIN formed f ON f.word = c.last WHERE f.form IS NOT NULL),
+ends AS (SELECT word, arg_max(last, k) AS root FROM chain GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
+"""
