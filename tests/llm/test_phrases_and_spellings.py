@@ -1,0 +1,212 @@
+"""Operators 12 and 13 against plain Python, and both against their SQL; the filters by round trips."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from check import canonical
+from gleanframe.llm import collocations, queries, quotient as Q, spellings
+from tests.llm import brute
+from tests.llm.conftest import KINDS
+
+
+# --- counting quotient filters -----------------------------------------------------------------
+
+@given(st.integers(1, 25), st.integers(2, 5), st.integers(0, 4), st.integers(0, 400), st.integers(0, 2 ** 32))
+@settings(max_examples=80, deadline=None)
+def test_filters_hold_every_gram_and_count(bits, n, shard_bits, rows, seed):
+    rng = np.random.default_rng(seed)
+    ids = rng.integers(0, min(1 << bits, 40), (rows, n))
+    half = Q.half_bits(n, bits)
+    total, shard_bits = 2 * half, min(shard_bits, 2 * half - 1)
+    high, low = Q.joined(*Q.permute(*Q.pack(ids, bits), half), half)
+    shard = Q.shifted(high, low, total - shard_bits) if shard_bits else np.zeros(rows, np.uint64)
+    got = Counter()
+    for s in np.unique(shard):
+        mine = shard == s
+        h, v, count, place = Q.counted(*Q.lower(high[mine], low[mine], total - shard_bits))
+        count = count * 300                                   # beyond one byte
+        f = Q.Filter.unpack(Q.Filter(h, v, count, total - shard_bits).pack())
+        assert np.array_equal(f.high, h) and np.array_equal(f.low, v) and np.array_equal(f.count, count)
+        both, places = Q.merged([f, f])
+        assert np.array_equal(both.count, 2 * count) and all(np.array_equal(p, np.arange(len(v))) for p in places)
+        back = Q.unpack(*Q.restore(*Q.parted(high[mine], low[mine], half), half), n, bits)
+        for gram, p in zip(back.tolist(), place):
+            got[tuple(gram)] = int(count[p]) // 300
+    assert got == Counter(map(tuple, ids.tolist()))
+
+
+# --- collocations --------------------------------------------------------------------------------
+
+def _phrases(docs, least, longest, top):
+    """[(lang, rank, phrase, a, l, r, n, score)] of [(lang, text)]."""
+    f, n = defaultdict(Counter), Counter()
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\x0a-\x0d]", (text or "").translate(brute.LOWER)):
+            words = re.findall("[^\x20\x09]+", piece)
+            n[lang] += len(words)
+            for k in range(1, longest + 1):
+                f[lang].update(tuple(words[i:i + k]) for i in range(len(words) - k + 1))
+    out = []
+    for lang, counts in f.items():
+        often = {p: a for p, a in counts.items() if len(p) > 1 and a >= least}
+        inside = lambda p, q: len(q) > len(p) and any(q[i:i + len(p)] == p for i in range(len(q)))      # noqa: E731
+        made = []
+        for p, a in often.items():
+            if any(b >= a and inside(p, q) for q, b in often.items()):
+                continue
+            score, k = min((1000 * a * n[lang] // (counts[p[:k]] * counts[p[k:]]), k) for k in range(1, len(p)))
+            made.append((-score, -a, " ".join(p).encode(), counts[p[:k]], counts[p[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(made)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, n[lang], -score))
+    return sorted(out)
+
+
+def _got(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def _texts(seed, n):
+    rng = random.Random(seed)
+    words = "the of The a bébé x\x1cy new york\tcity d'or 漢字 to in".split(" ")
+    marks = [" "] * 12 + [", ", ".", "  ", "\t", "\n", "\x0b", " ? "]
+    return [(rng.choice(["en", "en", "fr", None, "und"]),
+             "".join(rng.choice(words) + rng.choice(marks) for _ in range(rng.randrange(60)))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("block, shard", [(200, 64), (1 << 19, 1 << 20)])
+def test_collocations_are_those_of_plain_counts(spark, block, shard):
+    docs = [*_texts(1, 250), (None, None), ("fr", ""), ("en", "the of " * 30_000), ("en", "new york city " * 400)] + [("en", "a b a")] * 300
+    df = spark.createDataFrame([(1, t, lang, None, 3, "x", "y", *(None,) * 5, ["z"]) for lang, t in docs], KINDS).repartition(5)
+    got = collocations.collocations(df, least=12, top=40, block_words=block, shard_entries=shard)
+    assert _got(got) == _phrases(docs, 12, 5, 40)
+
+
+def test_scores_beyond_64_bits_are_exact(spark):
+    big = 3 * 10 ** 13
+    words = spark.createDataFrame([(1, "en", bytearray(b"x"), big), (2, "en", bytearray(b"y"), big - 1)], "id long, lang string, word binary, f long")
+    found = spark.createDataFrame([([1], big), ([2], big - 1), ([1, 2], big - 7)], "ids array<long>, f long")
+    totals = spark.createDataFrame([("en", 10 ** 15 + 3)], "lang string, n long")
+    real = collocations.frequent_phrases
+    collocations.frequent_phrases = lambda *_: (words, found, totals)
+    try:
+        row = collocations.collocations(None).first()
+    finally:
+        collocations.frequent_phrases = real
+    assert row.score == 1000 * (big - 7) * (10 ** 15 + 3) // (big * (big - 1)) and row.phrase == "x y"
+
+
+def test_no_phrases(no_docs, odd_docs):
+    assert collocations.collocations(no_docs).count() == 0
+    assert collocations.collocations(odd_docs, least=10 ** 6).count() == 0
+
+
+def test_odd_documents_have_phrases(odd_docs):
+    docs = [(r.lang, r.text) for r in odd_docs.collect()]
+    assert _got(collocations.collocations(odd_docs, least=3)) == _phrases(docs, 3, 5, 2_000)
+
+
+# --- spellings -------------------------------------------------------------------------------------
+
+def _spellings(docs, shortest=7, least=2, more=10, every=31):
+    import zlib
+
+    counts = Counter()
+    for doc, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(brute.LOWER)
+            h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+            counts[run[:h % len(run)] + run[h % len(run) + 1:] if h % every == 0 else run] += 1
+    words = {w: n for w, n in counts.items() if len(w) >= shortest and n >= least}
+    near = {w: set() for w in words}
+    skipped = defaultdict(set)
+    for w in words:
+        for i in range(len(w)):
+            skipped[i, w[:i], w[i + 1:]].add(w)
+            if w[:i] + w[i + 1:] in words:
+                near[w].add(w[:i] + w[i + 1:])
+                near[w[:i] + w[i + 1:]].add(w)
+    for group in skipped.values():
+        for w in group:
+            near[w] |= group - {w}
+    form = {}
+    for w, others in near.items():
+        if others:
+            best = min(others, key=lambda x: (-words[x], x))
+            if words[best] >= more * words[w]:
+                form[w] = best
+
+    def root(w):
+        while w in form:
+            w = form[w]
+        return w
+
+    return sorted((w, form.get(w), root(w), n, len(near[w]), words.get(form.get(w))) for w, n in words.items())
+
+
+def _variants(df, **options):
+    return sorted((tuple(r) for r in spellings.variants(df, **options).collect()), key=lambda r: r[0])
+
+
+def _spelled(seed, n):
+    rng = random.Random(seed)
+    base = ["".join(rng.choice("abcdeéÿ") for _ in range(rng.choice([6, 7, 8, 9, 12, 30]))) for _ in range(25)] + ["a" * 9, "b" * 300]
+    rows = []
+    for i in range(n):
+        words = []
+        for _ in range(rng.randrange(40)):
+            w = rng.choice(base[:rng.choice([2, 6, 27])])
+            for _ in range(rng.choice([0] * 12 + [1, 1, 2])):
+                at = rng.randrange(len(w))
+                w = rng.choice([w[:at] + w[at + 1:], w[:at] + "x" + w[at:], w[:at] + "y" + w[at + 1:]])
+            words.append(rng.choice([w, w, w.upper().translate(brute.LOWER), w.title()]))
+        rows.append((rng.choice([i, i, 7, None]), rng.choice([" ", ", ", "1", "漢", "\n"]).join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("most", [4, spellings.SUBTREE_WORDS])
+def test_spellings_are_those_of_plain_search(spark, most):
+    """Small subtrees are dealt to tasks by deeper nodes; the pairs are the same."""
+    docs = [*_spelled(3, 400), (None, None), (1, "")]
+    df = spark.createDataFrame([(i, t, None, "x", 3, "x", "y", *(None,) * 5, ["z"]) for i, t in docs], KINDS).repartition(4)
+    want = _spellings(docs, more=3)
+    assert _variants(df, most=most, more=3) == want
+    assert any(r[1] for r in want) and any(r[2] not in (r[0], r[1]) for r in want)
+
+
+def test_odd_documents_have_spellings(odd_docs, no_docs):
+    docs = [(r.doc_id, r.text) for r in odd_docs.collect()]
+    assert _variants(odd_docs, shortest=3, least=1) == _spellings(docs, shortest=3, least=1)
+    assert spellings.variants(no_docs).count() == 0
+
+
+@given(st.lists(st.text("abcÿ", min_size=1, max_size=14), max_size=40, unique=True), st.integers(1, 5))
+@settings(max_examples=150, deadline=None)
+def test_nodes_are_numbered_by_their_prefix(words, depth):
+    words = sorted(words)
+    numbers = list(spellings.node_numbers((i, w.encode("latin-1"), depth) for i, w in enumerate(words)))
+    named = {}
+    for w, nodes in zip(words, numbers):
+        assert len(nodes) == len(w) + 1
+        for i, node in enumerate(nodes.tolist()):
+            assert named.setdefault(node, w[:i]) == w[:i]
+    assert len(named) == len({w[:i] for w in words for i in range(len(w) + 1)})
+
+
+# --- SQL -------------------------------------------------------------------------------------------
+
+@pytest.mark.parametrize("name", list(queries.ORACLE))
+def test_query_matches_sql(spark, sf_dir, name):
+    df = queries.QUERIES[name](spark, sf_dir)
+    got = canonical(df.columns, df.collect())
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
+    res = con.execute(queries.ORACLE[name])
+    assert got == canonical([c[0] for c in res.description], res.fetchall())
