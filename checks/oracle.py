@@ -276,6 +276,32 @@ parts AS (SELECT text_key, CASE WHEN x < 0.15 THEN 'test' WHEN x < 0.3 THEN 'val
 SELECT text_key, string_agg(DISTINCT split, ',' ORDER BY split) AS splits, count(*) AS n_rows
 FROM parts GROUP BY text_key HAVING count(DISTINCT split) > 1"""
 
+GRAMS = r"""
+WITH worded AS (
+  SELECT 'text' AS kind, doc_id AS id, list_filter(regexp_split_to_array(lower(text), '[ \t\n\r]+'), lambda w: w <> '') AS w FROM documents
+  UNION ALL
+  SELECT 'item', item_id, list_filter(regexp_split_to_array(lower(text), '[ \t\n\r]+'), lambda w: w <> '') FROM benchmark),
+grams AS (SELECT DISTINCT kind, id, array_to_string(w[i:i + 4], ' ') AS g
+          FROM (SELECT kind, id, w, unnest(range(1, len(w) - 3)) AS i FROM worded)),
+index AS (SELECT id AS item, g FROM grams WHERE kind = 'item'),
+own AS (SELECT id AS text_id, g FROM grams WHERE kind = 'text')"""
+
+ORACLE["b8_contaminated_texts"] = GRAMS + """,
+counted AS (SELECT text_id, count(*) AS n_grams, count(*) FILTER (g IN (SELECT g FROM index)) AS n_shared FROM own GROUP BY text_id)
+SELECT doc_id AS text_id, coalesce(n_grams, 0) AS n_grams, coalesce(n_shared, 0) AS n_shared, round(n_shared / n_grams::DOUBLE, 6) AS shared_share
+FROM documents LEFT JOIN counted ON text_id = doc_id"""
+
+ORACLE["b8_contamination"] = GRAMS + """,
+held AS (SELECT item, i.g, text_id FROM index i JOIN own o ON i.g = o.g),
+sizes AS (SELECT item, count(*) AS n_grams FROM index GROUP BY item),
+per_gram AS (SELECT item, g, count(DISTINCT text_id) AS texts FROM held GROUP BY item, g),
+found AS (SELECT item, count(*) AS n_found, max(texts) AS most_texts FROM per_gram GROUP BY item),
+holding AS (SELECT item, count(DISTINCT text_id) AS n_texts FROM held GROUP BY item)
+SELECT item_id AS item, coalesce(n_grams, 0) AS n_grams, coalesce(n_found, 0) AS n_found,
+       round(coalesce(n_found, 0) / n_grams::DOUBLE, 6) AS found_share, coalesce(n_texts, 0) AS n_texts, coalesce(most_texts, 0) AS most_texts
+FROM (SELECT DISTINCT item_id FROM benchmark) b LEFT JOIN sizes s ON s.item = item_id LEFT JOIN found f ON f.item = item_id
+LEFT JOIN holding h ON h.item = item_id"""
+
 # --- C -------------------------------------------------------------------------------------
 
 SYSTEM = lit(DOC_SPEC.system_prompt())

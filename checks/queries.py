@@ -10,7 +10,7 @@ from checks import testbed as B
 from gleanframe.functions import draws as D
 from gleanframe.functions import extract as X
 from gleanframe.functions.json_text import labels_json
-from gleanframe.operators import chat, mix, parse, score, split, synth
+from gleanframe.operators import chat, contamination, mix, parse, score, split, synth
 from gleanframe.plans import reports
 from gleanframe.session import shared_path
 from gleanframe.sources import predictions, records
@@ -149,6 +149,18 @@ def b6_leakage_audit(spark, sf_dir):
     return split.leakage_audit(parts)
 
 
+@query
+def b8_contamination(spark, sf_dir):
+    found = contamination.item_contamination(_documents(spark, sf_dir), B.table(spark, sf_dir, "benchmark"), 5)
+    return found.withColumn("found_share", _digits("found_share"))
+
+
+@query
+def b8_contaminated_texts(spark, sf_dir):
+    shared = contamination.text_contamination(_documents(spark, sf_dir), B.table(spark, sf_dir, "benchmark"), 5)
+    return shared.withColumn("shared_share", _digits("shared_share"))
+
+
 # --- C: chat rows and prompts -----------------------------------------------------------
 
 @query
