@@ -414,16 +414,31 @@ UNION ALL SELECT row_id, 'lang', 'null' FROM faulty WHERE no_lang AND NOT no_lab
 UNION ALL SELECT row_id, 'band', 'enum' FROM faulty WHERE bad_band AND NOT no_labels
 UNION ALL SELECT row_id, 'more_terms', 'null' FROM faulty WHERE null_term AND NOT no_labels"""
 
-ORACLE["d4_validate_lines"] = "WITH" + GOLD + "," + FAULTS + """,
+# Lines broken as a whole (n % 23 from 1 to 4), blank (5), or with faults of their own two members.
+LINES = """,
+lines AS (
+  SELECT f.*, g.n_chars AS n, g.lang,
+         CASE WHEN g.n_chars % 13 = 0 THEN NULL WHEN bad_lang THEN 'xx' WHEN no_lang THEN NULL ELSE g.lang END AS said,
+         g.n_chars % 23 BETWEEN 1 AND 4 AS broken
+  FROM faulty f JOIN gold g USING (row_id) WHERE g.n_chars % 23 <> 5),
 found AS (
-  SELECT '' AS field, 'not_json' AS violation FROM faulty WHERE no_labels
-  UNION ALL SELECT 'lang', 'enum' FROM faulty WHERE bad_lang AND NOT no_labels
-  UNION ALL SELECT 'lang', 'null' FROM faulty WHERE no_lang AND NOT no_labels
-  UNION ALL SELECT 'band', 'enum' FROM faulty WHERE bad_band AND NOT no_labels
-  UNION ALL SELECT 'more_terms', 'type' FROM faulty WHERE null_term AND NOT no_labels
-  UNION ALL SELECT 'note', 'extra' FROM faulty WHERE extra AND NOT no_labels)
+  SELECT row_id, '' AS field, 'not_json' AS violation FROM lines WHERE broken
+  UNION ALL SELECT row_id, 'posting', CASE n % 17 WHEN 0 THEN 'null' WHEN 1 THEN 'type' ELSE 'missing' END FROM lines WHERE NOT broken AND n % 17 < 3
+  UNION ALL SELECT row_id, 'labels', CASE WHEN n % 26 = 0 THEN 'null' ELSE 'type' END FROM lines WHERE NOT broken AND no_labels
+  UNION ALL SELECT row_id, 'id', 'extra' FROM lines WHERE NOT broken AND n % 19 = 3
+  UNION ALL SELECT row_id, 'lang', 'enum' FROM lines WHERE NOT broken AND bad_lang AND NOT no_labels
+  UNION ALL SELECT row_id, 'lang', 'null' FROM lines WHERE NOT broken AND no_lang AND NOT no_labels
+  UNION ALL SELECT row_id, 'band', 'enum' FROM lines WHERE NOT broken AND bad_band AND NOT no_labels
+  UNION ALL SELECT row_id, 'more_terms', 'type' FROM lines WHERE NOT broken AND null_term AND NOT no_labels
+  UNION ALL SELECT row_id, 'note', 'extra' FROM lines WHERE NOT broken AND extra AND NOT no_labels)"""
+
+ORACLE["d4_validate_lines"] = "WITH" + GOLD + "," + FAULTS + LINES + """
 SELECT field, violation, count(*) AS n_rows FROM found GROUP BY field, violation"""
 
+ORACLE["d4_records_of_lines"] = "WITH" + GOLD + "," + FAULTS + LINES + """
+SELECT row_id, row_id NOT IN (SELECT row_id FROM found) AS is_record,
+       CASE WHEN NOT broken THEN said END AS lang, CASE WHEN NOT broken AND NOT no_labels THEN n::DOUBLE END AS n_chars FROM lines"""
+
 # --- E -------------------------------------------------------------------------------------
 
 ORACLE["e1_scalar_match"] = _COMPARED + f"""
@@ -642,17 +657,44 @@ ORACLE["f9_coverage_audit"] = _SAMPLED + " " + " UNION ALL ".join(
     for f, values in CLOSED.items() for v in (*values, None))
 
 
-def in_text(x: str) -> str:
-    return f"contains(lower(posting), lower({x}))"
-
-
-ORACLE["f10_grounding_audit"] = "WITH" + GOLD + ",\nlong AS (" + " UNION ALL ".join(
-    [f"SELECT '{f}' AS field, 1 AS stated, {in_text(f'{f}::VARCHAR')}::INT AS found FROM gold WHERE {f} IS NOT NULL"
-     for f in SCALARS] +
-    [f"SELECT '{f}', len({f}), len(list_filter({f}, lambda v: {in_text('v')})) FROM gold WHERE len({f}) > 0"
-     for f in LISTS]) + """)
-SELECT field, count(*) AS n_rows, sum(stated)::BIGINT AS n_stated, sum(found)::BIGINT AS n_found,
-       round(sum(found) / sum(stated)::DOUBLE, 6) AS found_share FROM long GROUP BY field"""
+def phrase_of(x: str) -> str:
+    """A value or text as its tokens between blanks; numbers without grouping commas and trailing zeros."""
+    found = rf"regexp_extract_all(lower({x}), '[0-9]+(?:[.,][0-9]+)+|[\p{{L}}\p{{N}}+#]+')"
+    plain = rf"list_transform({found}, lambda t: CASE WHEN regexp_matches(t, '^[0-9]{{1,3}}(,[0-9]{{3}})+([.][0-9]+)?$') THEN replace(t, ',', '') ELSE t END)"
+    short = rf"list_transform({plain}, lambda t: CASE WHEN regexp_matches(t, '^[0-9]+[.][0-9]+$') THEN regexp_replace(t, '[.]?0+$', '') ELSE t END)"
+    return f"' ' || array_to_string({short}, ' ') || ' '"
+
+
+def grounded(table: str, fields: dict[str, tuple[list[str], bool]]) -> str:
+    """The audit of F10 over `table` (row_id, posting and a column for each field): the values that a null field
+    could have had, and whether the field is a list."""
+    parts = []
+    for f, (asked, is_list) in fields.items():
+        items = f"coalesce({f}, [])" if is_list else f"CASE WHEN {f} IS NULL THEN [] ELSE [{f}::VARCHAR] END"
+        stated = f"list_distinct(list_transform({items}, lambda v: {phrase_of('v')}))"
+        null = f"len(coalesce({f}, [])) = 0" if is_list else f"{f} IS NULL"
+        mentioned = f"len(list_filter({lits(asked)}::VARCHAR[], lambda v: contains(line, {phrase_of('v')})))"
+        parts.append(f"SELECT '{f}' AS field, len({stated}) AS stated, len(list_filter({stated}, lambda v: trim(v) <> '' AND contains(line, v))) AS found, "
+                     f"{mentioned} > 0 AS mentioned FROM lined WHERE len({stated}) > 0 OR ({null} AND {bool(asked)})")
+    return f""",
+lined AS (SELECT *, {phrase_of("coalesce(posting, '')")} AS line FROM {table}),
+long AS ({" UNION ALL ".join(parts)})
+SELECT field, count(*) FILTER (stated > 0) AS n_rows, sum(stated)::BIGINT AS n_stated, sum(found)::BIGINT AS n_found,
+       count(*) FILTER (stated = 0) AS n_null, count(*) FILTER (stated = 0 AND mentioned) AS n_null_mentioned,
+       round(sum(found) / nullif(sum(stated), 0)::DOUBLE, 6) AS found_share,
+       round(count(*) FILTER (stated = 0 AND NOT mentioned) / nullif(count(*) FILTER (stated = 0), 0)::DOUBLE, 6) AS clean_share
+FROM long GROUP BY field"""
+
+
+ORACLE["f10_grounding_audit"] = "WITH" + GOLD + grounded("gold", {
+    **{f: ([], False) for f in ("lang", "source", "n_chars", "toxic")}, "quality": (["0", "1"], False), "band": (["good", "poor"], False),
+    "last_terms": ([], True), "more_terms": (["the", "of the"], True)})
+
+ORACLE["f10_grounding_postings"] = _SAMPLED + ",\nposted AS (SELECT s.*, d.text AS posting FROM sampled s JOIN documents d ON d.doc_id = s.row_id)" + grounded(
+    "(SELECT * REPLACE (salary_min::BIGINT AS salary_min, salary_max::BIGINT AS salary_max, min_years_experience::BIGINT AS min_years_experience) FROM posted)",
+    {**{f: ([], False) for f in ("title", "company", "salary_min", "salary_max", "min_years_experience", "education")},
+     "location": (list(P.cities), False), "salary_currency": (list(P.currencies), False),
+     **{f: (list(v), False) for f, v in CLOSED.items()}, "required_skills": ([], True), "preferred_skills": (["Go", "R", "SQL"], True)})
 
 _ORDERS = "SELECT o_orderkey AS row_id FROM orders"
 _JOB_LISTS = ("required_skills", "preferred_skills")

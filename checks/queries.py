@@ -278,14 +278,33 @@ def d4_validate_gold(spark, sf_dir):
     return parse.validate_gold(_faulty_gold(spark, sf_dir), SPEC)
 
 
+def _faulty_lines(spark, sf_dir):
+    """Raw lines of faulty records, some of them broken as a whole, by the text's length."""
+    body = labels_json(SPEC)
+    rows = _faulty_gold(spark, sf_dir).withColumn("n", F.col("labels.n_chars")).withColumn("body", F.expr(body)).join(
+        _documents(spark, sf_dir).selectExpr("doc_id AS row_id", "n_chars AS n_all"), "row_id")
+    labels = "CASE WHEN n % 2 = 0 THEN replace(body, '{', '{\"note\": 1, ') ELSE body END"
+    posting = "CASE n_all % 17 WHEN 0 THEN 'null' WHEN 1 THEN '5' ELSE '\"x\"' END"
+    head = f"CASE WHEN n_all % 17 = 2 THEN '' ELSE concat('\"posting\": ', {posting}, ', ') END"
+    line = (f"concat('{{', {head}, '\"labels\": ', CASE WHEN labels IS NOT NULL THEN {labels} "
+            "WHEN n_all % 26 = 0 THEN 'null' ELSE '[1]' END, CASE WHEN n_all % 19 = 3 THEN ', \"id\": 7' ELSE '' END, '}')")
+    value = ("CASE n_all % 23 WHEN 1 THEN concat(line, ' trailing') WHEN 2 THEN replace(line, '\"', \"'\") "
+             "WHEN 3 THEN concat(line, line) WHEN 4 THEN concat('[', line, ']') WHEN 5 THEN '  ' "
+             "WHEN 6 THEN concat('  ', line, ' \\t') ELSE line END")
+    return rows.selectExpr("row_id", "n_all", f"{line} AS line").selectExpr("row_id", f"{value} AS value")
+
+
 @query
 def d4_validate_lines(spark, sf_dir):
-    """Raw lines of faulty records with a label that the spec does not have, counted."""
-    body = labels_json(SPEC)
-    value = (f"CASE WHEN labels IS NULL THEN '{{\"posting\": \"x\"}}' ELSE concat('{{\"posting\": \"x\", \"labels\": ', "
-             f"CASE WHEN labels.n_chars % 2 = 0 THEN replace({body}, '{{', '{{\"note\": 1, ') ELSE {body} END, '}}') END")
-    lines = _faulty_gold(spark, sf_dir).selectExpr("row_id", f"{value} AS value")
-    return parse.count_breaches(parse.validate_lines(lines, SPEC))
+    """Raw lines with breaches of every kind, counted."""
+    return parse.count_breaches(parse.validate_lines(_faulty_lines(spark, sf_dir), SPEC))
+
+
+@query
+def d4_records_of_lines(spark, sf_dir):
+    """The lines that are records, and with them the quarantine: what is neither is blank."""
+    checked = parse.checked_lines(_faulty_lines(spark, sf_dir), SPEC)
+    return checked.select("row_id", (F.size("breaches") == 0).alias("is_record"), "labels.lang", "labels.n_chars")
 
 
 # --- E: scores and comparisons ------------------------------------------------------------
@@ -485,9 +504,21 @@ def f9_coverage_audit(spark, sf_dir):
     return synth.coverage_audit(_sampled(spark, sf_dir))
 
 
+def _shares(audit):
+    return audit.withColumns({c: _digits(c) for c in ("found_share", "clean_share")})
+
+
 @query
 def f10_grounding_audit(spark, sf_dir):
-    return synth.grounding_audit(B.doc_gold(spark, sf_dir), SPEC).withColumn("found_share", _digits("found_share"))
+    return _shares(synth.grounding_audit(B.doc_gold(spark, sf_dir), SPEC, known={"quality": ["0", "1"], "more_terms": ["the", "of the"]}))
+
+
+@query
+def f10_grounding_postings(spark, sf_dir):
+    """Sampled job labels beside texts that were not written for them: what is found is found by chance."""
+    texts = _documents(spark, sf_dir).selectExpr("doc_id AS row_id", "text AS posting")
+    known = {"salary_currency": synth.JOB_POOLS.currencies, "location": synth.JOB_POOLS.cities, "preferred_skills": ["Go", "R", "SQL"]}
+    return _shares(synth.grounding_audit(_sampled(spark, sf_dir).join(texts, "row_id"), known=known))
 
 
 @query

@@ -212,28 +212,73 @@ def coverage_audit(df: DataFrame, spec: RecordSpec = JOB_POSTING) -> DataFrame:
     return df.agg(*counts).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
-def grounding(df: DataFrame, spec: RecordSpec = JOB_POSTING) -> DataFrame:
-    """per row and stated field (row_id, field, n_stated, n_found) by literal search in the text.
+#: What a text is cut into: numbers with points or commas inside, and runs of letters, digits, + and #.
+_TOKEN = r"'[0-9]+(?:[.,][0-9]+)+|[\\p{L}\\p{N}+#]+'"
 
-    Case does not count. A list states each of its items. Null states nothing. Short forms
-    and paraphrases count as not found. Narrow.
+
+def tokens(text: str) -> str:
+    """The tokens of a text in lower case; 160,000 is 160000, and 31.50 is 31.5."""
+    plain = "CASE WHEN t RLIKE '^[0-9]{1,3}(,[0-9]{3})+([.][0-9]+)?$' THEN replace(t, ',', '') ELSE t END"
+    short = "CASE WHEN t RLIKE '^[0-9]+[.][0-9]+$' THEN regexp_replace(t, '[.]?0+$', '') ELSE t END"
+    return f"transform(transform(regexp_extract_all(lower({text}), {_TOKEN}, 0), t -> {plain}), t -> {short})"
+
+
+def _phrases(values: str) -> str:
+    """Distinct values as their tokens joined by blanks."""
+    return f"array_distinct(transform({values}, v -> array_join({tokens('v')}, ' ')))"
+
+
+def grounding(df: DataFrame, spec: RecordSpec = JOB_POSTING,
+              known: Mapping[str, Sequence[str]] | None = None, longest: int = 6) -> DataFrame:
+    """per row and field (row_id, field, n_stated, n_found, n_mentioned), by search in the text.
+
+    A stated value is found if its tokens stand in the text one after the other: "Go" is not found in
+    "Google" nor 5 in "15". Case does not count, full_time is "full-time", and a list states each of its
+    distinct items. Short forms and paraphrases count as not found. A null or empty field states
+    nothing; `n_mentioned` then tells how many of the values that it could have had stand in the text: those of a
+    closed field, and those that `known` lists for an open one. Without such values it gives no row.
+
+    The text is cut once, into the set of its phrases of up to `longest` tokens, in which all values of a field are
+    looked up together; only a longer value is searched by itself. Narrow.
     """
-    text = f"lower(coalesce({name(spec.text_column)}, ''))"
-    rows = []
-    for f in spec.fields:
+    none = "cast(array() AS array<string>)"
+    asked = {f.name: list(f.domain) or list((known or {}).get(f.name, ())) for f in spec.fields}
+    cut = [f"{tokens(f'coalesce({name(spec.text_column)}, {literal(str())})')} AS _words"]
+    for i, f in enumerate(spec.fields):
         value = name(f"labels.{f.name}")
         items = (f"filter({value}, v -> v IS NOT NULL)" if f.kind == LIST
                  else f"array_compact(array({value if f.kind == STRING else json_value(f.kind, value)}))")
         if f.kind == NUMBER:
-            items = f"CASE WHEN {value} IS NULL THEN array() ELSE {items} END"
-        rows.append(f"struct({literal(f.name)} AS field, coalesce(size({items}), 0) AS n_stated, "
-                    f"coalesce(size(filter({items}, v -> contains(_text, lower(v)))), 0) AS n_found)")
-    return (df.withColumn("_text", F.expr(text)).selectExpr("row_id", f"inline(array({', '.join(rows)}))")
-            .where("n_stated > 0"))
-
-
-def grounding_audit(df: DataFrame, spec: RecordSpec = JOB_POSTING) -> DataFrame:
-    """per field the rows that state it, and the share of stated values found in the text."""
-    return grounding(df, spec).groupBy("field").agg(
-        F.count("*").alias("n_rows"), F.sum("n_stated").alias("n_stated"), F.sum("n_found").alias("n_found")
-    ).withColumn("found_share", F.try_divide("n_found", "n_stated"))
+            items = f"CASE WHEN {value} IS NULL THEN {none} ELSE {items} END"
+        cut.append(f"coalesce({_phrases(items)}, {none}) AS _s{i}")
+        if asked[f.name]:
+            null = f"coalesce(size({value}), 0) <= 0" if f.kind == LIST else f"{value} IS NULL"
+            cut.append(f"CASE WHEN {null} THEN {_phrases(array(asked[f.name]))} END AS _a{i}")
+    runs = ["_words"] + [f"CASE WHEN size(_words) >= {k} THEN transform(sequence(1, size(_words) - {k - 1}), "
+                         f"i -> array_join(slice(_words, i, {k}), ' ')) ELSE {none} END" for k in range(2, longest + 1)]
+    rows = []
+    for i, f in enumerate(spec.fields):
+        found = lambda v: (f"size(array_intersect({v}, _grams)) + "                          # noqa: E731
+                           f"size(filter({v}, v -> size(split(v, ' ')) > {longest} AND contains(_line, concat(' ', v, ' '))))")
+        mentioned = f"CASE WHEN _a{i} IS NULL THEN 0 ELSE {found(f'_a{i}')} END" if asked[f.name] else "0"
+        rows.append(f"struct({literal(f.name)} AS field, size(_s{i}) AS n_stated, "
+                    f"{found(f'_s{i}')} AS n_found, {mentioned} AS n_mentioned, "
+                    f"{f'_a{i} IS NOT NULL' if asked[f.name] else 'false'} AS asked)")
+    return (df.selectExpr("row_id", *cut)
+            .selectExpr("*", f"array_distinct(flatten(array({', '.join(runs)}))) AS _grams", "concat(' ', array_join(_words, ' '), ' ') AS _line")
+            .selectExpr("row_id", f"inline_outer(array({', '.join(rows)}))").where("n_stated > 0 OR asked").drop("asked"))
+
+
+def grounding_audit(df: DataFrame, spec: RecordSpec = JOB_POSTING, known: Mapping[str, Sequence[str]] | None = None,
+                    longest: int = 6) -> DataFrame:
+    """per field both halves of "null if not stated": how many stated values are in the text, and how many
+    rows leave a field null whose text mentions a value for it.
+
+    `n_rows` rows state the field, `n_null` leave it null and were searched; `clean_share` of these mention no value.
+    """
+    stated, null = F.col("n_stated") > 0, F.col("n_stated") == 0
+    found = grounding(df, spec, known, longest).groupBy("field").agg(
+        F.count_if(stated).alias("n_rows"), F.sum("n_stated").alias("n_stated"), F.sum("n_found").alias("n_found"),
+        F.count_if(null).alias("n_null"), F.count_if(null & (F.col("n_mentioned") > 0)).alias("n_null_mentioned"))
+    return found.withColumn("found_share", F.try_divide("n_found", "n_stated")).withColumn(
+        "clean_share", F.try_divide(F.col("n_null") - F.col("n_null_mentioned"), "n_null"))

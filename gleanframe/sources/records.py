@@ -19,6 +19,23 @@ def read_records(spark: SparkSession, path: str, spec: RecordSpec) -> DataFrame:
             .json(path))
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(row_id, value, file): the raw lines of record files, for `parse.checked_lines`.
+
+    `row_id` is the place of a line in the scan. Nothing is parsed, so no line is lost or raises.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path)
+    return lines.select(F.monotonically_increasing_id().alias("row_id"), "value", F.col("_metadata.file_path").alias("file"))
+
+
+def split_lines(checked: DataFrame, records: str, quarantine: str) -> None:
+    """Stores checked lines: those without a breach as Parquet records (row_id, text, labels), the others as
+    they came, with their breaches. Every line that is not blank is in exactly one of the two."""
+    clean = F.size("breaches") == 0
+    checked.where(clean).drop("value", "breaches").write.parquet(records)
+    checked.where(~clean).select("row_id", "value", "breaches").write.parquet(quarantine)
+
+
 def with_row_ids(records: DataFrame) -> DataFrame:
     """Adds `row_id`, the place of each record in the scan of its files.
 
