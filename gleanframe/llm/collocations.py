@@ -9,6 +9,7 @@ a block's own distinct words meet the frequent ones in a join.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,9 +21,11 @@ from gleanframe.llm.common import dense_ids, release, ship_package, staged, text
 
 LEAST, LONGEST, TOP, PERCENT = 100, 5, 2_000, 100
 #: Words of a block, about.
-BLOCK_WORDS = 1 << 19
+BLOCK_WORDS = 1 << 20
+#: Blocks' worth of words, of all languages, that a task holds before all of them are sent.
+HELD_BLOCKS = 4
 #: Filter entries that one task merges, about.
-SHARD_ENTRIES = 1 << 20
+SHARD_ENTRIES = 1 << 22
 _CHUNK = 1 << 20                      # bytes of a text that are split at once
 _KNOWN = np.uint32(1 << 31)           # marks a position at which a phrase of the level before is frequent
 
@@ -68,11 +71,14 @@ def blocks_of(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
 
         block = TaskContext.get().partitionId() << 32
         held: dict[str, tuple[_Ids, list[np.ndarray]]] = {}
+        size: Counter[str] = Counter()
         total = 0
 
-        def out() -> Iterator[pa.RecordBatch]:
+        def out(langs: list[str]) -> Iterator[pa.RecordBatch]:
             nonlocal block, total
-            for lang, (ids, parts) in held.items():
+            for lang in langs:
+                ids, parts = held.pop(lang)
+                size.pop(lang)
                 stream = np.concatenate(parts)
                 counts = np.bincount(stream, minlength=len(ids))[2:]
                 yield pa.RecordBatch.from_arrays(
@@ -80,20 +86,22 @@ def blocks_of(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
                      pa.array([counts], pa.list_(pa.int64())), pa.array([(stream - 1).astype("<u4").tobytes()])],
                     names=["block", "lang", "words", "counts", "stream"])
                 block += 1
-            held.clear()
-            total = 0
+                total -= len(stream)
 
         end = np.ones(1, np.uint32)
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1)):
-                ids, parts = held.setdefault(lang.as_py(), (_Ids(), []))
-                for part in _numbered(text.as_py(), ids):
+                lang = lang.as_py()
+                ids, parts = held.setdefault(lang, (_Ids(), []))
+                for part in (*_numbered(text.as_py(), ids), end):
                     parts.append(part)
+                    size[lang] += len(part)
                     total += len(part)
-                parts.append(end)
-                if total >= block_words:
-                    yield from out()
-        yield from out()
+                if size[lang] >= block_words:
+                    yield from out([lang])
+                elif total >= HELD_BLOCKS * block_words:
+                    yield from out(list(held))
+        yield from out(list(held))
 
     ship_package(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text_bytes().alias("_text"))
@@ -157,16 +165,13 @@ def _grams(state: np.ndarray, n: int, bits: int) -> tuple[np.ndarray, np.ndarray
     return starts, *Q.joined(*Q.permute(left, right, half), half)
 
 
-def _by_shard(high: np.ndarray, low: np.ndarray, total: int, shard_bits: int) -> Iterator[tuple[int, Q.Filter, np.ndarray]]:
-    """(shard, filter, places of the inputs in it, -1 outside): the counts of one block."""
-    h, v, count, place = Q.counted(high, low)
-    shard = Q.shifted(h, v, total - shard_bits).astype(np.int64) if shard_bits else np.zeros(len(v), np.int64)
-    cuts = np.flatnonzero(np.diff(shard)) + 1
-    for begin, end in zip(np.append(0, cuts), np.append(cuts, len(v))):
-        if end > begin:
-            rest = Q.lower(h[begin:end], v[begin:end], total - shard_bits)
-            yield (int(shard[begin]), Q.Filter(*rest, count[begin:end], total - shard_bits),
-                   np.where((place >= begin) & (place < end), place - begin, -1))
+def _shards(high: np.ndarray, low: np.ndarray, total: int, shard_bits: int) -> list[tuple[int, int, int]]:
+    """(shard, begin, end) of sorted numbers."""
+    if not len(low):
+        return []
+    shard = Q.shifted(high, low, total - shard_bits).astype(np.int64) if shard_bits else np.zeros(len(low), np.int64)
+    begin = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
+    return list(zip(shard[begin].tolist(), begin.tolist(), np.append(begin[1:], len(low)).tolist()))
 
 
 def _level(state: DataFrame, n: int, bits: int, shard_bits: int, least: int) -> tuple[DataFrame, DataFrame]:
@@ -179,7 +184,10 @@ def _level(state: DataFrame, n: int, bits: int, shard_bits: int, least: int) ->
         for batch in batches:
             for block, packed in zip(batch.column(0), batch.column(1)):
                 _, high, low = _grams(np.frombuffer(packed.as_buffer(), "<u4"), n, bits)
-                made = [(s, f.pack()) for s, f, _ in _by_shard(high, low, total, shard_bits)]
+                high, low, counts, _ = Q.counted(high, low)
+                rest = total - shard_bits
+                made = [(s, Q.Filter(*Q.lower(high[a:b], low[a:b], rest), counts[a:b], rest).pack())
+                        for s, a, b in _shards(high, low, total, shard_bits)]
                 yield pa.RecordBatch.from_arrays([pa.array([block.as_py()] * len(made), pa.int64()),
                                                   pa.array([s for s, _ in made], pa.int64()),
                                                   pa.array([f for _, f in made], pa.binary())], names=["block", "shard", "filter"])
@@ -218,11 +226,10 @@ def _next_state(state: DataFrame, bitmaps: DataFrame, n: int, bits: int, shard_b
             state = np.frombuffer(packed, "<u4")
             often = dict(zip(marks["shard"].to_pylist(), marks["bitmap"].to_pylist()))
             starts, high, low = _grams(state, n, bits)
-            known = np.zeros(len(starts), bool)
-            for shard, f, place in _by_shard(high, low, total, shard_bits):
-                bit = np.append(np.unpackbits(np.frombuffer(often[shard], np.uint8), count=len(f.low)), 0).astype(bool)
-                known |= bit[place]
-            starts = starts[known]
+            high, low, _, place = Q.counted(high, low)
+            bit = [np.unpackbits(np.frombuffer(often[shard], np.uint8), count=b - a)
+                   for shard, a, b in _shards(high, low, total, shard_bits)]
+            starts = starts[np.concatenate(bit).astype(bool)[place]] if bit else starts
             cover = np.zeros(len(state) + 1, np.int64)
             np.add.at(cover, starts, 1)
             np.add.at(cover, starts + n, -1)
