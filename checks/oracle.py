@@ -262,13 +262,29 @@ evaluated AS (SELECT {KEYED} AS text_key FROM parts WHERE split <> 'train'),
 made AS (SELECT row_id, {KEYED} AS text_key FROM origin WHERE source = 'synthetic')
 SELECT row_id, text_key FROM made WHERE text_key IN (SELECT text_key FROM evaluated)"""
 
-# A group is in test if fewer than 30 rows belong to groups before it, and so on.
-ORACLE["b3_split_grouped"] = f"""
-WITH keyed AS (SELECT doc_id, md5('{SEED}:' || {KEYED}) AS g FROM documents),
-sized AS (SELECT g, count(*) AS n FROM keyed GROUP BY g),
-before AS (SELECT g, sum(n) OVER (ORDER BY g) - n AS b FROM sized)
-SELECT doc_id, CASE WHEN b < 30 THEN 'test' WHEN b < 50 THEN 'val' ELSE 'train' END AS split
-FROM keyed JOIN before USING (g)"""
+def filled(group: str, n_test: int, n_val: int) -> str:
+    """Group by group in seeded order: taken if it fits, else passed over; the smallest one if rows are left."""
+    def fill(part: str, source: str, size: int) -> str:
+        return f"""
+{part}_order AS (SELECT g, n, row_number() OVER (ORDER BY g) AS i FROM {source}),
+{part}_walk AS (
+  SELECT 0::BIGINT AS i, ''::VARCHAR AS g, {size}::BIGINT AS room, false AS taken
+  UNION ALL SELECT o.i, o.g, CASE WHEN o.n <= w.room THEN w.room - o.n ELSE w.room END, o.n <= w.room
+  FROM {part}_walk w JOIN {part}_order o ON o.i = w.i + 1),
+{part}_fit AS (SELECT g FROM {part}_walk WHERE taken),
+{part}_extra AS (SELECT g FROM {source} WHERE g NOT IN (SELECT g FROM {part}_fit) AND (SELECT min(room) FROM {part}_walk) > 0 ORDER BY n, g LIMIT 1),
+{part}_groups AS (SELECT g FROM {part}_fit UNION ALL SELECT g FROM {part}_extra)"""
+
+    return f"""
+WITH RECURSIVE keyed AS (SELECT doc_id, md5('{SEED}:' || {group}) AS g FROM documents),
+sized AS (SELECT g, count(*) AS n FROM keyed GROUP BY g),{fill("test", "sized", n_test)},
+others AS (SELECT g, n FROM sized WHERE g NOT IN (SELECT g FROM test_groups)),{fill("val", "others", n_val)}
+SELECT doc_id, CASE WHEN g IN (SELECT g FROM test_groups) THEN 'test' WHEN g IN (SELECT g FROM val_groups) THEN 'val' ELSE 'train' END AS split
+FROM keyed"""
+
+
+ORACLE["b3_split_grouped"] = filled(KEYED, 30, 20)
+ORACLE["b3_split_by_source"] = filled("coalesce('=' || source, '')", 60, 40)
 
 ORACLE["b6_leakage_audit"] = f"""
 WITH drawn AS (SELECT {KEYED} AS text_key, {u(SEED, 'doc_id', 'split')} AS x FROM documents),
@@ -533,6 +549,16 @@ SELECT comparison, n_runs, round(spread, 6) AS field_acc_spread,
        {" + ".join(f"d_{k}::INT" for k in KNOBS)} > 1 AS confounded
 FROM varied"""
 
+_DIFFER = ", ".join(f"CASE WHEN a.{k} IS DISTINCT FROM b.{k} THEN '{k}' END" for k in KNOBS)
+_N_DIFFER = " + ".join(f"(a.{k} IS DISTINCT FROM b.{k})::INT" for k in KNOBS)
+ORACLE["e13_confound_pairs"] = _METRICS + f""",
+known AS (SELECT r.*, m.field_acc FROM runs r JOIN metrics m USING (run))
+SELECT a.run AS run_a, b.run AS run_b,
+       CASE WHEN a.comparison = b.comparison THEN a.comparison ELSE least(a.comparison, b.comparison) || ',' || greatest(a.comparison, b.comparison) END AS comparisons,
+       concat_ws(',', {_DIFFER}) AS differing_knobs, {_N_DIFFER} AS n_differing,
+       round(b.field_acc - a.field_acc, 6) AS field_acc_delta, {_N_DIFFER} > 1 AS confounded
+FROM known a JOIN known b ON a.run < b.run"""
+
 # --- F -------------------------------------------------------------------------------------
 
 def pick(x: str, values) -> str:

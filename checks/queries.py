@@ -143,6 +143,14 @@ def b3_split_grouped(spark, sf_dir):
     return parts.select("doc_id", "split")
 
 
+@query
+def b3_split_by_source(spark, sf_dir):
+    """Groups of very different sizes: all documents of a source stay together."""
+    docs = _documents(spark, sf_dir)
+    parts = split.split_grouped(docs, SEED, 60, 40, group_key="source")
+    return parts.select("doc_id", "split")
+
+
 @query
 def b6_leakage_audit(spark, sf_dir):
     parts = split.split_fraction(_documents(spark, sf_dir), "doc_id", SEED, {"test": 0.15, "val": 0.15})
@@ -425,6 +433,12 @@ def e13_confound_check(spark, sf_dir):
     return table.withColumn("field_acc_spread", _digits("field_acc_spread"))
 
 
+@query
+def e13_confound_pairs(spark, sf_dir):
+    pairs = reports.confound_pairs(*_metrics(spark, sf_dir), B.KNOBS)
+    return pairs.withColumn("field_acc_delta", _digits("field_acc_delta"))
+
+
 # --- F: synthetic labels and mixing ---------------------------------------------------------
 
 def _sampled(spark, sf_dir):

@@ -14,13 +14,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gleanframe.functions.draws import order_key, uniform
 from gleanframe.functions.sql import literal, name
+from gleanframe.session import staged
 
 _LEVELS = (4, 8)     # hex digits: 65,536 even buckets, then 65,536 in each that holds a cut
 
 
-def rank_cuts(digests: DataFrame, ranks: Sequence[int]) -> DataFrame:
+def rank_cuts(digests: DataFrame, ranks: Sequence[int], weight: str | None = None) -> DataFrame:
     """(rank, cut, upto): the digest at each 1-based rank of the sorted column `split_key`, and
-    the rows up to it and its equals.
+    the rows up to it and its equals. With `weight` a row counts as that many.
 
     An exact selection without a global sort. Counts per digest prefix say which prefix holds
     each rank, then counts of the next digits inside it; what is left, one digest in 2^32, is
@@ -28,16 +29,18 @@ def rank_cuts(digests: DataFrame, ranks: Sequence[int]) -> DataFrame:
     one row per task. A rank past the end gives no row.
     """
     wanted = "array(" + ", ".join(f"{r}L" for r in sorted(set(ranks))) + ")"
+    size = F.count("*") if weight is None else F.sum(weight)
+    digests = digests.select("split_key", *([weight] if weight else []))
     held = None
     for level in (*_LEVELS, None):
         part = F.col("split_key") if level is None else F.substring("split_key", 1, level)
         if held is None:
-            counts = digests.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+            counts = digests.groupBy(part.alias("part")).agg(size.alias("n"))
             counts = counts.select("part", "n", F.lit(0).cast("long").alias("before"), F.expr(f"explode({wanted})").alias("rank"))
         else:
-            counts = (digests.select("split_key", F.substring("split_key", 1, width).alias("held"))
+            counts = (digests.withColumn("held", F.substring("split_key", 1, width))
                       .join(F.broadcast(held), "held").groupBy("rank", "before", part.alias("part"))
-                      .agg(F.count("*").alias("n")))
+                      .agg(size.alias("n")))
         running = Window.partitionBy("rank").orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
         found = (counts.withColumn("upto", F.col("before") + F.sum("n").over(running))
                  .where("rank > upto - n AND rank <= upto"))
@@ -83,16 +86,74 @@ def text_key(text: str = "text") -> Column:
     return F.expr(f"md5(trim(regexp_replace(lower({name(text)}), '[ \\t\\n\\r]+', ' ')))")
 
 
-def split_grouped(df: DataFrame, seed: int, n_test: int, n_val: int, text: str = "text") -> DataFrame:
-    """As B1, but all rows of one normalised text land in one split.
+#: Rows left to fill from which on the last groups are chosen on the driver, among at most a few thousand.
+_LAST_ROWS = 1_000
 
-    Groups are taken whole in the order of their hash. Test has n_test rows or as many more as
-    complete its last group, and test and validation together n_test + n_val likewise. Rows
-    with a null text are one group.
+
+def _fill(groups: DataFrame, size: int, last_rows: int) -> DataFrame:
+    """The groups (split_key, n) that make up `size` rows, in the order of their keys.
+
+    Each group is taken if it fits into what is left, and passed over otherwise. Up to the first that does
+    not fit this is a cut at a rank, found on counts; then it goes on behind that one, among
+    groups that fit what is left. As soon as that is `last_rows` rows, the first left / n groups of each size n can matter
+    and no others, left * (1 + 1/2 + ... ) in all: those are gone through one by one. If rows are left
+    when no group fits, the smallest group that is not taken comes on top.
+    """
+    left, after, taken = size, "", []
+    while left > last_rows:
+        fit = groups.where((F.col("split_key") > after) & (F.col("n") <= left))
+        cut = rank_cuts(fit, [left + 1], "n").first()
+        upto = fit if cut is None else fit.where(F.col("split_key") < cut["cut"])
+        taken.append(upto)
+        left -= upto.agg(F.sum("n")).first()[0] or 0
+        if cut is None:
+            break
+        after = cut["cut"]
+    else:
+        nth = F.row_number().over(Window.partitionBy("n").orderBy("split_key"))
+        some = (groups.where((F.col("split_key") > after) & (F.col("n") <= left)).withColumn("_nth", nth)
+                .where(f"_nth <= {max(left, 1)} AND _nth * n <= {left}"))
+        fitting = []
+        for row in sorted(some.select("split_key", "n").collect()):
+            if row["n"] <= left:
+                fitting.append((row["split_key"], row["n"]))
+                left -= row["n"]
+        taken.append(groups.sparkSession.createDataFrame(fitting, groups.schema))
+    chosen = taken[0]
+    for more in taken[1:]:
+        chosen = chosen.unionByName(more)
+    if left > 0:
+        rest = groups.join(chosen.select("split_key"), "split_key", "left_anti").orderBy("n", "split_key").limit(1)
+        chosen = chosen.unionByName(rest)
+    chosen = staged(chosen, "split-groups")
+    if left > 0 and (chosen.agg(F.sum("n")).first()[0] or 0) < size:
+        raise ValueError(f"table has too few rows to split off {size}")
+    return chosen
+
+
+def split_grouped(df: DataFrame, seed: int, n_test: int, n_val: int, text: str = "text",
+                  group_key: str | None = None, last_rows: int = _LAST_ROWS) -> DataFrame:
+    """As B1, but all rows of one group land in one split; adds `split` and `split_key`.
+
+    A group is a normalised text, or the value of any column `group_key`; rows without one (null) are one
+    group. Groups go in seeded order, whole, to test until it has n_test rows, then those left to
+    validation. A group larger than what is left to fill is passed over, so the sizes are exact unless no group
+    fits; then the smallest one completes them. Groups are counted once, in a job of its own, and every cut is made on
+    the staged counts; the labels come from a table of the groups held out, in one pass over the rows.
     """
-    group = F.coalesce(text_key(text), F.lit(""))
-    keyed = df.withColumn("_group", group).withColumn("split_key", F.expr(order_key(seed, "_group"))).drop("_group")
-    return _split(keyed, n_test, n_val, False)
+    group = text_key(text) if group_key is None else F.concat(F.lit("="), F.col(group_key).cast("string"))
+    keyed = df.withColumn("_group", F.coalesce(group, F.lit(""))).withColumn("split_key", F.expr(order_key(seed, "_group"))).drop("_group")
+    groups = staged(keyed.groupBy("split_key").agg(F.count("*").alias("n")), "split-sizes")
+    held = None
+    for part, size in (("test", n_test), ("val", n_val)):
+        if size > 0:
+            left = groups if held is None else groups.join(held.select("split_key"), "split_key", "left_anti")
+            mine = _fill(left, size, last_rows).select("split_key", F.lit(part).alias("split"))
+            held = mine if held is None else held.unionByName(mine)
+    if held is None:
+        return keyed.withColumn("split", F.lit("train"))
+    return keyed.join(held, "split_key", "left").select(
+        *df.columns, "split_key", F.coalesce("split", F.lit("train")).alias("split"))
 
 
 def leakage_audit(parts: DataFrame, text: str = "text") -> DataFrame:

@@ -188,3 +188,25 @@ def confound_check(metrics: DataFrame, runs: DataFrame, knobs: Sequence[str]) ->
     return stats.select("comparison", "n_runs", "field_acc_spread",
                         F.array_join(differing, ",").alias("differing_knobs"),
                         (F.size(differing) > 1).alias("confounded"))
+
+
+def confound_pairs(metrics: DataFrame, runs: DataFrame, knobs: Sequence[str]) -> DataFrame:
+    """E13 by pairs: every two runs, of one comparison or of two, with the knobs that tell them apart.
+
+    (run_a, run_b, comparisons, differing_knobs, n_differing, field_acc_delta, confounded), run_a before
+    run_b; the delta is that of run_b over run_a. Two nulls of a knob are equal, a null and a value are not.
+    A pair that differs in more than one knob cannot tell which of them moved the metric; one that
+    differs in none is a repetition, and its delta is noise. The runs are one array value, from which each
+    run takes those that follow: a table of runs is as short as the list of experiments.
+    """
+    known = runs.select("run", "comparison", *knobs).join(metrics.select("run", "field_acc"), "run")
+    listed = known.agg(F.collect_list(F.struct("run", "comparison", "field_acc", *knobs)).alias("_all"))
+    pairs = (listed.select(F.explode("_all").alias("a"), "_all").select("a", F.explode("_all").alias("b"))
+             .where("a.run < b.run"))
+    differing = F.filter(F.array(*[F.when(~F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")), F.lit(k)) for k in knobs]),
+                         lambda k: k.isNotNull())
+    return pairs.select(
+        F.col("a.run").alias("run_a"), F.col("b.run").alias("run_b"),
+        F.array_join(F.array_sort(F.array_distinct(F.array("a.comparison", "b.comparison"))), ",").alias("comparisons"),
+        F.array_join(differing, ",").alias("differing_knobs"), F.size(differing).alias("n_differing"),
+        (F.col("b.field_acc") - F.col("a.field_acc")).alias("field_acc_delta"), (F.size(differing) > 1).alias("confounded"))

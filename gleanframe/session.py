@@ -7,7 +7,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def allow_duplicate_keys(spark: SparkSession) -> None:
@@ -19,12 +19,24 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path under a folder that driver and executors share.
 
     That folder is spark.checkpoint.dir, else spark.sql.warehouse.dir. Both are settings of
-    the cluster; no machine-local folder is made here.
+    the cluster; no machine-local folder is made here. The warehouse folder that Spark falls back to lies
+    on the driver's machine, so executors elsewhere need the setting.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir")
+        if root.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that driver and executors share, not {root}")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written once to the shared folder and read back: later readers compute nothing again."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Lets Python workers import this package wherever the driver found it.
 

@@ -104,6 +104,24 @@ def test_confounds(spark):
                    "null": ("model,source", True, round(1 / 36, 6))}
 
 
+def test_confounds_by_pairs(spark):
+    """Three epochs against five, in two comparisons: the pair tells which runs are muddied, and by what."""
+    m = metrics_frame(spark, a=10, b=20, c=10, d=21)
+    cfg = runs(spark, ("a", "size", "tuned", "zero", 14, "hand", 5), ("b", "source", "tuned", "zero", 14, "hand", 3),
+               ("c", "source", "tuned", "zero", 100, "synthetic", 3), ("d", "prompting", "tuned", "zero", 14, "hand", 3),
+               ("e", "prompting", "base", "zero", 0, None, 0))
+    knobs = ("model", "prompt", "train_rows", "source", "epochs")
+    got = {(r.run_a, r.run_b): (r.comparisons, r.differing_knobs, r.n_differing, round(r.field_acc_delta, 6), r.confounded)
+           for r in reports.confound_pairs(m, cfg, knobs).collect()}
+    assert got == {("a", "b"): ("size,source", "epochs", 1, round(10 / 36, 6), False),
+                   ("a", "c"): ("size,source", "train_rows,source,epochs", 3, 0.0, True),
+                   ("a", "d"): ("prompting,size", "epochs", 1, round(11 / 36, 6), False),
+                   ("b", "c"): ("source", "train_rows,source", 2, -round(10 / 36, 6), True),
+                   ("b", "d"): ("prompting,source", "", 0, round(1 / 36, 6), False),
+                   ("c", "d"): ("prompting,source", "train_rows,source", 2, round(11 / 36, 6), True)}
+    assert reports.confound_pairs(m, cfg.where("false"), knobs).count() == 0
+
+
 def test_field_accuracy(spark):
     gold = gold_frame(spark, [("1", "", labels(title="A")), ("2", "", labels(title="B"))])
     preds = preds_frame(spark, [("a", "1", '{"title": "A"}'), ("a", "2", '{"title": "A"}')])
