@@ -360,14 +360,21 @@ def n_words(x: str) -> str:
     return f"len(regexp_extract_all({x}, '[^ \\t\\n\\r]+'))"
 
 
-ORACLE["c5_length_budget"] = "WITH" + GOLD + "," + DEMOS + f""",
+LENGTHS = "WITH" + GOLD + "," + DEMOS + f""",
 block AS (SELECT sum({n_words('posting')} + {n_words('answer')}) AS n FROM demos),
 lengths AS (SELECT 'zero' AS prompt, {n_words(SYSTEM)} + {n_words('posting')} AS n FROM answers
-            UNION ALL SELECT 'few', {n_words(SYSTEM)} + {n_words('posting')} + block.n FROM answers, block)
+            UNION ALL SELECT 'few', {n_words(SYSTEM)} + {n_words('posting')} + block.n FROM answers, block)"""
+
+ORACLE["c5_length_budget"] = LENGTHS + """
 SELECT prompt, count(*) AS n_rows, count(*) FILTER (n > 1024) AS n_over, round(avg(n), 6) AS mean_words,
        round(quantile_cont(n::DOUBLE, 0.95), 6) AS p95_words, max(n)::BIGINT AS max_words
 FROM lengths GROUP BY prompt"""
 
+ORACLE["c5_length_sketches"] = LENGTHS + """
+SELECT prompt, count(*) AS n_rows, count(*) FILTER (n > 1024) AS n_over, round(avg(n), 6) AS mean_words,
+       max(n)::BIGINT AS max_words, true AS p95_is_near
+FROM lengths GROUP BY prompt"""
+
 # --- D -------------------------------------------------------------------------------------
 
 ORACLE["d1_slice_json"] = _PREDS + f"""
@@ -467,6 +474,8 @@ ORACLE["e3_score_rows"] = _COMPARED + "," + SCORED + """
 SELECT run, row_id, json_valid, scalar_correct, scalar_total, round(list_f1_sum, 6) AS list_f1_sum,
        list_count FROM scored"""
 
+ORACLE["e3_score_stored_rows"] = ORACLE["e3_score_rows"]
+
 ORACLE["e4_run_metrics"] = _METRICS + f"""
 SELECT run, n_rows, valid_rows, scalar_correct, scalar_total, list_count, {r6(*METRIC_NAMES)}
 FROM metrics"""
@@ -683,6 +692,22 @@ ORACLE["f9_coverage_audit"] = _SAMPLED + " " + " UNION ALL ".join(
     for f, values in CLOSED.items() for v in (*values, None))
 
 
+def _values(f: str) -> str:
+    if f in ("required_skills", "preferred_skills"):
+        return f"coalesce({f}, [])"
+    return f"CASE WHEN {f} IS NULL THEN [] ELSE [{f + '::BIGINT' if f.startswith(('salary_m', 'min_')) else f}::VARCHAR] END"
+
+
+ORACLE["f9_field_profile"] = _SAMPLED + ",\nlisted AS (" + " UNION ALL ".join(
+    f"SELECT '{f}' AS field, {_values(f)} AS items FROM sampled" for f in _JOB_FIELDS) + """),
+sizes AS (SELECT field, count(*) AS n_rows, count(*) FILTER (len(items) = 0) AS n_null FROM listed GROUP BY field),
+counted AS (SELECT field, v, count(*) AS n, row_number() OVER (PARTITION BY field ORDER BY count(*) DESC, v) AS place
+            FROM (SELECT field, unnest(items) AS v FROM listed) GROUP BY field, v),
+tops AS (SELECT field, count(*) AS n_distinct, string_agg(v || ':' || n, '|' ORDER BY place) FILTER (place <= 5) AS top FROM counted GROUP BY field)
+SELECT field, n_rows, n_null, round(n_null / n_rows::DOUBLE, 6) AS null_share, coalesce(n_distinct, 0) AS n_distinct, coalesce(top, '') AS top
+FROM sizes LEFT JOIN tops USING (field)"""
+
+
 def phrase_of(x: str) -> str:
     """A value or text as its tokens between blanks; numbers without grouping commas and trailing zeros."""
     found = rf"regexp_extract_all(lower({x}), '[0-9]+(?:[.,][0-9]+)+|[\p{{L}}\p{{N}}+#]+')"

@@ -13,7 +13,7 @@ from gleanframe.functions.json_text import labels_json
 from gleanframe.operators import chat, contamination, mix, parse, score, split, synth
 from gleanframe.plans import reports
 from gleanframe.session import shared_path
-from gleanframe.sources import predictions, records
+from gleanframe.sources import predictions, records, stored
 from gleanframe.spec import JOB_POSTING, LIST, STRING, RecordSpec
 
 SPEC = B.DOC_SPEC
@@ -219,16 +219,29 @@ def c4_loss_spans(spark, sf_dir):
     return spans.select("row_id", "n_chars", "target_chars", _digits("target_share"))
 
 
+def _prompt_lengths(spark, sf_dir):
+    gold = B.doc_gold(spark, sf_dir)
+    return chat.prompt_lengths(gold.select("row_id", "posting", "labels.lang"), SPEC,
+                               {"zero": None, "few": _demo_block(spark, sf_dir, gold)})
+
+
 @query
 def c5_length_budget(spark, sf_dir):
-    gold = B.doc_gold(spark, sf_dir)
-    zero = chat.prompts(gold.select("row_id", "posting"), SPEC)
-    few = chat.prompts(gold.select("row_id", "posting"), SPEC, _demo_block(spark, sf_dir, gold))
-    both = zero.withColumn("prompt", F.lit("zero")).unionByName(few.withColumn("prompt", F.lit("few")))
-    return chat.length_budget(both, 1024, "prompt").select(
+    return chat.length_budget(_prompt_lengths(spark, sf_dir), 1024, "prompt").select(
         "prompt", "n_rows", "n_over", _digits("mean_words"), _digits("p95_words"), "max_words")
 
 
+@query
+def c5_length_sketches(spark, sf_dir):
+    """Kept by language and merged: counts are exact, and the share of rows up to the estimated quantile is near it."""
+    lengths = _prompt_lengths(spark, sf_dir)
+    report = chat.length_report(chat.merge_length_sketches(chat.length_sketches(lengths, 1024, "prompt", "lang"), "prompt"))
+    upto = lengths.join(report.select("prompt", "p95_words"), "prompt").groupBy("prompt").agg(
+        F.avg((F.col("n_words") <= F.col("p95_words")).cast("double")).alias("share"))
+    return report.join(upto, "prompt").select("prompt", "n_rows", "n_over", _digits("mean_words"), "max_words",
+                                              (F.abs(F.col("share") - 0.95) < 0.02).alias("p95_is_near"))
+
+
 # --- D: parse and validate ----------------------------------------------------------------
 
 @query
@@ -337,6 +350,19 @@ def e3_score_rows(spark, sf_dir):
         "list_f1_sum", _digits("list_f1_sum"))
 
 
+def _stored(spark, sf_dir):
+    """Gold and answers as tables bucketed by row, replaced by the next call."""
+    gold, preds, runs = _inputs(spark, sf_dir)
+    return (stored.store_gold(gold.select("row_id", "labels"), "gleanframe_gold", 8, shared_path(spark, "gold")),
+            stored.store_answers(preds, "gleanframe_answers", 8, shared_path(spark, "answers")), runs)
+
+
+@query
+def e3_score_stored_rows(spark, sf_dir):
+    """As E3, over bucketed tables: without a shuffle by row."""
+    return score.score_rows(*_stored(spark, sf_dir), SPEC).withColumn("list_f1_sum", _digits("list_f1_sum"))
+
+
 @query
 def e4_run_metrics(spark, sf_dir):
     metrics, _ = _metrics(spark, sf_dir)
@@ -518,6 +544,15 @@ def f9_coverage_audit(spark, sf_dir):
     return synth.coverage_audit(_sampled(spark, sf_dir))
 
 
+@query
+def f9_field_profile(spark, sf_dir):
+    """Null rates, distinct and frequent values of all fields, from sketches of three parts of the table."""
+    parts = _sampled(spark, sf_dir).withColumn("part", F.col("row_id") % 3)
+    profile = synth.field_profile(synth.merge_field_sketches(synth.field_sketches(parts, by=["part"])))
+    return profile.withColumn("null_share", _digits("null_share")).withColumn(
+        "top", F.expr("array_join(transform(top, x -> concat(x.value, ':', x.n_rows)), '|')"))
+
+
 def _shares(audit):
     return audit.withColumns({c: _digits(c) for c in ("found_share", "clean_share")})
 

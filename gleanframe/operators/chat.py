@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from gleanframe.functions.json_text import labels_json
@@ -79,19 +81,62 @@ def loss_spans(chat: DataFrame) -> DataFrame:
     ).selectExpr("*", "try_divide(target_chars, n_chars) AS target_share")
 
 
+def _words(content: str) -> str:
+    return f"coalesce(size(filter(split({content}, '[ \\t\\n\\r]+'), w -> w != '')), 0)"
+
+
 def row_lengths(chat: DataFrame) -> DataFrame:
     """Adds `n_words`, the words of all turns of a row (not model tokens). Narrow."""
-    words = "size(filter(split(m.content, '[ \\t\\n\\r]+'), w -> w != ''))"
-    return chat.selectExpr("*", f"aggregate(messages, 0L, (n, m) -> n + coalesce({words}, 0)) AS n_words")
+    return chat.selectExpr("*", f"aggregate(messages, 0L, (n, m) -> n + greatest(0, {_words('m.content')})) AS n_words")
+
+
+def prompt_lengths(df: DataFrame, spec: RecordSpec, blocks: Mapping[str, DataFrame | None],
+                   system: str | None = None) -> DataFrame:
+    """Adds `prompt` and `n_words`, one row per row and prompt style: the lengths of C3's prompts without the prompts.
+
+    `blocks` has the demo block of each style, None for zero-shot. Lengths add up, so the system prompt and each
+    block are counted once and the text once for all styles.
+    """
+    fixed = df.sparkSession.range(1).selectExpr(f"{_words(_system(spec, system))} AS n").scalar()
+    own = df.withColumn("_own", F.expr(f"greatest(0, {_words(name(spec.text_column))})") + fixed)
+    styles = []
+    for style, block in blocks.items():
+        extra = F.lit(0) if block is None else row_lengths(block).agg(F.sum("n_words")).scalar()
+        styles.append(F.struct(F.lit(style).alias("prompt"), (F.col("_own") + extra).cast("long").alias("n_words")))
+    return own.withColumn("_s", F.explode(F.array(*styles))).select(*df.columns, "_s.*")
+
+
+def length_sketches(lengths: DataFrame, limit: int, *by: str) -> DataFrame:
+    """C5, to be kept: per value of `by` the rows, those over `limit`, all words, the largest length, and a
+    mergeable sketch of the lengths (KLL, of some kilobytes whatever it has seen)."""
+    return lengths.groupBy(*by).agg(
+        F.count("*").alias("n_rows"), F.count_if(F.col("n_words") > limit).alias("n_over"),
+        F.sum("n_words").alias("words"), F.max("n_words").alias("max_words"), F.kll_sketch_agg_bigint("n_words").alias("lengths"))
+
+
+def merge_length_sketches(sketches: DataFrame, *by: str) -> DataFrame:
+    """The sketches of days, shards or languages as those of the coarser `by`; no length is read again."""
+    return sketches.groupBy(*by).agg(
+        *[F.sum(c).alias(c) for c in ("n_rows", "n_over", "words")], F.max("max_words").alias("max_words"),
+        F.kll_merge_agg_bigint("lengths").alias("lengths"))
+
+
+def length_report(sketches: DataFrame, quantiles: Sequence[float] = (0.5, 0.95, 0.99)) -> DataFrame:
+    """Sketches as numbers: exact counts, mean and maximum, and the quantiles (within 2 % of their ranks)."""
+    others = [c for c in sketches.columns if c not in ("words", "lengths")]
+    return sketches.select(*others, F.try_divide("words", "n_rows").alias("mean_words"), *[
+        F.kll_sketch_get_quantile_bigint("lengths", F.lit(q)).alias(f"p{100 * q:g}_words") for q in quantiles])
 
 
 def length_budget(chat: DataFrame, limit: int, by: str) -> DataFrame:
     """Per value of `by` (a prompt style, say) the rows, those over `limit` words, and the
-    mean, 95th percentile and largest length. Rows over the limit are counted, never cut.
+    mean, 95th percentile and largest length. Rows over the limit are counted, never cut. Rows that have
+    their `n_words` already (`prompt_lengths`) are not counted again.
 
     The percentile is exact: Spark sums equal lengths before the shuffle.
     """
-    return row_lengths(chat).groupBy(by).agg(
+    lengths = chat if "n_words" in chat.columns else row_lengths(chat)
+    return lengths.groupBy(by).agg(
         F.count("*").alias("n_rows"), F.sum((F.col("n_words") > limit).cast("long")).alias("n_over"),
         F.avg("n_words").alias("mean_words"), F.percentile("n_words", F.lit(0.95)).alias("p95_words"),
         F.max("n_words").alias("max_words"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gleanframe.functions import extract as X
 from gleanframe.functions.json_text import json_value
@@ -46,15 +46,15 @@ def gold_columns(gold: DataFrame, spec: RecordSpec) -> DataFrame:
     return gold.selectExpr("row_id", *values, *sets)
 
 
-def compare_fields(gold: DataFrame, preds: DataFrame, spec: RecordSpec) -> DataFrame:
+def compare_fields(gold: DataFrame, preds: DataFrame, spec: RecordSpec, how: str = "inner") -> DataFrame:
     """Every stored answer beside its gold row.
 
     Per scalar `ok_f`, per list `f1_f`; `object` and `g_f` for reading failures. One equi-join on `row_id`, which is unique
     in gold; `preds` holds at most one answer per (run, row_id). No join hint: the
     optimizer broadcasts a side only under its size threshold, and otherwise
-    shuffles and splits skewed keys.
+    shuffles and splits skewed keys; tables bucketed by row_id (`sources.stored`) join where they lie.
     """
-    both = typed_predictions(preds, spec).join(gold_columns(gold, spec), "row_id")
+    both = typed_predictions(preds, spec).join(gold_columns(gold, spec), "row_id", how)
     flags = [f"json_valid AND NOT {_col('odd', f.name)} AND "
              f"{_col('p', f.name)} <=> {_col('g', f.name)} AS {_col('ok', f.name)}"
              for f in spec.scalars]
@@ -64,11 +64,11 @@ def compare_fields(gold: DataFrame, preds: DataFrame, spec: RecordSpec) -> DataF
                            *[_col("g", f.name) for f in spec.fields])
 
 
-def scored_answers(gold: DataFrame, preds: DataFrame, spec: RecordSpec) -> DataFrame:
+def scored_answers(gold: DataFrame, preds: DataFrame, spec: RecordSpec, how: str = "inner") -> DataFrame:
     """Five counts per stored answer; an unparseable one keeps its full denominators."""
     correct = " + ".join(f"cast({_col('ok', f.name)} AS int)" for f in spec.scalars) or "0"
     f1_sum = " + ".join(_col("f1", f.name) for f in spec.lists) or "0D"
-    return compare_fields(gold, preds, spec).selectExpr(
+    return compare_fields(gold, preds, spec, how).selectExpr(
         "run", "row_id", "cast(json_valid AS int) AS json_valid",
         f"{correct} AS scalar_correct", f"{len(spec.scalars)} AS scalar_total",
         f"{f1_sum} AS list_f1_sum", f"{len(spec.lists)} AS list_count")
@@ -100,26 +100,25 @@ def answer_check(gold: DataFrame, preds: DataFrame, runs: DataFrame) -> DataFram
         "run", *[F.coalesce(c, zero).alias(c) for c in ("n_answers", "repeated_answers", "stray_answers")])
 
 
-def absent_answers(gold: DataFrame, preds: DataFrame, runs: DataFrame) -> DataFrame:
-    """(run, row_id) of gold rows for which a listed run has no stored answer.
+def score_rows(gold: DataFrame, preds: DataFrame, runs: DataFrame, spec: RecordSpec) -> DataFrame:
+    """One row per (run, gold row); an absent answer scores as unparseable.
 
-    Only ids are shuffled, gold once and not once per run. The set per row holds at
-    most the compared runs and is built before the shuffle.
+    Gold keeps its rows in the join, and the first row of each row_id adds the listed runs that have no answer for it:
+    they are told within the partitions that the join has made. So answers and gold are shuffled once each, and
+    not at all if they are bucketed by row_id.
     """
-    answered = listed_answers(preds, runs).groupBy("row_id").agg(F.collect_set("run").alias("_answered"))
-    return (gold.select("row_id").join(answered, "row_id", "left")
-            .withColumn("_runs", _run_names(runs))
-            .selectExpr("explode(array_except(_runs, coalesce(_answered, array()))) AS run", "row_id"))
-
-
-def score_rows(gold: DataFrame, preds: DataFrame, runs: DataFrame, spec: RecordSpec) -> DataFrame:
-    """One row per (run, gold row); an absent answer scores as unparseable."""
-    listed = listed_answers(preds, runs)
-    absent = absent_answers(gold, listed, runs).selectExpr(
-        "run", "row_id", "0 AS json_valid", "0 AS scalar_correct",
-        f"{len(spec.scalars)} AS scalar_total", "0D AS list_f1_sum",
-        f"{len(spec.lists)} AS list_count")
-    return scored_answers(gold, listed, spec).unionByName(absent)
+    scored = scored_answers(gold, listed_answers(preds, runs), spec, "right")
+    of_row = Window.partitionBy("row_id").orderBy("run")
+    whole = of_row.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    told = scored.withColumns({"_answered": F.collect_set("run").over(whole), "_nth": F.row_number().over(of_row)})
+    numbers = [("json_valid", "0"), ("scalar_correct", "0"), ("scalar_total", str(len(spec.scalars))), ("list_f1_sum", "0D"),
+               ("list_count", str(len(spec.lists)))]
+    own = ", ".join(["run", *[n for n, _ in numbers]])
+    absent = ", ".join(["r AS run", *[f"{v} AS {n}" for n, v in numbers]])
+    rows = (f"concat(filter(array(struct({own})), x -> x.run IS NOT NULL), "
+            f"CASE WHEN _nth = 1 THEN transform(array_except(_runs, _answered), r -> struct({absent})) ELSE array() END)")
+    return (told.withColumn("_runs", _run_names(runs)).selectExpr("row_id", f"inline_outer({rows})").where("run IS NOT NULL")
+            .select("run", "row_id", *[n for n, _ in numbers]))
 
 
 def failures(gold: DataFrame, preds: DataFrame, spec: RecordSpec) -> DataFrame:

@@ -212,6 +212,55 @@ def coverage_audit(df: DataFrame, spec: RecordSpec = JOB_POSTING) -> DataFrame:
     return df.agg(*counts).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
+#: Values that a sketch of frequent ones tracks, and the size of one that counts distinct ones.
+_TRACKED, _LG_K = 1_000, 12
+
+
+def field_sketches(df: DataFrame, spec: RecordSpec = JOB_POSTING, by: Sequence[str] = ()) -> DataFrame:
+    """F9 for every field, open ones too: (*by, field, n_rows, n_null, distinct, frequent), to be kept and merged.
+
+    `n_rows` and `n_null` are exact; a null or empty list is null. `distinct` (HyperLogLog) and `frequent` are
+    sketches of the values as text, of a list's items one by one; their size does not grow with the table. One
+    aggregate by field: tasks sum before the shuffle, so a row of each field leaves a task.
+    """
+    none = "cast(array() AS array<string>)"
+    fields = []
+    for f in spec.fields:
+        value = name(f"labels.{f.name}")
+        text = value if f.kind != NUMBER else json_value(f.kind, value)
+        items = (f"coalesce(filter({value}, v -> v IS NOT NULL), {none})" if f.kind == LIST
+                 else f"CASE WHEN {value} IS NULL THEN {none} ELSE array({text}) END")
+        fields.append(f"struct({literal(f.name)} AS field, {items} AS items)")
+    each = (df.selectExpr(*map(name, by), f"inline_outer(array({', '.join(fields)}))")
+            .selectExpr(*map(name, by), "field", "posexplode_outer(items) AS (pos, value)"))
+    first, null = F.coalesce(F.col("pos"), F.lit(0)) == 0, F.col("pos").isNull()
+    return each.groupBy(*by, "field").agg(
+        F.count_if(first).alias("n_rows"), F.count_if(null).alias("n_null"), F.hll_sketch_agg("value", _LG_K).alias("distinct"),
+        F.expr(f"approx_top_k_accumulate(value, {_TRACKED})").alias("frequent"))
+
+
+def merge_field_sketches(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The sketches of parts of a table as those of the whole, or of the coarser `by`."""
+    return sketches.groupBy(*by, "field").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n_null").alias("n_null"), F.hll_union_agg("distinct").alias("distinct"),
+        F.expr(f"approx_top_k_combine(frequent, {_TRACKED})").alias("frequent"))
+
+
+def field_profile(sketches: DataFrame, k: int = 5) -> DataFrame:
+    """F9 as numbers: (..., field, n_rows, n_null, null_share, n_distinct, top), `top` the k most frequent values
+    with their counts, equal counts in the order of the values.
+
+    Counts of values are exact while a field has no more values than a sketch tracks.
+    """
+    others = [c for c in sketches.columns if c not in ("distinct", "frequent")]
+    found = F.expr(f"approx_top_k_estimate(frequent, {_TRACKED})")
+    ordered = F.expr("transform(array_sort(transform(filter(_found, x -> x.item IS NOT NULL), x -> struct(-x.count AS o, x.item AS item))), "
+                     "x -> struct(x.item AS value, -x.o AS n_rows))")
+    return (sketches.withColumn("_found", F.when(F.col("n_null") < F.col("n_rows"), found))
+            .select(*others, F.try_divide("n_null", "n_rows").alias("null_share"), F.hll_sketch_estimate("distinct").alias("n_distinct"),
+                    F.coalesce(F.slice(ordered, 1, k), F.expr("cast(array() AS array<struct<value:string,n_rows:bigint>>)")).alias("top")))
+
+
 #: What a text is cut into: numbers with points or commas inside, and runs of letters, digits, + and #.
 _TOKEN = r"'[0-9]+(?:[.,][0-9]+)+|[\\p{L}\\p{N}+#]+'"
 

@@ -1,0 +1,102 @@
+"""F9 of all fields and C5 lengths: sketches of parts, merged, against plain counts."""
+
+import random
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from gleanframe.operators import chat, synth
+from gleanframe.spec import JOB_POSTING, LIST
+from tests.jobs import RECORDS, gold_frame, labels
+
+FIELDS = {f.name: f for f in JOB_POSTING.fields}
+
+
+def _profile(sketches, **options):
+    return {r.field: r for r in synth.field_profile(sketches, **options).collect()}
+
+
+def _records(seed, n):
+    rng = random.Random(seed)
+    return [(str(i), "x", labels(
+        title=rng.choice("abcd"), company=rng.choice([None, "Acme", "Quill"]), salary_min=rng.choice([None, 10.0, 12.5]),
+        required_skills=[rng.choice(["Go", "R", None]) for _ in range(rng.randrange(3))])) for i in range(n)]
+
+
+def test_all_fields_are_counted_as_plain_python_counts(spark):
+    records = _records(1, 500)
+    frame = gold_frame(spark, records).withColumn("part", F.expr("cast(row_id AS int) % 4"))
+    whole = _profile(synth.field_sketches(frame), k=3)
+    parts = synth.field_sketches(frame, by=["part"])
+    merged = _profile(synth.merge_field_sketches(parts), k=3)
+    assert set(whole) == set(merged) == set(FIELDS) and parts.count() == 4 * len(FIELDS)
+    for name, f in FIELDS.items():
+        values = [r[2][name] for r in records]
+        items = [[v for v in x or [] if v is not None] if f.kind == LIST else [] if x is None else [x] for x in values]
+        counts = Counter(f"{v:g}" if isinstance(v, float) else v for x in items for v in x)
+        top = sorted(counts.items(), key=lambda c: (-c[1], c[0]))[:3]
+        for got in (whole[name], merged[name]):
+            assert (got.n_rows, got.n_null) == (500, sum(not x for x in items))
+            assert got.null_share == got.n_null / 500 and got.n_distinct == len(counts)
+            assert [(t.value, t.n_rows) for t in got.top] == top
+
+
+def test_many_values_stay_in_a_sketch_of_one_size(spark):
+    """100,000 companies, one of them on a third of all rows: it is found, and the rest is estimated."""
+    n = 100_000
+    frame = spark.range(n).selectExpr(
+        "id % 7 AS part", "named_struct(" + ", ".join(
+            f"'{f.name}', " + ("CASE WHEN id % 3 = 0 THEN 'Hot' ELSE concat('c', id) END" if f.name == "company" else
+                               "cast(NULL AS string)" if f.kind == "string" else "cast(NULL AS double)" if f.kind == "number"
+                               else "cast(NULL AS array<string>)") for f in JOB_POSTING.fields) + ") AS labels")
+    sketches = synth.field_sketches(frame, by=["part"])
+    assert sketches.agg(F.max(F.length("distinct"))).first()[0] < 10_000
+    got = _profile(synth.merge_field_sketches(sketches))
+    true = 1 + n - n // 3
+    assert abs(got["company"].n_distinct - true) < 0.06 * true
+    assert got["company"].top[0].value == "Hot" and abs(got["company"].top[0].n_rows - n / 3) < 0.01 * n
+    assert got["title"].null_share == 1.0 and got["title"].top == [] and got["title"].n_distinct == 0
+
+
+def test_an_empty_table_has_no_profile(spark):
+    empty = gold_frame(spark).where("false")
+    assert synth.field_profile(synth.field_sketches(empty)).count() == 0
+    assert chat.length_report(chat.length_sketches(empty.selectExpr("'a' AS prompt", "1L AS n_words"), 5, "prompt")).count() == 0
+
+
+# --- C5 ------------------------------------------------------------------------------------------
+
+def test_lengths_add_up_without_the_prompts(spark):
+    frame = gold_frame(spark, [*RECORDS, ("r3", None, labels(title="T")), ("r4", " two  words\n", labels(title="T"))])
+    block = chat.demo_block(frame.where("row_id IN ('r1', 'r2')").withColumn("rank", F.expr("cast(substring(row_id, 2) AS int)")), JOB_POSTING)
+    got = {(r.row_id, r.prompt): r.n_words for r in chat.prompt_lengths(
+        frame.select("row_id", "posting"), JOB_POSTING, {"zero": None, "few": block}).collect()}
+    want = {}
+    for style, b in (("zero", None), ("few", block)):
+        for r in chat.row_lengths(chat.prompts(frame.select("row_id", "posting"), JOB_POSTING, b)).collect():
+            want[r.row_id, style] = r.n_words
+    assert got == want and len(got) == 8
+    none = chat.prompt_lengths(frame.select("row_id", "posting"), JOB_POSTING, {"few": chat.demo_block(
+        frame.where("false").withColumn("rank", F.lit(1)), JOB_POSTING)}, system="")
+    assert {r.row_id: r.n_words for r in none.collect()} == {"r1": 5, "r2": 3, "r3": 0, "r4": 2}
+
+
+def test_length_sketches_merge_to_exact_counts_and_near_quantiles(spark):
+    lengths = spark.range(30_000).selectExpr("id % 5 AS part", "'p' AS prompt", "cast(pow(xxhash64(id) % 1000 / 1000D, 2) * 4000 AS bigint) AS n_words")
+    sketches = chat.length_sketches(lengths, 1024, "prompt", "part")
+    assert sketches.count() == 5 and sketches.agg(F.max(F.length("lengths"))).first()[0] < 10_000
+    r, = chat.length_report(chat.merge_length_sketches(sketches, "prompt"), (0.5, 0.95)).collect()
+    exact, = chat.length_budget(lengths, 1024, "prompt").collect()
+    assert (r.n_rows, r.n_over, r.max_words) == (exact.n_rows, exact.n_over, exact.max_words)
+    assert abs(r.mean_words - exact.mean_words) < 1e-9
+    for q, value in ((0.5, r.p50_words), (0.95, r.p95_words)):
+        share = lengths.agg(F.avg((F.col("n_words") <= value).cast("double"))).first()[0]
+        assert abs(share - q) < 0.02
+
+
+def test_the_block_is_counted_once(spark):
+    """One scalar each for the system prompt and the block; the rows split their own text only."""
+    frame = gold_frame(spark)
+    block = chat.demo_block(frame.withColumn("rank", F.lit(1)), JOB_POSTING)
+    plan = chat.prompt_lengths(frame.select("row_id", "posting"), JOB_POSTING, {"zero": None, "few": block})._jdf.queryExecution().analyzed().toString()
+    assert plan.count("split(posting") == 1 and plan.count("split(lambda") == 1
