@@ -4,13 +4,11 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
 from checks import testbed as B
+from checks.queries import QUERIES
 from gleanframe.operators import score, split, synth
 from gleanframe.plans import reports
 
-QUERIES = entry.queries()
-
 
 def plan(df, which="executedPlan"):
     return getattr(df._jdf.queryExecution(), which)().toString()
@@ -20,7 +18,7 @@ def plan(df, which="executedPlan"):
 def test_no_python_and_no_cross_join(spark, sf_dir, name):
     text = plan(QUERIES[name](spark, sf_dir))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduct",
-                "BroadcastNestedLoopJoin", "MapInPandas"):
+                "BroadcastNestedLoopJoin", "MapInPandas", "MapInArrow", "FlatMapGroups", "FlatMapCoGroups"):
         assert bad not in text, bad
 
 
