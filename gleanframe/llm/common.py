@@ -188,19 +188,28 @@ def column(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, most: int, columns: list[str],
-                    within: str = "true") -> DataFrame:
-    """At most `most` labelled rows of each value of `within`, chosen by a hash of doc_id.
-
-    The result has doc_id, text (and lang, where docs has it) and `columns`. The bound is on
-    what a model is fitted to; everything else covers all rows. A doc_id with several labels
-    takes the largest of each. The chosen labels are few by that bound, which bounds their
-    broadcast. `within` is an SQL condition, so it has two values at most.
+#: Bytes of a text that a model may be fitted to at most, so that a sample has a bound in bytes too.
+LONGEST_SAMPLED = 32_768
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, most: int, columns: list[str], within: str = "true",
+                    longest: int = LONGEST_SAMPLED) -> DataFrame:
+    """At most `most` labelled rows of each value of `within`, one per doc_id, chosen by a hash of doc_id.
+
+    The result has doc_id, text (and lang, where docs has it) and `columns`: at most `most` rows a value of `within`
+    and `longest` bytes a row, whatever the tables hold; longer texts are left out of the sample. The bound
+    is on what a model is fitted to; everything else covers all rows. A doc_id with several labels takes the largest of
+    each, one with several texts that of the least hash. The chosen labels are few by that bound, which
+    bounds their broadcast. `within` is an SQL condition, so it has two values at most.
     """
     usable = labels.dropna(subset=["doc_id", *columns])
     one = usable.groupBy("doc_id").agg(*[F.max(c).alias(c) for c in columns])
     parts = [one.where(f"({within}) = {side}").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
              for side in (["true"] if within == "true" else ["true", "false"])]
     chosen = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return (docs.select("doc_id", *[c for c in docs.columns if c in ("text", "lang")])
-            .join(F.broadcast(chosen), "doc_id"))
+    own = [c for c in docs.columns if c in ("text", "lang")]
+    texts = docs.select("doc_id", *own).where(F.octet_length(F.coalesce("text", F.lit(""))) <= longest)
+    # Tasks keep one row of a doc_id before anything is shuffled, however often it comes.
+    return (texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", *columns)
+            .agg(F.min(F.struct(F.xxhash64(*own).alias("_h"), *own)).alias("_m"))
+            .select("doc_id", *[f"_m.{c}" for c in own], *columns))

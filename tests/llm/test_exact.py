@@ -1,7 +1,9 @@
 """Operators against brute force over whole small tables."""
 
+import math
 import random
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -256,10 +258,84 @@ def test_base_scores_and_held_out_fold(small):
         assert np.isfinite(r.score) and r.score < 0
 
 
+def _plain_tree(rows):
+    """{doc_id: score} by dictionaries: the tree of the training rows, token by token."""
+    S = suffix_tree
+    texts = {i: [*brute.lowered(t), None] for i, t in rows}
+    training = [ts for i, ts in texts.items() if brute.fold_of(i, 10)]
+    words = Counter(w for ts in training for w in ts)
+    tokens = sum(words.values())
+    head = {w for w, n in words.items() if w is not None and n >= S.HEAD_SHARE * tokens}
+    kind = lambda w: "end" if w is None else w if w in head else "other"                     # noqa: E731
+    tail = sum(n for w, n in words.items() if kind(w) == "other")
+    once = sum(n == 1 and w is not None for w, n in words.items())
+    new = (once + 0.5) / (tail + 1) if tail else 1.0
+    symbols = {"end": words[None], "other": tail, **{w: words[w] for w in head}}
+    bottom = sum(symbols.values()) + 0.5 * len(symbols)
+    follow = [defaultdict(Counter) for _ in range(S.DEPTH + 1)]
+    line = lambda ts: ["start"] * S.DEPTH + [kind(w) for w in ts]                            # noqa: E731
+    for ts in training:
+        s = line(ts)
+        for i in range(S.DEPTH, len(s)):
+            for d in range(S.DEPTH + 1):
+                follow[d][tuple(s[i - d:i])][s[i]] += 1
+    least = max(S.LEAST_RUN, S.RUN_SHARE * tokens)
+    follow = [{c: {k: n for k, n in m.items() if n >= least} for c, m in f.items()} for f in follow]
+    states = []
+    for d in range(1, S.DEPTH + 1):
+        kept = {}
+        for c, m in follow[d].items():
+            total, shorter = sum(m.values()), follow[d - 1][c[1:]]
+            gain = sum(n * math.log(n / total / (shorter[k] / sum(shorter.values()))) for k, n in m.items())
+            if m and gain >= S.LEAST_GAIN + S.LEAST_EACH * len(m) and gain >= S.LEAST_DIVERGENCE * total:
+                kept[c] = m
+        states.append(kept)
+
+    def probability(context, k):
+        p = (symbols[k] + 0.5) / bottom
+        for d in range(1, S.DEPTH + 1):
+            m = states[d - 1].get(tuple(context[len(context) - d:]))
+            if m is not None:
+                weight = S.SMOOTHING + S.NOVELTY * len(m)
+                p = (m.get(k, 0) + weight * p) / (sum(m.values()) + weight)
+        return p
+
+    out = {}
+    for i, ts in texts.items():
+        s, total = line(ts), 0.0
+        for at, w in enumerate(ts):
+            p = probability(s[at:at + S.DEPTH], s[at + S.DEPTH])
+            if s[at + S.DEPTH] == "other":
+                p *= (1 - new) * words[w] / tail if words[w] else new
+            total += math.log10(p)
+        out[i] = total
+    return out, [len(k) for k in states]
+
+
+def test_states_and_scores_are_those_of_a_plain_tree(small):
+    docs, rows, _, _ = small
+    want, sizes = _plain_tree(rows)
+    model, counts = suffix_tree.fit(docs)
+    assert [len(s) for s in model.states] == sizes and min(sizes) > 0
+    for r in suffix_tree.score(docs, model, counts).collect():
+        assert r.score == pytest.approx(want[r.doc_id], rel=1e-9)
+
+
+def test_the_tree_scores_held_out_texts_better_than_the_base(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    made = suffix_tree.score(docs, *suffix_tree.fit(docs)).where("held_out").agg({"score": "sum", "base_score": "sum"}).first()
+    assert made["sum(score)"] > 0.9 * made["sum(base_score)"]
+
+
 def test_tree_probabilities_add_up_and_follow_contexts(spark):
-    rows = [(i, "abab cdcd " * 40) for i in range(60)]
-    model, _ = suffix_tree.fit(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert np.allclose((10.0 ** model.table.astype(float)).sum(1), 1, atol=1e-5)
-    assert sum(map(len, model.states)) > 0
-    usual, odd = model.spelled([[b"abab"], [b"acda"]]).reshape(2, 2)[:, 0]
-    assert usual > odd + 3
+    rows = [(i, "one two three two one four " * 20 + f"rare{i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model, counts = suffix_tree.fit(docs)
+    symbols = np.arange(len(model.head.words) + suffix_tree.FIRST)
+    assert len(model.states[0]) and np.isclose(model.head.root().sum(), 1)
+    for context in (0, *model.states[0].tolist(), *model.states[1].tolist()):
+        code = np.full(len(symbols), context, np.int64) << suffix_tree.BITS | symbols
+        assert np.isclose(model.probabilities(code, symbols).sum(), 1)
+    texts = spark.createDataFrame([(1, "one two three"), (2, "one three two"), (3, "one two zzz")], docs.schema)
+    usual, odd, new = [r.score for r in suffix_tree.score(texts, model, counts).orderBy("doc_id").collect()]
+    assert usual > odd and usual > new

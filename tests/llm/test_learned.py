@@ -86,3 +86,22 @@ def test_pipeline_by_brute_force(spark, sf_dir, small):
     packed = steps["packing"](spark, clean, sf_dir)
     assert ids(packed) == ids(clean)
     assert ids(corpus_pipeline.run(spark, sf_dir)) == ids(clean)
+
+
+def test_a_sample_is_bounded_in_rows_and_bytes(spark):
+    """20,000 rows of one labelled id, and a text beyond the bound: one row of each id, and no long one."""
+    from gleanframe.llm.common import labelled_sample
+
+    copies = spark.range(20_000).selectExpr("5L AS doc_id", "concat('text ', id) AS text", "'en' AS lang", "'x' AS start")
+    more = spark.createDataFrame([(i, "x" * (40_000 if i == 7 else i), None, None) for i in range(30) if i != 5],
+                                 "doc_id long, text string, lang string, start string")
+    labels = spark.createDataFrame([(i, i % 2, 1) for i in range(30)] + [(5, 0, 0)], "doc_id long, toxic int, quality int")
+    got = labelled_sample(copies.unionByName(more), labels, 10, ["toxic"], "toxic > 0")
+    rows = got.collect()
+    assert got.columns == ["doc_id", "text", "lang", "toxic"]
+    assert len(rows) == len({r.doc_id for r in rows}) <= 20 and all(len(r.text) <= 32_768 for r in rows)
+    assert sum(r.toxic for r in rows) <= 10
+    again = labelled_sample(copies.repartition(7).unionByName(more), labels, 10, ["toxic"], "toxic > 0").collect()
+    assert sorted(map(str, rows)) == sorted(map(str, again))
+    everything = labelled_sample(copies.unionByName(more), labels, 100, ["quality"])
+    assert everything.count() == 29
