@@ -30,43 +30,103 @@ BASE_PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
-#: Wording of public licenses and notices as templates (fixed values).
+_SOFTWARE = "<<var:3=the software|this software|the program>>"
+_PARTY = "<<var:12>>"
+_BSD_TERMS = (
+    "redistribution and use in source and binary forms with or without modification are permitted "
+    "provided that the following conditions are met <<beginOptional>>1<<endOptional>> redistributions of source code "
+    "must retain the above copyright notice this list of conditions and the following disclaimer "
+    "<<beginOptional>>2<<endOptional>> redistributions in binary form must reproduce the above copyright notice this "
+    "list of conditions and the following disclaimer in the documentation and or other materials provided with the "
+    "distribution ")
+_BSD_NAMES = (
+    "<<beginOptional>>3<<endOptional>> neither the name of " + _PARTY + " nor the names of "
+    "<<var:3=its contributors|the contributors|contributors|other contributors>> may be used to endorse or promote "
+    "products derived from this software without specific prior written permission ")
+_BSD_DISCLAIMER = (
+    "this software is provided by " + _PARTY + " as is and any express or implied warranties including but not limited "
+    "to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall "
+    + _PARTY + " be liable for any direct indirect incidental special exemplary or consequential damages including but "
+    "not limited to procurement of substitute goods or services loss of use data or profits or business interruption "
+    "however caused and on any theory of liability whether in contract strict liability or tort including negligence or "
+    "otherwise arising in any way out of the use of this software even if advised of the possibility of such damage")
+_GNU_NOTICE = (
+    "you can redistribute it and or modify it under the terms of the gnu {name} <<beginOptional>>version <<var:2={versions}>>"
+    "<<endOptional>> as published by the free software foundation <<beginOptional>><<beginOptional>>either<<endOptional>> "
+    "version <<var:2={versions}>> of the license <<beginOptional>>or <<beginOptional>>at your option<<endOptional>> any later "
+    "version<<endOptional>><<endOptional>>")
+_CC = "creative commons {name} <<var:2=4 0|3 0|2 5|2 0|1 0>> <<beginOptional>><<var:1=international|unported|generic>><<endOptional>>"
+
+#: Wording of public licenses, their headers and mentions as templates (fixed values).
 TEMPLATES = {
-    "mit-grant": (
+    "mit": (
         "mit",
         "permission is hereby granted free of charge to any person obtaining a copy of this software "
-        "and associated documentation files <<beginOptional>>the software<<endOptional>> to deal in "
-        "<<var:2=the software|this software>> without restriction including without limitation the rights to use copy "
-        "modify merge publish distribute sublicense and or sell copies of <<var:2=the software|this software>>"),
+        "and associated documentation files <<beginOptional>>the software<<endOptional>> to deal in " + _SOFTWARE +
+        " without restriction including without limitation the rights to use copy modify merge publish distribute "
+        "sublicense and or sell copies of " + _SOFTWARE + " and to permit persons to whom " + _SOFTWARE + " is furnished "
+        "to do so subject to the following conditions the above copyright notice and this permission notice "
+        "<<beginOptional>>including the next paragraph<<endOptional>> shall be included in all copies or substantial "
+        "portions of " + _SOFTWARE + " " + _SOFTWARE + " is provided as is without warranty of any kind express or implied "
+        "including but not limited to the warranties of merchantability fitness for a particular purpose and "
+        "<<var:2=noninfringement|non infringement>> in no event shall " + _PARTY + " be liable for any claim damages or "
+        "other liability whether in an action of contract tort or otherwise arising from out of or in connection with "
+        + _SOFTWARE + " or the use or other dealings in " + _SOFTWARE),
+    "bsd-2": ("bsd-2", _BSD_TERMS + _BSD_DISCLAIMER),
+    "bsd-3": ("bsd-3", _BSD_TERMS + _BSD_NAMES + _BSD_DISCLAIMER),
+    "isc": (
+        "isc",
+        "permission to use copy modify <<var:2=and or|and>> distribute this software for any purpose with or without "
+        "fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies "
+        "the software is provided as is and " + _PARTY + " disclaims all warranties with regard to this software including "
+        "all implied warranties of merchantability and fitness in no event shall " + _PARTY + " be liable for any special "
+        "direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits "
+        "whether in an action of contract negligence or other tortious action arising out of or in connection with the use "
+        "or performance of this software"),
+    "apache-header": (
+        "apache-2",
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with "
+        "the license you may obtain a copy of the license at <<var:1=http|https>> www apache org licenses license 2 0 "
+        "unless required by applicable law or agreed to in writing software distributed under the license is distributed "
+        "on an as is basis without warranties or conditions of any kind either express or implied see the license for the "
+        "specific language governing permissions and limitations under the license"),
+    "mpl-header": (
+        "mpl-2",
+        "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not "
+        "distributed with this file you can obtain one at <<var:1=http|https>> <<beginOptional>>www<<endOptional>> mozilla org mpl 2 0"),
+    "gpl-header": ("gpl", _GNU_NOTICE.format(name="general public license", versions="2|3|2 0|3 0")),
+    "lgpl-header": ("lgpl", _GNU_NOTICE.format(name="<<var:1=lesser|library>> general public license", versions="2|2 1|3|2 0|3 0")),
+    "agpl-header": ("agpl", _GNU_NOTICE.format(name="affero general public license", versions="3|3 0")),
+    "gpl-title": ("gpl", "gnu general public license <<var:2=version|v>> <<var:2=2|3|2 0|3 0>>"),
+    "lgpl-title": ("lgpl", "gnu <<var:1=lesser|library>> general public license <<var:2=version|v>> <<var:2=2|2 1|3|2 0|3 0>>"),
+    "agpl-title": ("agpl", "gnu affero general public license <<var:2=version|v>> <<var:2=3|3 0>>"),
+    "apache-title": ("apache-2", "apache license version 2 0 january 2004"),
+    "cc-by-nc": ("cc-by-nc", _CC.format(name="<<var:3=attribution noncommercial|attribution non commercial>>")),
+    "cc-by-nc-sa": ("cc-by-nc-sa", _CC.format(name="<<var:3=attribution noncommercial|attribution non commercial>> <<var:2=sharealike|share alike>>")),
+    "cc-by-sa": ("cc-by-sa", _CC.format(name="attribution <<var:2=sharealike|share alike>>")),
+    "cc-by": ("cc-by", _CC.format(name="attribution")),
     "mit-mention": (
         "mit", "<<var:1=released|licensed|distributed|available>> under the <<beginOptional>>terms of the"
                "<<endOptional>> mit license"),
-    "apache-notice": (
+    "apache-mention": (
         "apache-2",
-        "licensed under the apache license version 2 <<beginOptional>>0<<endOptional>> <<beginOptional>>"
-        "the license<<endOptional>>"),
+        "<<var:1=released|licensed|distributed|available>> under the <<beginOptional>>terms of the<<endOptional>> "
+        "apache license version 2 <<beginOptional>>0<<endOptional>>"),
     "cc-by-nc-mention": (
         "cc-by-nc",
-        "<<var:1=licensed|released|available>> under <<beginOptional>>a<<endOptional>> "
-        "<<var:2=cc|creative commons>> <<var:2=by nc|attribution noncommercial>> "
-        "<<beginOptional>>4 0<<endOptional>>"),
+        "<<var:1=licensed|released|available>> under <<beginOptional>><<var:1=a|the>><<endOptional>> "
+        "<<var:2=cc|creative commons>> <<var:3=by nc|attribution noncommercial|attribution non commercial>> "
+        "<<var:2=4 0|3 0|license>>"),
     "gpl-mention": (
         "gpl",
-        "<<beginOptional>>this work is<<endOptional>> licensed under the <<beginOptional>>terms of the"
+        "<<var:1=released|licensed|distributed|available>> under the <<beginOptional>>terms of the"
         "<<endOptional>> gnu general public license <<beginOptional>>version <<var:1=2|3>><<endOptional>>"),
-    "bsd-grant": (
-        "bsd",
-        "redistribution and use in source and binary forms with or without modification are permitted "
-        "provided that the following conditions are met"),
-    "isc-grant": (
-        "isc",
-        "permission to use copy modify and or distribute this software for any purpose with or without "
-        "fee is hereby granted provided that the above copyright notice and this permission notice appear "
-        "in all copies"),
-    "mpl-notice": (
-        "mpl-2",
-        "this source code form is subject to the terms of the mozilla public license v 2 0"),
 }
+#: Identifiers of SPDX lines and the labels they give (fixed values).
+SPDX = {"mit": "mit", "isc": "isc", "bsd 2 clause": "bsd-2", "bsd 3 clause": "bsd-3", "apache 2 0": "apache-2", "mpl 2 0": "mpl-2",
+        "gpl 2 0": "gpl", "gpl 3 0": "gpl", "lgpl 2 1": "lgpl", "lgpl 3 0": "lgpl", "agpl 3 0": "agpl",
+        "cc by 4 0": "cc-by", "cc by sa 4 0": "cc-by-sa", "cc by nc 4 0": "cc-by-nc", "cc by nc sa 4 0": "cc-by-nc-sa"}
+TEMPLATES |= {f"spdx {name}": (label, f"spdx license identifier {name}") for name, label in SPDX.items()}
 TEMPLATES |= {f"base {phrase}": (label, phrase) for phrase, label in BASE_PHRASES.items()}
 
 _MARK = re.compile(r"<<(.*?)>>", re.S)
@@ -83,6 +143,7 @@ class Automaton:
     moves: list[dict[bytes, tuple[int, ...]]] = field(default_factory=list)
     other: list[tuple[int, ...]] = field(default_factory=list)
     loose: set[int] = field(default_factory=set)       # states entered by words of a free region
+    least: int = 0                                     # words of the shortest text that it accepts
 
     @property
     def first_words(self) -> set[bytes]:
@@ -90,7 +151,12 @@ class Automaton:
 
     def match(self, words: list[bytes], at: int) -> tuple[int, float] | None:
         """The longest match from `at`: its end, and the share of its words that the template fixes."""
-        live, best = {s: 0 for s in self.starts}, None
+        return self.read(words, at)[0]
+
+    def read(self, words: list[bytes], at: int) -> tuple[tuple[int, float] | None, int]:
+        """The longest match from `at`, and the fixed words of the template that stand there one after the other, whether or
+        not it matches."""
+        live, best, read = {s: 0 for s in self.starts}, None, 0
         for i in range(at, len(words)):
             after: dict[int, int] = {}
             for state, free in live.items():
@@ -101,10 +167,11 @@ class Automaton:
             if not after:
                 break
             live = after
+            read = i + 1 - at - min(live.values())
             done = [n for s, n in live.items() if s in self.accept]
             if done:
                 best = i + 1, 1 - min(done) / (i + 1 - at)
-        return best
+        return best, read
 
 
 def compile_template(text: str, label: str = "", base: bool = False) -> Automaton:
@@ -169,6 +236,14 @@ def compile_template(text: str, label: str = "", base: bool = False) -> Automato
 
     near = [closure(s) for s in range(len(empty))]
     made = Automaton(label, base, frozenset([begin]), loose=loose)
+    distance, todo = {t: 0 for t in near[begin]}, list(near[begin])
+    for s in todo:                                     # every step reads one word: nearest states first
+        for a, _, b in steps:
+            for t in near[b] if a == s else ():
+                if t not in distance:
+                    distance[t] = distance[s] + 1
+                    todo.append(t)
+    made.least = distance[at]
     for s in range(len(empty)):
         words: dict[bytes, set[int]] = {}
         free: set[int] = set()
@@ -189,8 +264,13 @@ def automata(templates: tuple[tuple[str, str, bool], ...]) -> tuple[Automaton, .
     return tuple(compile_template(text, label, base) for label, text, base in templates)
 
 
-def find(words: list[bytes], compiled: tuple[Automaton, ...]) -> list[tuple[Automaton, int, int, float]]:
-    """(automaton, first word, end, share of fixed words) of every place, by first word.
+#: Fixed words of a template that must stand one after the other for its beginning to count as a part of it.
+LEAST_PART = 8
+
+
+def find(words: list[bytes], compiled: tuple[Automaton, ...]) -> tuple[list[tuple[Automaton, int, int, float]], float]:
+    """(automaton, first word, end, share of fixed words) of every place, by first word; and the largest part of a
+    template, below 1, whose beginning stands somewhere without the rest.
 
     Only words that can begin a template are tried, so the time is linear in the text.
     """
@@ -198,20 +278,27 @@ def find(words: list[bytes], compiled: tuple[Automaton, ...]) -> list[tuple[Auto
     for a in compiled:
         for w in a.first_words:
             by_word.setdefault(w, []).append(a)
+    found: list[tuple[Automaton, int, int, float]] = []
     if by_word.keys().isdisjoint(words):
-        return []
-    found = []
+        return found, 0.0
+    part = 0.0
     for at, word in enumerate(words):
         for a in by_word.get(word, ()):
-            if hit := a.match(words, at):
+            hit, read = a.read(words, at)
+            if hit:
                 found.append((a, at, *hit))
-    return found
+            elif read >= LEAST_PART:
+                part = max(part, min(0.99, read / max(a.least, 1)))
+    return found, part
 
 
 def scan(docs: DataFrame, templates: dict[str, tuple[str, str]] | None = None) -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels,
-    score (share of fixed words in the best match; 0 without one), n_matches.
+    score, n_matches.
 
+    A label needs all mandatory wording of a template, in order and exactly. The score is the share of
+    fixed words in the best match; without a match, the part of a template (below 1) whose beginning stands in the
+    text before the wording departs from it, from LEAST_PART words on; else 0.
     `templates` maps a name to (label, template); names that start with "base " count as base.
     Null and empty texts have no words and no labels. Each row is scanned by itself, whole, so
     repeated rows, ties and hot sources need nothing special. Other columns are not read.
@@ -226,7 +313,7 @@ def scan(docs: DataFrame, templates: dict[str, tuple[str, str]] | None = None) -
                                "score", "n_matches")}
         for text in column(batch, "_text"):
             words = folded_words(text)
-            found = find(words, compiled)
+            found, part = find(words, compiled)
             base = [at for a, at, _, _ in found if a.base]
             out["n_words"].append(len(words))
             out["n_base"].append(len(base))
@@ -234,7 +321,7 @@ def scan(docs: DataFrame, templates: dict[str, tuple[str, str]] | None = None) -
             out["last_word"].append(max(base, default=None))
             out["base_labels"].append(",".join(sorted({a.label for a, *_ in found if a.base})))
             out["labels"].append(",".join(sorted({a.label for a, *_ in found})))
-            out["score"].append(float(np.clip(max((s for *_, s in found), default=0.0), 0, 1)))
+            out["score"].append(float(np.clip(max((s for *_, s in found), default=part), 0, 1)))
             out["n_matches"].append(len(found))
         return {"doc_id": batch.column(0), **out}
 

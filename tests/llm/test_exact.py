@@ -91,6 +91,111 @@ def test_templates():
             licenses.compile_template(wrong)
 
 
+def _as_regex(template):
+    """The template as a pattern over blank-joined words, each with a blank after it."""
+    import re
+
+    out = []
+    for i, part in enumerate(re.split("<<(.*?)>>", template)):
+        if i % 2 == 0:
+            out += [re.escape(w) + " " for w in part.split()]
+        elif part == "beginOptional":
+            out.append("(?:")
+        elif part == "endOptional":
+            out.append(")?")
+        elif "=" in part:
+            out.append("(?:" + "|".join(re.escape(" ".join(c.split())) + " " for c in part.split("=", 1)[1].split("|")) + ")")
+        else:
+            out.append("(?:[^ ]+ ){0,%s}" % part.split(":")[1])
+    return "".join(out)
+
+
+def _spoken(template, r):
+    """A text that the template accepts, its choices drawn."""
+    import re
+
+    words, skip = [], []
+    for i, part in enumerate(re.split("<<(.*?)>>", template)):
+        if part == "beginOptional":
+            skip.append(r.random() < 0.5)
+        elif part == "endOptional":
+            skip.pop()
+        elif any(skip):
+            continue
+        elif i % 2 == 0:
+            words += part.split()
+        elif "=" in part:
+            words += r.choice(part.split("=", 1)[1].split("|")).split()
+        else:
+            words += [f"name{k}" for k in range(r.randrange(int(part.split(":")[1]) + 1))]
+    return words
+
+
+def test_templates_accept_what_their_pattern_accepts():
+    """Every template on texts that it accepts, and on the same with a word dropped, changed or repeated."""
+    import regex
+
+    r = random.Random(8)
+    for name, (label, template) in licenses.TEMPLATES.items():
+        a = licenses.compile_template(template, label)
+        pattern = regex.compile(_as_regex(template))
+        accepted = 0
+        for k in range(12):
+            words = _spoken(template, r)
+            assert a.match([w.encode() for w in words], 0)[0] == len(words)
+            assert a.least <= len(words)
+            if k % 3:
+                at = r.randrange(len(words))
+                words = [words[:at] + words[at + 1:], words[:at] + ["odd"] + words[at + 1:], words[:at + 1] + words[at:]][r.randrange(3)]
+            line = "".join(w + " " for w in words) + "after it "
+            # The longest match of the pattern from the first word, as the automaton reports it.
+            longest = max((m.end() for stop in range(len(line) + 1) if line[:stop].endswith(" ")
+                           for m in [pattern.fullmatch(line, 0, stop)] if m), default=None)
+            got = a.match(line.encode().split(), 0)
+            assert (None if got is None else got[0]) == (None if longest is None else line[:longest].count(" ")), (name, line)
+            accepted += got is not None
+        assert accepted >= 4
+
+
+MIT = licenses.TEMPLATES["mit"][1]
+
+
+def _scanned(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [(r.labels, r.score) for r in licenses.scan(df).orderBy("doc_id").collect()]
+
+
+def test_whole_licenses_need_their_whole_wording(spark):
+    whole = " ".join(_spoken(MIT, random.Random(1)))
+    military = whole[:whole.index("subject to the following")] + "for military use only"
+    changed = whole.replace("without warranty of any", "with warranty of any")
+    bsd = {n: " ".join(_spoken(licenses.TEMPLATES[n][1], random.Random(2))) for n in ("bsd-2", "bsd-3")}
+    got = _scanned(spark, [whole, military, changed, "Permission is hereby granted.", bsd["bsd-2"], bsd["bsd-3"], "x " + whole + " y " + bsd["bsd-2"]])
+    assert got[0][0] == "mit" and got[0][1] > 0.9
+    for label, score in got[1:3]:
+        assert label == "" and 0 < score < 1
+    assert got[3] == ("", 0.0)
+    assert [g[0] for g in got[4:]] == ["bsd-2", "bsd-3", "bsd-2,mit"]
+
+
+@pytest.mark.parametrize("text, labels", [
+    ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+     "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "gpl"),
+    ("you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free "
+     "Software Foundation; either version 2.1 of the License", "lgpl"),
+    ("GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007", "gpl"),
+    ("GNU LESSER GENERAL PUBLIC LICENSE Version 3", "lgpl"),
+    ("Creative Commons Attribution-NonCommercial 4.0 International", "cc-by-nc"),
+    ("Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International", "cc-by-nc-sa"),
+    ("Creative Commons Attribution 4.0 International Public License", "cc-by"),
+    ("# SPDX-License-Identifier: Apache-2.0", "apache-2"), ("// SPDX-License-Identifier: GPL-2.0-only", "gpl"),
+    ("released under the MIT license", "mit"), ("Licensed under the Apache License, Version 2.0", "apache-2"),
+    ("This work is licensed under CC BY-NC 4.0", "cc-by-nc"), ("the general public has a license", ""),
+])
+def test_headers_titles_and_mentions(spark, text, labels):
+    assert _scanned(spark, [text])[0][0] == labels
+
+
 # --- Jaccard join ----------------------------------------------------------------------------
 
 def near_copies(n, words, changes, seed):
