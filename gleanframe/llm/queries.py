@@ -186,3 +186,41 @@ chain AS (
 ends AS (SELECT word, arg_max(last, k) AS root FROM chain GROUP BY word)
 SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
 """
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE["op3_ngram_jaccard"] = rf"""
+WITH RECURSIVE worded AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(list_slice(w, i, i + 3), ' ')) END)) AS s
+  FROM worded),
+grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM grams a JOIN grams b ON a.g = b.g
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach AS (SELECT doc_id, doc_id AS other FROM sets UNION SELECT r.doc_id, p.b FROM reach r JOIN pairs p ON p.a = r.other),
+classes AS (SELECT s, min(doc_id) AS class_id FROM sets WHERE len(s) > 0 GROUP BY s),
+joined AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, len(sets.s)::BIGINT AS n_shingles, component_id, coalesce(class_id, doc_id) AS class_id
+FROM sets JOIN joined USING (doc_id) LEFT JOIN classes ON classes.s = sets.s
+"""
+
+ORACLE["op10_decontamination"] = rf"""
+WITH item_words AS (
+  SELECT item_id::VARCHAR AS item, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, least(10, len(w)) AS n, array_to_string(list_slice(w, i, i + least(10, len(w)) - 1), ' ') AS g
+  FROM (SELECT item, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM item_words WHERE len(w) > 0)),
+doc_words AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+places AS (
+  SELECT doc_id, i, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc_words, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+hits AS (SELECT doc_id, i, p.n, item FROM places p JOIN windows v ON v.n = p.n AND v.g = p.g),
+covered AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS place FROM hits) GROUP BY doc_id),
+listed AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hits GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
