@@ -12,7 +12,7 @@ from gleanframe.functions import extract as X
 from gleanframe.functions.json_text import labels_json
 from gleanframe.operators import chat, contamination, mix, parse, score, split, synth
 from gleanframe.plans import reports
-from gleanframe.session import shared_path
+from gleanframe.session import shared_path, staged
 from gleanframe.sources import predictions, records, stored
 from gleanframe.spec import JOB_POSTING, LIST, STRING, RecordSpec
 
@@ -380,9 +380,9 @@ def e4_answer_check(spark, sf_dir):
 
 @query
 def e4_job_postings(spark, sf_dir):
-    """All fields of the job record: answers drawn with the gold's seed and with another."""
+    """All fields of the job record: answers drawn with the gold's seed and with another. Gold is sampled once and stored."""
     orders = B.ids(spark, sf_dir, "orders", "o_orderkey")
-    gold = synth.sample_labels(orders, "o_orderkey", SEED)
+    gold = staged(synth.sample_labels(orders, "o_orderkey", SEED), "postings")
 
     def answers(run, labels):
         return labels.selectExpr(f"'{run}' AS run", "row_id", f"{labels_json(JOB_POSTING)} AS raw_text")
