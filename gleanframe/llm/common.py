@@ -112,7 +112,14 @@ class Cached(dict):
         return np.fromiter(map(self.__getitem__, words), dtype=dtype, count=len(words))
 
 
-WORD_HASH = Cached(xxhash.xxh3_64_intdigest)
+class _WordHash:
+    """64-bit hashes of words. Computing one is cheaper than looking it up, so none is remembered."""
+
+    def array(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+WORD_HASH = _WordHash()
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _S29, _S32 = np.uint64(29), np.uint64(32)

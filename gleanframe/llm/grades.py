@@ -43,7 +43,7 @@ def _features(word: bytes) -> int:
     return packed
 
 
-_FEATURES = Cached(_features)
+_FEATURES = Cached(_features, 100_000)
 _ECHO = xxhash.xxh3_64_intdigest(b"echo") & (1 << BITS) - 1
 
 
@@ -125,20 +125,21 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int = 3, most: int = SAMPLE
 
     def rows(batch: pa.RecordBatch) -> dict:
         made = [vector(t) for t in column(batch, "_text")]
-        return {"grade": batch.column(0).cast(pa.int64()), "feature": [i.tolist() for i, _ in made],
-                "value": [v.tolist() for _, v in made]}
+        return {"grade": batch.column(0).cast(pa.int64()), "feature": [i.astype("<i4").tobytes() for i, _ in made],
+                "value": [v.astype("<f8").tobytes() for _, v in made]}
 
-    got = per_batch(sample, rows, "grade long, feature array<long>, value array<double>").toPandas()   # <= most rows
+    # At most `most` rows, of 12 bytes for each feature of a text of bounded length.
+    got = per_batch(sample, rows, "grade long, feature binary, value binary", 500).toPandas()
     got = got[(got.grade >= 0) & (got.grade < grades)]
     if not len(got):
         return Model(np.zeros(1 << BITS), np.arange(grades - 1, dtype=float) - 40)
-    got = got.iloc[np.lexsort((got.value.map(sum).round(9), got.feature.map(len), got.grade))].reset_index(drop=True)
+    total = got.value.map(lambda v: np.frombuffer(v, "<f8").sum()).round(9)
+    got = got.iloc[np.lexsort((total, got.feature.map(len), got.grade))].reset_index(drop=True)
     held = np.random.default_rng(seed).random(len(got)) < 0.25
 
     def flat(part):
-        size = part.feature.map(len).to_numpy()
-        join = lambda c, t: np.concatenate([np.asarray(x, t) for x in part[c]] or [np.empty(0, t)])     # noqa: E731
-        return np.repeat(np.arange(len(part)), size), join("feature", np.int64), join("value", float)
+        join = lambda c, t: np.frombuffer(b"".join(part[c]), t)                              # noqa: E731
+        return np.repeat(np.arange(len(part)), part.feature.map(len).to_numpy() // 4), join("feature", "<i4"), join("value", "<f8")
 
     learn = got[~held] if (~held).any() else got
     model = train(*flat(learn), learn.grade.to_numpy(), grades)
