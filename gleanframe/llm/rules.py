@@ -5,23 +5,23 @@ that labels call good. Where few good rows lie, few splits lead to an empty side
 mean path marks a document unlike the good ones. The threshold is calibrated on labelled rows
 that did not grow the trees: at most `max_rejected` of the good ones may score above it.
 
-The forest needs a few thousand rows; it is fitted on the driver to a bounded sample of
-labelled rows (`sample`). Statistics and verdicts cover every document, in one narrow pass.
+All labelled rows take part. Each tree has, as the method asks, a few random rows, drawn from all of those for
+growing; the threshold is the exact order statistic of all the others. Statistics and verdicts cover
+every document, in one narrow pass.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from gleanframe.llm.common import (WORD_HASH, blank_words, column, labelled_sample, per_batch, text_bytes, where_text,
-                                   window_hashes)
+from gleanframe.llm.common import (WORD_HASH, blank_words, column, dense_ids, labelled_rows, nth_value, per_batch, release,
+                                   staged, text_bytes, where_text, window_hashes)
 
-#: Labelled rows that the forest and its threshold are fitted to at most.
-SAMPLE = 8_000
 TREES, SUBSAMPLE, DEPTH = 100, 256, 10
 #: Share of the good labelled rows that the method may reject at most.
 MAX_REJECTED = 0.002
@@ -104,13 +104,17 @@ class Forest:
 def grow(x: np.ndarray, good: np.ndarray, seed: int = 42) -> Forest:
     """TREES trees over random subsamples of the good rows, split within the range of all rows."""
     rng = np.random.default_rng(seed)
+    inside = np.flatnonzero(good) if good.any() else np.arange(len(x))
+    return _grown(((x[rng.choice(inside, min(SUBSAMPLE, len(inside)), replace=False)],
+                    x[rng.choice(len(x), min(SUBSAMPLE, len(x)), replace=False)]) for _ in range(TREES if len(x) else 0)), rng)
+
+
+def _grown(draws: Iterable[tuple[np.ndarray, np.ndarray]], rng: np.random.Generator) -> Forest:
+    """A tree for each (rows that weigh its leaves, other rows that widen its range)."""
     size = 2 ** (DEPTH + 1)
     feature, child = np.zeros((TREES, size), np.int64), np.full((TREES, size), -1, np.int64)
     cut, path = np.zeros((TREES, size)), np.zeros((TREES, size))
-    inside = np.flatnonzero(good) if good.any() else np.arange(len(x))
-    for t in range(TREES if len(x) else 0):
-        mine = x[rng.choice(inside, min(SUBSAMPLE, len(inside)), replace=False)]
-        others = x[rng.choice(len(x), min(SUBSAMPLE, len(x)), replace=False)]
+    for t, (mine, others) in enumerate(draws):
         low, high = np.minimum(mine.min(0), others.min(0)), np.maximum(mine.max(0), others.max(0))
         todo, used = [(0, mine, low, high, 0)], 1
         while todo:
@@ -130,32 +134,48 @@ def grow(x: np.ndarray, good: np.ndarray, seed: int = 42) -> Forest:
     return Forest(feature, cut, child, path)
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, max_rejected: float = MAX_REJECTED,
-        seed: int = 42) -> Forest:
-    """A forest from at most `most` labelled rows (doc_id, quality: 0 or more).
+def _drawn(rows: DataFrame, n: int, rng: np.random.Generator) -> list[np.ndarray]:
+    """For each tree SUBSAMPLE of the `n` rows (doc_id, x), without repeats: only rows that are drawn leave Spark."""
+    places = [rng.choice(n, min(SUBSAMPLE, n), replace=False) + 1 for _ in range(TREES)]
+    asked = np.unique(np.concatenate(places))
+    wanted = rows.sparkSession.createDataFrame([(int(i),) for i in asked], "id long")        # <= TREES * SUBSAMPLE rows
+    got = dense_ids(rows, "doc_id").join(F.broadcast(wanted), "id").select("id", "x").toPandas().sort_values("id")
+    x = np.array(got.x.tolist())
+    return [x[np.searchsorted(asked, p)] for p in places]
 
-    Two thirds of them grow the trees, the rest sets the threshold. Without a good row in the
-    rest nothing is rejected by the method.
-    """
-    sample = labelled_sample(docs, labels, most, ["quality"]).select("quality", text_bytes().alias("_text"))
 
-    def rows(batch: pa.RecordBatch) -> dict:
-        return {"quality": batch.column(0).cast(pa.int64()), "stats": [statistics(t) for t in column(batch, "_text")]}
+def fit(docs: DataFrame, labels: DataFrame, max_rejected: float = MAX_REJECTED, seed: int = 42) -> Forest:
+    """A forest from all labelled rows (doc_id, quality: 0 or more) that pass the base rules.
 
-    got = per_batch(sample, rows, "quality long, stats array<long>").toPandas()       # <= most rows
-    if not len(got):
-        return grow(np.zeros((0, 8)), np.zeros(0, bool))
-    got = got.assign(key=[tuple(s) for s in got.stats]).sort_values(["quality", "key"])
-    stats = np.array(got.key.tolist(), np.int64)
-    keep = ~base_failed(stats)
-    x, good = features(stats)[keep], (got.quality.to_numpy() > 0)[keep]
-    held = np.random.default_rng(seed).random(len(x)) < 1 / 3
-    if held.all() or not len(x):
+    Two thirds of them, by a hash of doc_id, grow the trees, the rest sets the threshold. Without a good
+    row in the rest nothing is rejected by the method.
+    """
+    def rows(texts: list[bytes]) -> dict:
+        stats = np.array([statistics(t) for t in texts], np.int64).reshape(len(texts), -1)
+        if not len(texts):
+            stats = np.zeros((0, len(STATS) + len(MORE)), np.int64)
+        return {"x": list(features(stats)), "failed": base_failed(stats)}
+
+    got = labelled_rows(docs, labels, ["quality"], rows, "x array<double>, failed boolean", "rules-labelled")
+    held, good = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(3)) == 0, F.col("quality") > 0
+    usable = got.where(~F.col("failed"))
+    growing = usable.where(~held).select("doc_id", "x", good.alias("good"))
+    n, n_good = growing.agg(F.count("*"), F.count_if("good")).first()
+    if not n:
         return grow(np.zeros((0, 8)), np.zeros(0, bool))
-    forest = grow(x[~held], good[~held], seed)
-    usual = np.sort(forest.score(x[held & good]))
-    if len(usual):
-        forest.threshold = float(usual[min(len(usual) - 1, int(np.ceil(len(usual) * (1 - max_rejected))))]) + 1e-9
+    rng = np.random.default_rng(seed)
+    mine = _drawn(growing.where("good") if n_good else growing, n_good or n, rng)
+    forest = _grown(zip(mine, _drawn(growing, n, rng)), rng)
+
+    def score(batch: pa.RecordBatch) -> dict:
+        return {"score": forest.score(np.array(batch.column(0).to_pylist()).reshape(batch.num_rows, -1)) if batch.num_rows
+                else np.zeros(0)}
+
+    usual = staged(per_batch(usable.where(held & good).select("x"), score, "score double"), "rules-scores")
+    if n_usual := usual.count():
+        place = min(n_usual - 1, int(np.ceil(n_usual * (1 - max_rejected))))
+        forest.threshold = nth_value(usual, "score", place) + 1e-9
+    release(got, usual)
     return forest
 
 
