@@ -1,28 +1,33 @@
 """Quality classifier: ordinal cumulative-link regression over hashed text features.
 
 One weight per hashed feature is shared by all grades: P(grade <= k) = sigmoid(theta_k - w.x)
-with ordered thresholds theta_0 < theta_1 < ... They are fitted by gradient steps in numpy on a
-bounded sample of rated rows. Every document then gets its expected grade and the
-probabilities of reaching each grade, in one narrow pass.
+with ordered thresholds theta_0 < theta_1 < ... They are fitted to all rated rows: a step of L-BFGS takes the
+gradient over a staged table of features, summed in the tasks and by Spark. Every document then gets its
+expected grade and the probabilities of reaching each grade, in one narrow pass.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from gleanframe.llm.common import Cached, blank_words, column, labelled_sample, per_batch, text_bytes, where_text
+from gleanframe.llm.common import (Cached, blank_words, column, labelled_rows, nth_value, per_batch, release, ship_package,
+                                   sliced, staged, text_bytes, where_text)
 
-#: Rated rows that the weights and the cut are fitted to at most.
-SAMPLE = 6_000
 BITS = 14
 #: Share of acceptable rated rows that the cut may reject at most.
 MAX_REJECTED = 0.002
 STEPS, RATE, DECAY = 250, 0.05, 1e-4
+#: L-BFGS: gradients remembered, and the share of the loss that a step must gain for another one.
+REMEMBERED, LEAST_GAINED = 10, 2e-4
+#: Texts whose gradient is taken at once, and parts in which a gradient is summed.
+AT_ONCE, PARTS = 2_000, 16
 
 _CLASS = bytes(ord("A") if 0x41 <= b <= 0x5A else ord("a") if 0x61 <= b <= 0x7A or b >= 0x80
                else ord("0") if 0x30 <= b <= 0x39 else b for b in range(256))
@@ -83,71 +88,151 @@ class Model:
         return np.array([float(v @ self.weights[i]) for i, v in vectors]) if texts else np.zeros(0)
 
 
-def train(row: np.ndarray, feature: np.ndarray, value: np.ndarray, grade: np.ndarray, grades: int) -> Model:
-    """Adam on the mean negative log likelihood of the cumulative-link model.
+def _thetas(p: np.ndarray) -> np.ndarray:
+    """The thresholds are theta_0 and the logs of the gaps above it, so they stay ordered."""
+    d = 1 << BITS
+    return p[d] + np.concatenate([[0.0], np.cumsum(np.exp(p[d + 1:]))])
 
-    The thresholds are theta_0 and the logs of the gaps above it, so they stay ordered.
-    """
-    n, d = len(grade), 1 << BITS
-    share = np.array([np.mean(grade <= k) for k in range(grades - 1)]).clip(0.01, 0.99)
+
+def _start(share: np.ndarray) -> np.ndarray:
+    """Zero weights, and thresholds by the shares of rows up to each grade."""
+    share = share.clip(0.01, 0.99)
     first = np.log(share / (1 - share))
-    gaps = np.log(np.maximum(np.diff(first), 0.1))
-    p = np.concatenate([np.zeros(d), first[:1], gaps])
+    return np.concatenate([np.zeros(1 << BITS), first[:1], np.log(np.maximum(np.diff(first), 0.1))])
+
+
+def _slope(p: np.ndarray, row: np.ndarray, feature: np.ndarray, value: np.ndarray, grade: np.ndarray) -> tuple[float, np.ndarray]:
+    """(negative log likelihood, its gradient) of the rows, summed, without decay."""
+    n, d, grades = len(grade), 1 << BITS, len(p) - (1 << BITS) + 1
+    s = np.bincount(row, p[feature] * value, n)
+    at = np.concatenate([[-np.inf], _thetas(p), [np.inf]])
+    up, low = _sigmoid(at[grade + 1] - s), _sigmoid(at[grade] - s)
+    up[grade == grades - 1], low[grade == 0] = 1.0, 0.0
+    like = np.maximum(up - low, 1e-9)
+    d_up, d_low = up * (1 - up) / like, low * (1 - low) / like          # of log like by its two thresholds
+    g = np.zeros_like(p)
+    g[:d] = np.bincount(feature, (d_up - d_low)[row] * value, d)
+    by_theta = np.array([np.sum(d_low[grade == k + 1]) - np.sum(d_up[grade == k]) for k in range(grades - 1)])
+    g[d] = by_theta.sum()
+    for j in range(grades - 2):
+        g[d + 1 + j] = np.exp(p[d + 1 + j]) * by_theta[j + 1:].sum()
+    return -float(np.log(like).sum()), g
+
+
+def train(row: np.ndarray, feature: np.ndarray, value: np.ndarray, grade: np.ndarray, grades: int) -> Model:
+    """Adam on the mean negative log likelihood of the cumulative-link model, for rows at hand."""
+    n, d = len(grade), 1 << BITS
+    p = _start(np.array([np.mean(grade <= k) for k in range(grades - 1)]))
     m, v = np.zeros_like(p), np.zeros_like(p)
     for step in range(1, STEPS + 1):
-        theta = p[d] + np.concatenate([[0.0], np.cumsum(np.exp(p[d + 1:]))])
-        s = np.bincount(row, p[feature] * value, n)
-        at = np.concatenate([[-np.inf], theta, [np.inf]])
-        up, low = _sigmoid(at[grade + 1] - s), _sigmoid(at[grade] - s)
-        up[grade == grades - 1], low[grade == 0] = 1.0, 0.0
-        like = np.maximum(up - low, 1e-9)
-        d_up, d_low = up * (1 - up) / like, low * (1 - low) / like      # of log like by its two thresholds
-        g = np.zeros_like(p)
-        g[:d] = np.bincount(feature, (d_up - d_low)[row] * value, d) / n + DECAY * p[:d]
-        by_theta = np.array([(np.sum(d_low[grade == k + 1]) - np.sum(d_up[grade == k])) / n for k in range(grades - 1)])
-        g[d] = by_theta.sum()
-        for j in range(grades - 2):
-            g[d + 1 + j] = np.exp(p[d + 1 + j]) * by_theta[j + 1:].sum()
+        g = _slope(p, row, feature, value, grade)[1] / n
+        g[:d] += DECAY * p[:d]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         p = p - RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-    return Model(p[:d], p[d] + np.concatenate([[0.0], np.cumsum(np.exp(p[d + 1:]))]))
+    return Model(p[:d], _thetas(p))
+
+
+def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, feature, value) of the texts of a batch."""
+    feature, value = column(batch, "feature"), column(batch, "value")
+    return (np.repeat(np.arange(batch.num_rows), [len(f) // 2 for f in feature]),
+            np.frombuffer(b"".join(feature), "<u2").astype(np.int64), np.frombuffer(b"".join(value), "<f8"))
 
 
-def fit(docs: DataFrame, ratings: DataFrame, grades: int = 3, most: int = SAMPLE,
-        max_rejected: float = MAX_REJECTED, seed: int = 42) -> Model:
-    """A model from at most `most` rows of ratings (doc_id, grade: 0 .. grades - 1).
+def _loss(rows: DataFrame, n: int, p: np.ndarray) -> tuple[float, np.ndarray]:
+    """(mean negative log likelihood with decay, its gradient) over all `n` rows (grade, feature, value).
 
-    Three quarters are learned from; the others set the cut, so that at most `max_rejected` of
+    A task sums its rows and sends one sum in PARTS parts; each part is summed over the tasks, and the sum alone reaches
+    the driver.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, task = np.zeros(len(p) + 1), TaskContext.get().partitionId()
+        for batch in batches:
+            for piece in sliced(batch, AT_ONCE):
+                loss, g = _slope(p, *_flat(piece), np.array(column(piece, "grade"), np.int64))
+                total += np.append(g, loss)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(PARTS), pa.int64()), pa.array([task] * PARTS, pa.int64()),
+             pa.array([x.astype("<f8").tobytes() for x in np.array_split(total, PARTS)], pa.binary())], names=["part", "task", "total"])
+
+    def add(table: pa.Table) -> pa.Table:
+        table = table.sort_by("task")
+        total = sum(np.frombuffer(x, "<f8") for x in table["total"].to_pylist())
+        return pa.table({"part": table["part"][:1], "total": pa.array([total.tobytes()], pa.binary())})
+
+    ship_package(rows.sparkSession)
+    got = (rows.select("grade", "feature", "value").mapInArrow(run, "part long, task long, total binary")
+           .groupBy("part").applyInArrow(add, "part long, total binary").collect())              # PARTS rows
+    total = np.concatenate([np.frombuffer(r.total, "<f8") for r in sorted(got)]) / n
+    decayed = np.append(p[:1 << BITS], np.zeros(len(p) - (1 << BITS)))
+    return total[-1] + DECAY * float(decayed @ decayed) / 2, total[:-1] + DECAY * decayed
+
+
+def _minimum(of: Callable[[np.ndarray], tuple[float, np.ndarray]], p: np.ndarray) -> np.ndarray:
+    """L-BFGS with halved steps from `p`, until a step gains less than LEAST_GAINED of the value."""
+    value, g = of(p)
+    past: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(STEPS):
+        way, shares = -g, []
+        for s, y in reversed(past):
+            shares.append((s @ way) / (s @ y))
+            way = way - shares[-1] * y
+        if past:
+            s, y = past[-1]
+            way = way * ((s @ y) / (y @ y))
+        for (s, y), share in zip(past, reversed(shares)):
+            way = way + (share - (y @ way) / (s @ y)) * s
+        step = 1.0 if past else 1.0 / max(1e-12, float(np.sqrt(g @ g)))
+        while True:
+            new, slope = of(p + step * way)
+            if new <= value + 1e-4 * step * float(g @ way):
+                break
+            step /= 2
+            if step < 1e-9:
+                return p
+        s, y = step * way, slope - g
+        if s @ y > 0:
+            past = [*past[1 - REMEMBERED:], (s, y)]
+        gained, value, g, p = value - new, new, slope, p + s
+        if gained < LEAST_GAINED * value:
+            return p
+    return p
+
+
+def fit(docs: DataFrame, ratings: DataFrame, grades: int = 3, max_rejected: float = MAX_REJECTED, seed: int = 42) -> Model:
+    """A model from all rows of ratings (doc_id, grade: 0 .. grades - 1) and their whole texts.
+
+    Three quarters, by a hash of doc_id, are learned from; the others set the cut, so that at most `max_rejected` of
     those of grade 1 or more fall below it, and never above a half. Without ratings every document scores alike
     and is kept.
     """
-    sample = labelled_sample(docs, ratings, most, ["grade"]).select("grade", text_bytes().alias("_text"))
-
-    def rows(batch: pa.RecordBatch) -> dict:
-        made = [vector(t) for t in column(batch, "_text")]
-        return {"grade": batch.column(0).cast(pa.int64()), "feature": [i.astype("<i4").tobytes() for i, _ in made],
-                "value": [v.astype("<f8").tobytes() for _, v in made]}
-
-    # At most `most` rows, of 12 bytes for each feature of a text of bounded length.
-    got = per_batch(sample, rows, "grade long, feature binary, value binary", 500).toPandas()
-    got = got[(got.grade >= 0) & (got.grade < grades)]
-    if not len(got):
+    def rows(texts: list[bytes]) -> dict:
+        made = [vector(t) for t in texts]
+        return {"feature": [i.astype("<u2").tobytes() for i, _ in made], "value": [v.astype("<f8").tobytes() for _, v in made]}
+
+    rated = ratings.where((F.col("grade") >= 0) & (F.col("grade") < grades))
+    every = labelled_rows(docs, rated, ["grade"], rows, "feature binary, value binary", "grades-rated")
+    held = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(4)) == 0
+    learn = every.where(~held)
+    counts = dict(learn.groupBy("grade").count().collect())                                  # a row a grade
+    if not counts:
+        learn, counts = every, dict(every.groupBy("grade").count().collect())
+    if not counts:
         return Model(np.zeros(1 << BITS), np.arange(grades - 1, dtype=float) - 40)
-    total = got.value.map(lambda v: np.frombuffer(v, "<f8").sum()).round(9)
-    got = got.iloc[np.lexsort((total, got.feature.map(len), got.grade))].reset_index(drop=True)
-    held = np.random.default_rng(seed).random(len(got)) < 0.25
-
-    def flat(part):
-        join = lambda c, t: np.frombuffer(b"".join(part[c]), t)                              # noqa: E731
-        return np.repeat(np.arange(len(part)), part.feature.map(len).to_numpy() // 4), join("feature", "<i4"), join("value", "<f8")
-
-    learn = got[~held] if (~held).any() else got
-    model = train(*flat(learn), learn.grade.to_numpy(), grades)
-    rest = got[held & (got.grade >= 1).to_numpy()]
-    if len(rest):
-        row, feature, value = flat(rest)
-        tail = np.sort(model.tails(np.bincount(row, model.weights[feature] * value, len(rest)))[:, 0])
-        model.cut = float(min(0.5, tail[int(len(tail) * max_rejected)]))
+    n = sum(counts.values())
+    share = np.cumsum([counts.get(k, 0) for k in range(grades - 1)]) / n
+    p = _minimum(lambda p: _loss(learn, n, p), _start(share))
+    model = Model(p[:1 << BITS], _thetas(p))
+
+    def tail(batch: pa.RecordBatch) -> dict:
+        pairs = zip(column(batch, "feature"), column(batch, "value"))
+        score = [float(np.frombuffer(v, "<f8") @ model.weights[np.frombuffer(f, "<u2")]) for f, v in pairs]
+        return {"tail": model.tails(np.array(score, float))[:, 0]}
+
+    tails = staged(per_batch(every.where(held & (F.col("grade") >= 1)).select("feature", "value"), tail, "tail double"), "grades-tails")
+    if n_tails := tails.count():
+        model.cut = min(0.5, nth_value(tails, "tail", int(n_tails * max_rejected)))
+    release(every, tails)
     return model
 
 
