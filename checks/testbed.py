@@ -58,8 +58,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ids(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """The keys of a table, spread over the cluster: a table of one file has one scan task."""
-    return table(spark, sf_dir, name).select(key).repartition(key)
+    """The keys of a table, spread over the cluster: a table of one file has one scan task.
+
+    The number is given, as without one adaptive execution merges partitions of so few bytes again, down to
+    one task for millions of keys.
+    """
+    return table(spark, sf_dir, name).select(key).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
 
 
 def run_config(spark: SparkSession) -> DataFrame:
