@@ -121,8 +121,9 @@ def frequent_words(blocks: DataFrame, least: int) -> DataFrame:
 def _first_state(blocks: DataFrame, words: DataFrame) -> DataFrame:
     """(block, state): the stream of a block in ids of frequent words, 0 for a break. Staged."""
     own = blocks.select("block", "lang", F.posexplode("words").alias("pos", "word"))
-    known = own.join(words.select("lang", "word", "id"), ["lang", "word"]).groupBy("block").agg(
-        F.collect_list(F.struct("pos", "id")).alias("ids"))                                   # words of one block
+    # A row for each word of a block, found or not; the list drops those that are not, in the tasks.
+    known = own.join(words.select("lang", "word", "id"), ["lang", "word"], "left").groupBy("block").agg(
+        F.collect_list(F.when(F.col("id").isNotNull(), F.struct("pos", "id"))).alias("ids"))  # words of one block
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -210,3 +210,14 @@ def test_query_matches_sql(spark, sf_dir, name):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     res = con.execute(queries.ORACLE[name])
     assert got == canonical([c[0] for c in res.description], res.fetchall())
+
+
+def test_every_word_of_a_block_is_looked_up(spark):
+    """op12_collocations: rows by the words of blocks, which grow with the input, and not by those found frequent."""
+    rows = [("en", " ".join(["often", "again"] * 60)), ("fr", "one two three"), ("de", "often")]
+    blocks = collocations.blocks_of(spark.createDataFrame(rows, "lang string, text string").repartition(3), 50)
+    words = collocations.frequent_words(blocks, 60)
+    state = {r.block: r.state for r in collocations._first_state(blocks, words).collect()}
+    langs = {r.block: r.lang for r in blocks.collect()}
+    assert set(state) == set(langs)                         # a block without a frequent word too
+    assert all((max(np.frombuffer(state[b], "<u4")) > 0) == (lang == "en") for b, lang in langs.items())
