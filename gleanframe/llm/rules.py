@@ -60,6 +60,10 @@ def statistics(text: bytes) -> list[int]:
             sum(map(bytes.__eq__, words[1:], words[:-1]))]
 
 
+def _statistics(texts: list[bytes]) -> np.ndarray:
+    return np.array([statistics(t) for t in texts], np.int64).reshape(-1, len(STATS) + len(MORE))
+
+
 def features(stats: np.ndarray) -> np.ndarray:
     """Rates of the statistics; length alone is no ground for a verdict."""
     s = np.maximum(stats, 0).astype(float)
@@ -151,9 +155,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rejected: float = MAX_REJECTED,
     row in the rest nothing is rejected by the method.
     """
     def rows(texts: list[bytes]) -> dict:
-        stats = np.array([statistics(t) for t in texts], np.int64).reshape(len(texts), -1)
-        if not len(texts):
-            stats = np.zeros((0, len(STATS) + len(MORE)), np.int64)
+        stats = _statistics(texts)
         return {"x": list(features(stats)), "failed": base_failed(stats)}
 
     got = labelled_rows(docs, labels, ["quality"], rows, "x array<double>, failed boolean", "rules-labelled")
@@ -206,7 +208,5 @@ def keep(docs: DataFrame, forest: Forest) -> DataFrame:
 
 
 def _verdicts(texts: list[bytes], forest: Forest):
-    stats = np.array([statistics(t) for t in texts], np.int64).reshape(len(texts), -1)
-    if not len(texts):
-        stats = np.zeros((0, len(STATS) + len(MORE)), np.int64)
+    stats = _statistics(texts)
     return stats, base_failed(stats), forest.score(features(stats))

@@ -168,3 +168,20 @@ def test_the_gradient_over_the_tables_is_that_of_all_rows(spark):
     model = grades.fit(docs, grades.ratings_of(labels))
     got = grades.grade(docs.where("doc_id <> 4"), model).collect()
     assert np.mean([(r.p_at_least_1 > 0.5) == (r.doc_id % 3 > 0) for r in got]) > 0.97
+
+
+def test_texts_are_made_smaller_before_they_meet_their_labels(spark, monkeypatch):
+    """op5, op7: no text is shuffled, unlabelled texts are not worked on, and ids may have two types."""
+    from gleanframe.llm import common
+
+    docs, labels = _graded(spark)
+    plans, known = [], common.staged
+    monkeypatch.setattr(common, "staged", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or known(df, name))
+    some = labels.where("doc_id < 20")
+    for one in (some, some.withColumn("doc_id", some.doc_id.cast("int")), some.where("false")):
+        worked = spark.sparkContext.accumulator(0)
+        rows = lambda texts: worked.add(len(texts)) or {"n": [len(t) for t in texts]}                        # noqa: E731
+        got = common.labelled_rows(docs, one, ["quality"], rows, "n long", "smaller").collect()
+        assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in one.collect())
+        assert plans[-1].find("Join") < plans[-1].find("MapInArrow") or not got
+    assert worked.value == 0
