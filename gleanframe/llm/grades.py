@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,8 @@ STEPS, RATE, DECAY = 250, 0.05, 1e-4
 REMEMBERED, LEAST_GAINED = 10, 2e-4
 #: Texts whose gradient is taken at once, and parts in which a gradient is summed.
 AT_ONCE, PARTS = 2_000, 16
+#: Texts whose words are held at once.
+TEXTS_AT_ONCE = 500
 
 _CLASS = bytes(ord("A") if 0x41 <= b <= 0x5A else ord("a") if 0x61 <= b <= 0x7A or b >= 0x80
                else ord("0") if 0x30 <= b <= 0x39 else b for b in range(256))
@@ -42,27 +45,37 @@ def _shape(word: bytes) -> bytes:
 def _features(word: bytes) -> int:
     """Three hashed features of a word, 20 bits each: itself, its shape, and its last characters."""
     low = word.lower().strip(b".,;:!?*#$%&\"'()")
-    packed = 0
-    for part in (b"w" + low, b"s" + _shape(word), b"e" + word[-4:]):
-        packed = packed << 20 | xxhash.xxh3_64_intdigest(part) & (1 << BITS) - 1
-    return packed
+    return (xxhash.xxh3_64_intdigest(b"w" + low) & _MASK) << 40 | _SHAPES[word.translate(_CLASS)] \
+        | xxhash.xxh3_64_intdigest(b"e" + word[-4:]) & _MASK
 
 
-_FEATURES = Cached(_features, 100_000)
+_MASK = (1 << BITS) - 1
+#: The feature of a word's shape in its place, by the kinds of its characters: words are many, these are few.
+_SHAPES = Cached(lambda kinds: (xxhash.xxh3_64_intdigest(b"s" + _shape(kinds)) & _MASK) << 20, 10_000)
 _ECHO = xxhash.xxh3_64_intdigest(b"echo") & (1 << BITS) - 1
 
 
+def vectors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of features of each text, features, values), text by text, ascending in each.
+
+    The distinct words of all texts are hashed once. The squares of the values of a feature group add up to 1.
+    """
+    split = [blank_words(t) for t in texts]
+    n_words = np.array([len(w) for w in split], np.int64)
+    coded = pa.array(list(chain.from_iterable(split)), pa.binary()).dictionary_encode()
+    packed = np.fromiter(map(_features, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))[coded.indices.to_numpy()]
+    text = np.repeat(np.arange(len(texts)), n_words)
+    echo = np.flatnonzero((packed[1:] == packed[:-1]) & (text[1:] == text[:-1]))
+    ids = np.sort(np.concatenate([text << BITS | packed >> 40, text << BITS | packed >> 20 & 0xFFFFF, text << BITS | packed & 0xFFFFF,
+                                  text[echo] << BITS | _ECHO]))
+    at = np.flatnonzero(np.append(True, ids[1:] != ids[:-1])[:len(ids)])
+    owner = ids[at] >> BITS
+    return np.bincount(owner, minlength=len(texts)), ids[at] & _MASK, np.sqrt(np.diff(np.append(at, len(ids))) / n_words[owner])
+
+
 def vector(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(features, values) of a text; the squares of the values of a feature group add up to 1."""
-    words = blank_words(text)
-    if not words:
-        return np.empty(0, np.int64), np.empty(0)
-    packed = _FEATURES.array(words, np.int64)
-    ids = np.concatenate([packed >> 40, packed >> 20 & 0xFFFFF, packed & 0xFFFFF])
-    counts = np.bincount(ids, minlength=1 << BITS).astype(float)
-    counts[_ECHO] += np.count_nonzero(packed[1:] == packed[:-1])
-    at = np.flatnonzero(counts)
-    return at, np.sqrt(counts[at] / len(words))
+    """(features, values) of one text."""
+    return vectors([text])[1:]
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -84,8 +97,12 @@ class Model:
         return 1 - _sigmoid(self.thetas[None, :] - scores[:, None])
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
-        vectors = [vector(t) for t in texts]
-        return np.array([float(v @ self.weights[i]) for i, v in vectors]) if texts else np.zeros(0)
+        made = [np.zeros(0)]
+        for i in range(0, len(texts), TEXTS_AT_ONCE):
+            sizes, feature, value = vectors(texts[i:i + TEXTS_AT_ONCE])
+            ends, weight = np.cumsum(sizes), self.weights[feature]
+            made.append(np.array([float(value[a:b] @ weight[a:b]) for a, b in zip(ends - sizes, ends)]))
+        return np.concatenate(made)
 
 
 def _thetas(p: np.ndarray) -> np.ndarray:
@@ -132,11 +149,20 @@ def train(row: np.ndarray, feature: np.ndarray, value: np.ndarray, grade: np.nda
     return Model(p[:d], _thetas(p))
 
 
+def _joined(values: pa.Array, dtype: str) -> tuple[np.ndarray, np.ndarray]:
+    """(number of items of each value, items) of binary values, read where they lie."""
+    wide = values.cast(pa.large_binary())
+    _, offsets, data = wide.buffers()
+    ends = np.frombuffer(offsets, np.int64, len(wide) + 1, 8 * wide.offset) if len(wide) else np.zeros(1, np.int64)
+    size = np.dtype(dtype).itemsize
+    return np.diff(ends) // size, np.frombuffer(data or b"", np.uint8)[ends[0]:ends[-1]].view(dtype)
+
+
 def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, feature, value) of the texts of a batch."""
-    feature, value = column(batch, "feature"), column(batch, "value")
-    return (np.repeat(np.arange(batch.num_rows), [len(f) // 2 for f in feature]),
-            np.frombuffer(b"".join(feature), "<u2").astype(np.int64), np.frombuffer(b"".join(value), "<f8"))
+    sizes, feature = _joined(batch.column(batch.schema.get_field_index("feature")), "<u2")
+    _, value = _joined(batch.column(batch.schema.get_field_index("value")), "<f8")
+    return np.repeat(np.arange(batch.num_rows), sizes), feature.astype(np.int64), value
 
 
 def _loss(rows: DataFrame, n: int, p: np.ndarray) -> tuple[float, np.ndarray]:
@@ -207,8 +233,10 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int = 3, max_rejected: floa
     and is kept.
     """
     def rows(texts: list[bytes]) -> dict:
-        made = [vector(t) for t in texts]
-        return {"feature": [i.astype("<u2").tobytes() for i, _ in made], "value": [v.astype("<f8").tobytes() for _, v in made]}
+        sizes, feature, value = vectors(texts)
+        ends = np.cumsum(sizes)
+        return {n: [x[a:b].tobytes() for a, b in zip(ends - sizes, ends)]
+                for n, x in (("feature", feature.astype("<u2")), ("value", value.astype("<f8")))}
 
     rated = ratings.where((F.col("grade") >= 0) & (F.col("grade") < grades))
     every = labelled_rows(docs, rated, ["grade"], rows, "feature binary, value binary", "grades-rated")
@@ -252,7 +280,7 @@ def grade(docs: DataFrame, model: Model) -> DataFrame:
     key = docs.schema["doc_id"].dataType.simpleString()
     return per_batch(docs.select("doc_id", text_bytes().alias("_text")), rows,
                      f"doc_id {key}, expected_grade double, " + ", ".join(f"{n} double" for n in names)
-                     + ", kept boolean")
+                     + ", kept boolean", TEXTS_AT_ONCE)
 
 
 def keep(docs: DataFrame, model: Model) -> DataFrame:

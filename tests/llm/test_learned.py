@@ -185,3 +185,25 @@ def test_texts_are_made_smaller_before_they_meet_their_labels(spark, monkeypatch
         assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in one.collect())
         assert plans[-1].find("Join") < plans[-1].find("MapInArrow") or not got
     assert worked.value == 0
+
+
+def test_features_of_many_texts_are_those_of_each(spark):
+    """op5: texts without words and repeated words among others; the squares of a group add up to 1."""
+    texts = [b"", b"one", b"THEN!! THEN!! x", b" \n", b"a b a b", "éü 12".encode(), b"word " * 300]
+    sizes, feature, value = grades.vectors(texts)
+    ends = np.cumsum(sizes)
+    for text, a, b in zip(texts, ends - sizes, ends):
+        words, want = text.split(), {}
+        for at, w in enumerate(words):
+            low = w.lower().strip(b".,;:!?*#$%&\"'()")
+            for part in (b"w" + low, b"s" + grades._shape(w), b"e" + w[-4:], *([b"echo"] if at and w == words[at - 1] else [])):
+                f = grades.xxhash.xxh3_64_intdigest(part) % (1 << grades.BITS)
+                want[f] = want.get(f, 0) + 1
+        assert feature[a:b].tolist() == sorted(want)
+        assert value[a:b].tolist() == [np.sqrt(want[f] / len(words)) for f in sorted(want)]
+    table = spark.createDataFrame([(feature[a:b].astype("<u2").tobytes(), value[a:b].tobytes()) for a, b in zip(ends - sizes, ends)],
+                                  "feature binary, value binary").coalesce(1).toArrow().combine_chunks().to_batches()[0]
+    row, f, v = grades._flat(table.slice(2, 4))
+    assert row.tolist() == np.repeat(np.arange(4), sizes[2:6]).tolist()
+    assert f.tolist() == feature[ends[1]:ends[5]].tolist() and v.tolist() == value[ends[1]:ends[5]].tolist()
+    assert [len(x) for x in grades._flat(table.slice(0, 0))] == [0, 0, 0]
