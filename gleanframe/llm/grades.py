@@ -28,7 +28,7 @@ STEPS, RATE, DECAY = 250, 0.05, 1e-4
 #: L-BFGS: gradients remembered, and the share of the loss that a step must gain for another one.
 REMEMBERED, LEAST_GAINED = 10, 2e-4
 #: Texts whose gradient is taken at once, and parts in which a gradient is summed.
-AT_ONCE, PARTS = 2_000, 16
+AT_ONCE, PARTS = 500, 16
 #: Texts whose words are held at once.
 TEXTS_AT_ONCE = 500
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gleanframe.llm.common import (WORD_HASH, column, lowered_words, mixed, per_batch, release, ship_package, signed, staged,
+from gleanframe.llm.common import (WORD_HASH, column, lowered_words, mixed, per_batch, release, ship_package, signed, sliced, staged,
                                    text_bytes, window_hashes)
 from gleanframe.llm.connect import components
 
@@ -48,7 +48,8 @@ TILE_ROWS = 4_000
 NEAREST_ROUNDS = 2
 #: Bits of the table that says which documents to read again (2 MB).
 READ_BITS = 1 << 24
-_AT_ONCE = 1_000_000              # elements whose signatures are made together
+_AT_ONCE = 250_000                # elements whose signatures are made together
+_TEXTS = 500                      # texts whose sets are held together
 
 
 def max_difference(total: int, percent: int = PERCENT) -> int:
@@ -148,7 +149,7 @@ def sets_of(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 
     key = docs.schema["doc_id"].dataType.simpleString()
     return staged(per_batch(docs.select("doc_id", F.xxhash64("text").alias("text_key"), text_bytes().alias("_text")),
-                            rows, f"doc_id {key}, text_key long, n_shingles long, node long, sketch binary"),
+                            rows, f"doc_id {key}, text_key long, n_shingles long, node long, sketch binary", _TEXTS),
                   "partenum-documents")
 
 
@@ -157,9 +158,9 @@ def _buckets(docs: DataFrame, size: int, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()                           # copies met lately in this task
         for batch in batches:
-            for at in range(0, batch.num_rows, 2_000):
+            for piece in sliced(batch, _TEXTS):
                 sets, nodes = [], []
-                for text in column(batch.slice(at, 2_000), "_text"):
+                for text in column(piece, "_text"):
                     s = shingle_set(text, size)
                     node = digest(s)
                     if node not in seen:
@@ -198,10 +199,10 @@ def _read_sets(docs: DataFrame, known: DataFrame, nodes: DataFrame, size: int) -
         bit = batch.column(0).to_numpy()
         wanted = np.flatnonzero(table[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
         sets = [shingle_set(t, size) for t in column(batch.take(pa.array(wanted, pa.int64())), "_text")]
-        return {"node": [digest(s) for s in sets], "elements": [s.tobytes() for s in sets]}
+        return {"node": [digest(s) for s in sets], "elements": pa.array([s.tobytes() for s in sets], pa.binary())}
 
     keyed = docs.select(F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(READ_BITS)).alias("bit"), text_bytes().alias("_text"))
-    return (per_batch(keyed, rows, "node long, elements binary").join(nodes, "node", "left_semi").dropDuplicates(["node"]))
+    return (per_batch(keyed, rows, "node long, elements binary", _TEXTS).join(nodes, "node", "left_semi").dropDuplicates(["node"]))
 
 
 def _could_link(a: np.ndarray, b: np.ndarray, n_a, n_b, percent: int) -> np.ndarray:
@@ -228,7 +229,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, known: DataFrame, size: int, pe
                         pa.bool_())
         return {c: batch.column(batch.schema.get_field_index(c)).filter(keep) for c in "ab"}
 
-    links = staged(per_batch(pairs.join(end("a"), "a").join(end("b"), "b"), rows, "a long, b long"), "partenum-links")
+    links = staged(per_batch(pairs.join(end("a"), "a").join(end("b"), "b"), rows, "a long, b long", _TEXTS), "partenum-links")
     release(nodes)
     return links
 

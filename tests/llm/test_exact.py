@@ -444,3 +444,17 @@ def test_tree_probabilities_add_up_and_follow_contexts(spark):
     texts = spark.createDataFrame([(1, "one two three"), (2, "one three two"), (3, "one two zzz")], docs.schema)
     usual, odd, new = [r.score for r in suffix_tree.score(texts, model, counts).orderBy("doc_id").collect()]
     assert usual > odd and usual > new
+
+
+def test_few_sets_are_held_at_once(spark, monkeypatch):
+    """pipeline: tasks make and compare the sets of 500 texts or pairs at once, whatever a batch holds."""
+    asked, known = [], partenum.per_batch
+    monkeypatch.setattr(partenum, "per_batch", lambda df, rows, schema, at_once=None:
+                        asked.append((df.columns, at_once)) or known(df, rows, schema, at_once))
+    words = [f"w{k}" for k in range(60)]
+    docs = spark.createDataFrame([(i, " ".join(words[:50 + i % 3] if i < 1_500 else [f"{i}-{k}" for k in range(9)])) for i in range(1_600)],
+                                 "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: (r.component_id, r.class_id) for r in partenum.groups(docs).collect()}
+    assert got == {i: (0, i % 3) if i < 1_500 else (i, i) for i in range(1_600)}
+    held = [n for columns, n in asked if {"_text", "elements_a"} & set(columns)]
+    assert len(held) > 2 and all(n and n <= 500 for n in held)
